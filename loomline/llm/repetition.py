@@ -18,7 +18,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.shingles import LETTERS, Batch, WordHasher, mix
+from loomline.llm.shingles import LETTERS, Batch, WordHasher, chunks, mix
 from loomline.operators.deliveries import latest
 
 #: Labelled rows to train and calibrate on; the only use of a sample.
@@ -129,7 +129,7 @@ class Scorer:
 
 def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hasher = WordHasher()
-    for pdf in batches:
+    for pdf in chunks(batches, "body"):
         b = Batch(pdf["body"].tolist(), LETTERS, hasher)
         yield pd.DataFrame({"body": pdf["body"], "share": repeated_share(b)})
 
@@ -155,7 +155,7 @@ def repetition(df: DataFrame, key: str = "sample_id", text: str = "output", orde
 
     def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
-        for pdf in batches:
+        for pdf in chunks(batches, "body"):
             x, b = features(pdf["body"].tolist(), hasher)
             p = model.probability(x)
             share = np.full(len(pdf), 0.0)

@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import xxhash
 
 LETTERS_DIGITS = re.compile(r"[^\W_]+")
@@ -45,6 +46,18 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def chunks(batches: Iterator[pd.DataFrame], column: str, rows: int = 2000, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
+    """The same rows in smaller frames, so that the arrays made of a frame stay small."""
+    for pdf in batches:
+        size = pdf[column].str.len().fillna(0).cumsum().to_numpy()
+        begin = 0
+        while begin < len(pdf):
+            base = size[begin - 1] if begin else 0
+            end = min(begin + rows, max(begin + 1, int(np.searchsorted(size, base + chars, "right"))))
+            yield pdf.iloc[begin:end].reset_index(drop=True)
+            begin = end
+
+
 class Batch:
     """The words of many texts in one flat array; ``doc[i]`` is the text of word i."""
 

@@ -1,0 +1,36 @@
+"""Queries of the core by name, and the SQL that gives the same rows."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+
+from loomline.operators import nested
+from loomline.sources.tables import samples
+
+Query = Callable[[SparkSession, str], DataFrame]
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return nested.leaf_paths(samples(spark, d))
+
+
+def p4_calls(spark: SparkSession, d: str) -> DataFrame:
+    return nested.call_table(samples(spark, d))
+
+
+def p4_arguments(spark: SparkSession, d: str) -> DataFrame:
+    return nested.argument_table(samples(spark, d))
+
+
+def p4_parameters(spark: SparkSession, d: str) -> DataFrame:
+    return nested.parameter_table(samples(spark, d))
+
+
+def queries() -> dict[str, Query]:
+    return {f.__name__: f for f in (p4_found, p4_calls, p4_arguments, p4_parameters)}
+
+
+def oracle_sql() -> dict[str, str]:
+    return {}

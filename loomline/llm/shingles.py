@@ -26,15 +26,15 @@ class WordHasher:
         self.room, self.known = room, {}
 
     def __call__(self, words: Sequence[str]) -> np.ndarray:
-        known, of = self.known, xxhash.xxh64_intdigest
+        known = self.known
         if len(known) > self.room:
             known.clear()
-        out = []
-        for w in words:
-            h = known.get(w)
-            if h is None:
-                h = known[w] = of(w)
-            out.append(h)
+        out = [known.get(w) for w in words]
+        if None in out:
+            of = xxhash.xxh64_intdigest
+            for i, h in enumerate(out):
+                if h is None:
+                    out[i] = known[words[i]] = of(words[i])
         return np.array(out, dtype=np.uint64)
 
 

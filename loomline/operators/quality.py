@@ -60,8 +60,9 @@ def similar_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", above:
     reps = df.where(F.col(text).isNotNull()).groupBy(F.md5(text).alias("h")).agg(F.min(key).alias("id"))
     words = F.regexp_extract_all(F.lower(text), F.lit(r"\S+"), F.lit(0))
     grams = F.when(F.size("w") >= shingle, F.transform(F.sequence(F.lit(1), F.size("w") - shingle + 1), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, shingle), " "))))
-    sets = df.join(reps, F.col(key) == F.col("id"), "left_semi").select(F.col(key).alias("id"), words.alias("w")).select("id", F.array_distinct(grams).alias("g")).where("g is not null")
-    sets = materialize(sets, "similar-sets")
+    sets = df.join(reps, F.col(key) == F.col("id"), "left_semi").select(F.col(key).alias("id"), words.alias("w")).select("id", F.array_distinct(grams).alias("g"))
+    # Written before any filter on it: one that is pushed down would split the words anew for every shingle.
+    sets = materialize(sets, "similar-sets").where("g is not null")
     often = sets.select(F.explode("g").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
     flat = sets.select("id", F.size("g").alias("size"), F.explode("g").alias("s")).join(often, "s", "left")
     rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(1)), "s"))

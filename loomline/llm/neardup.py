@@ -3,8 +3,9 @@
 1. Records with equal word sets form a class; only its smallest id, the representative, goes on.
 2. Candidates come from a prefix filter, which loses no pair. Words are ordered by rarity (a count
    per hash bucket; any common order is right). Two sets of similarity t share at least two words
-   among the first ``n - ceil(t n) + 2`` of each. Rare words are keys by themselves; frequent
-   words only in pairs, so that the work for a record is bounded by its length, not by the corpus.
+   among the first ``m - ceil(2t/(1+t) m) + 2`` of the smaller and the first ``n - ceil(t n) + 2`` of the
+   larger one. Rare words are keys by themselves; frequent words only in pairs, so that a word
+   that a third of all records have is no join key.
 3. Bayesian pruning while the candidates are joined: MinHash values, one bit each, are compared in
    groups of 64. With a uniform prior, a pair whose posterior probability of reaching the threshold
    falls below ``TOLERANCE`` after a group is dropped.
@@ -32,7 +33,7 @@ ALONE = 200
 SKETCH = 2**20
 #: A candidate may be dropped when it reaches the threshold with less than this probability.
 TOLERANCE = 1e-6
-SIGNATURE_LONGS = 3
+SIGNATURE_LONGS = 2
 
 
 #: Of each permutation: what is added bitwise, and an odd factor. The word hashes are well mixed already.
@@ -67,19 +68,9 @@ def _bucket(h: np.ndarray) -> np.ndarray:
     return (h >> np.uint64(44)).astype(np.int64)  # the upper 20 bits: SKETCH buckets
 
 
-def _sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    hasher, counts = WordHasher(), np.zeros(SKETCH, np.int64)
-    for pdf in chunks(batches, "body"):
-        _, h = _word_sets(Batch(pdf["body"].tolist(), LETTERS_DIGITS, hasher))
-        counts += np.bincount(_bucket(h), minlength=SKETCH)
-    at = np.nonzero(counts)[0]
-    for i in range(0, len(at), 50_000):
-        yield pd.DataFrame({"bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
-
-
-def rarity(df: DataFrame, text: str) -> np.ndarray:
-    """How many records have a word of each bucket, over all records; capped at 2^31 - 1 as an order needs no more."""
-    got = df.select(F.col(text).alias("body")).mapInPandas(_sketch, "bucket bigint, n bigint").groupBy("bucket").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n")).toPandas()
+def _counts(narrow: DataFrame) -> np.ndarray:
+    """How many records have a word of each bucket, over all records; an order needs no more than 2^31 - 1."""
+    got = narrow.where("bucket is not null").groupBy("bucket").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n")).toPandas()
     counts = np.zeros(SKETCH, np.int32)
     counts[got["bucket"]] = got["n"]
     return counts
@@ -103,17 +94,21 @@ def _signature(doc: np.ndarray, h: np.ndarray, n: int, longs: int = SIGNATURE_LO
 
 
 def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """The class of each record: a hash of its word set."""
-    hasher = WordHasher()
+    """The class of each record, a hash of its word set; after them the task's rarity counts, as rows of their own."""
+    hasher, counts = WordHasher(), np.zeros(SKETCH, np.int64)
     for pdf in chunks(batches, "body"):
         b = Batch(pdf["body"].tolist(), LETTERS_DIGITS, hasher)
         doc, h = _word_sets(b)
+        counts += np.bincount(_bucket(h), minlength=SKETCH)
         size = np.bincount(doc, minlength=b.n)
         # Two independent sums of scrambled hashes: 128 bits that don't depend on the order.
         one, two = np.zeros(b.n, np.uint64), np.zeros(b.n, np.uint64)
         np.add.at(one, doc, mix(h))
         np.add.at(two, doc, mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-        yield pd.DataFrame({"id": pdf["id"], "seen": pdf["seen"], "size": size, "one": one.view(np.int64), "two": two.view(np.int64)})
+        yield pd.DataFrame({"id": pdf["id"], "seen": pdf["seen"], "size": size, "one": one.view(np.int64), "two": two.view(np.int64), "bucket": None, "n": None})
+    at = np.nonzero(counts)[0]
+    for i in range(0, len(at), 50_000):
+        yield pd.DataFrame({"id": None, "seen": pd.NaT, "size": None, "one": None, "two": None, "bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
 
 
 def _keys(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
@@ -129,12 +124,13 @@ def _keys(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
             start = np.concatenate([[0], np.cumsum(size)[:-1]])
             rank = np.arange(len(h)) - start[doc]
             reach = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 2
-            inside = rank < reach[doc]
+            near = size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9).astype(np.int64) + 2
+            inside, inner = rank < reach[doc], rank < near[doc]
             # A bucket with one record can't join two.
             alone = inside & (rare > 1) & (rare <= ALONE)
-            out_doc, out_key = [doc[alone]], [mix(h[alone])]
+            out_doc, out_key, out_inner = [doc[alone]], [mix(h[alone])], [inner[alone]]
             often = np.nonzero(inside & (rare > ALONE))[0]
-            d, x = doc[often], h[often]
+            d, x, y = doc[often], h[often], inner[often]
             step = 1
             while len(d) > step:
                 same = np.nonzero(d[step:] == d[:-step])[0]
@@ -142,8 +138,9 @@ def _keys(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
                     break
                 out_doc.append(d[same])
                 out_key.append(mix(mix(x[same]) ^ x[same + step]))
+                out_inner.append(y[same + step])  # the later word is the farther one
                 step += 1
-            at, key = np.concatenate(out_doc), np.concatenate(out_key)
+            at, key, near_key = np.concatenate(out_doc), np.concatenate(out_key), np.concatenate(out_inner)
             used, inverse = np.unique(at, return_inverse=True)
             if not len(used):
                 continue
@@ -151,7 +148,7 @@ def _keys(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
             place[used] = np.arange(len(used))
             mine = place[doc] >= 0
             sig = _signature(place[doc[mine]], h[mine], len(used)).view(np.int64)
-            yield pd.DataFrame({"key": key.view(np.int64), "id": pdf["id"].to_numpy()[at], "size": size[at].astype(np.int32), **{f"s{k}": sig[inverse, k] for k in range(SIGNATURE_LONGS)}})
+            yield pd.DataFrame({"key": key.view(np.int64), "id": pdf["id"].to_numpy()[at], "size": size[at].astype(np.int32), "inner": near_key, **{f"s{k}": sig[inverse, k] for k in range(SIGNATURE_LONGS)}})
 
     return run
 
@@ -180,26 +177,31 @@ def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...
     """
     kinds = dict(df.dtypes)
     base = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(order).alias("seen"), joined_text(*texts).alias("body"))
-    classed = latest(base.mapInPandas(_classes, f"id {kinds[key]}, seen {kinds[order]}, size bigint, one bigint, two bigint"), "id", "seen")
+    passed = base.mapInPandas(_classes, f"id {kinds[key]}, seen {kinds[order]}, size bigint, one bigint, two bigint, bucket bigint, n bigint")
+    passed = materialize(passed, "neardup-classes")
+    counts = _counts(passed)
+    classed = latest(passed.where("bucket is null").drop("bucket", "n"), "id", "seen")
     shape = ["size", "one", "two"]
     smallest = classed.where("size > 0").groupBy(*shape).agg(F.min("id").alias("class_id"))
     members = materialize(classed.join(smallest, shape, "left").select("id", F.coalesce("class_id", "id").alias("class_id"), (F.col("size") > 0).alias("worded")), "neardup-members")
 
-    heads = members.where(F.col("worded") & (F.col("id") == F.col("class_id"))).select("id")
-    reps = base.join(heads, "id", "left_semi")
-    counts = rarity(base, "body")
+    # Written, so that the planner knows their number: few copies are sent to the texts, many are joined by a shuffle.
+    copies = materialize(members.where(F.col("id") != F.col("class_id")).select("id"), "neardup-copies")
+    reps = base.join(copies, "id", "left_anti")
     columns = ", ".join(f"s{k} bigint" for k in range(SIGNATURE_LONGS))
-    keyed = reps.mapInPandas(_keys(counts, threshold), f"key bigint, id {kinds[key]}, size int, {columns}")
+    keyed = reps.mapInPandas(_keys(counts, threshold), f"key bigint, id {kinds[key]}, size int, inner boolean, {columns}")
     keyed = materialize(keyed, "neardup-keys")
-    a, b = keyed.alias("a"), keyed.alias("b")
+    # The smaller set (of equal ones the smaller id) brings only its inner keys.
+    a, b = keyed.where("inner").drop("inner").alias("a"), keyed.drop("inner").alias("b")
+    first = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.id") < F.col("b.id")))
     fits = F.col("a.size") >= F.ceil(F.lit(threshold) * F.col("b.size") - 1e-9)
-    fits = fits & (F.col("b.size") >= F.ceil(F.lit(threshold) * F.col("a.size") - 1e-9))
-    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & (F.col("a.id") < F.col("b.id")) & fits & _pruned("a", "b", threshold))
-    pairs = materialize(pairs.select(F.col("a.id").alias("class_a"), F.col("b.id").alias("class_b")).distinct(), "neardup-pairs")
+    pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & first & fits & _pruned("a", "b", threshold))
+    pairs = pairs.select(F.least("a.id", "b.id").alias("class_a"), F.greatest("a.id", "b.id").alias("class_b")).distinct()
+    pairs = materialize(pairs, "neardup-pairs")
 
-    wanted = pairs.select(F.col("class_a").alias("id")).union(pairs.select(F.col("class_b").alias("id"))).distinct()
+    wanted = materialize(pairs.select(F.col("class_a").alias("id")).union(pairs.select(F.col("class_b").alias("id"))).distinct(), "neardup-wanted")
     words = F.array_distinct(F.regexp_extract_all(F.lower("body"), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)))
-    sets = base.join(wanted, "id", "left_semi").groupBy("id").agg(F.max(F.struct("seen", "body")).alias("b")).select("id", F.col("b.body").alias("body")).select("id", words.alias("words"))
+    sets = latest(base.join(wanted, "id", "left_semi"), "id", "seen").select("id", words.alias("words"))
     left, right = sets.select(F.col("id").alias("class_a"), F.col("words").alias("x")), sets.select(F.col("id").alias("class_b"), F.col("words").alias("y"))
     shared = F.size(F.array_intersect("x", "y"))
     both = pairs.join(left, "class_a").join(right, "class_b").withColumn("shared", shared)

@@ -83,7 +83,7 @@ def _stack(longest: int):  # type: ignore[no-untyped-def]
 
 
 def _frame(rows: list[tuple[list[str], int, int]]) -> pd.DataFrame:
-    return pd.DataFrame({"gram": [r[0] for r in rows], "occurrences": pd.Series([r[1] for r in rows], dtype="int64"), "records": pd.Series([r[2] for r in rows], dtype="int64")})
+    return pd.DataFrame({"gram": pd.Series([r[0] for r in rows], dtype="object"), "occurrences": pd.Series([r[1] for r in rows], dtype="int64"), "records": pd.Series([r[2] for r in rows], dtype="int64")})
 
 
 def term_frequencies(df: DataFrame, terms: str, longest: int = LONGEST) -> DataFrame:

@@ -70,9 +70,9 @@ def _bucket(h: np.ndarray) -> np.ndarray:
 
 def _counts(narrow: DataFrame) -> np.ndarray:
     """How many records have a word of each bucket, over all records; an order needs no more than 2^31 - 1."""
-    got = narrow.where("bucket is not null").groupBy("bucket").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n")).toPandas()
+    got = narrow.where("bucket is not null").groupBy("bucket").agg(F.least(F.sum("n"), F.lit(2**31 - 1)).alias("n")).toArrow()
     counts = np.zeros(SKETCH, np.int32)
-    counts[got["bucket"]] = got["n"]
+    counts[got["bucket"].to_numpy()] = got["n"].to_numpy()
     return counts
 
 

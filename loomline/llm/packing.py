@@ -210,7 +210,7 @@ def _pack_one(sized: DataFrame, capacity: int, separator: int) -> DataFrame:
     step = F.size(F.filter(ends, lambda e: e < F.col("n_tokens")))
     pieces = rest.unionByName(full).withColumn("step", step).withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(BUCKETS)))
     pieces = materialize(pieces, "packing-pieces")
-    counts = pieces.groupBy("step", "bucket").agg(F.count("*").alias("n")).toPandas()  # steps x buckets, bounded
+    counts = pieces.groupBy("step", "bucket").agg(F.count("*").alias("n")).toArrow().to_pandas()  # steps x buckets, bounded
     histogram = np.zeros(len(edges), np.int64)
     np.add.at(histogram, counts["step"].to_numpy(np.int64), counts["n"].to_numpy(np.int64))
     plan = make_plan(histogram, edges, capacity, separator) if histogram.sum() else []

@@ -137,10 +137,10 @@ def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def train(df: DataFrame, text: str, rows: int = TRAIN_ROWS) -> Scorer:
     """Fit on at most ``rows`` rows of ``df``, chosen by the hash of their text."""
     picked = df.select(F.col(text).alias("body")).where(F.length("body") > 0).orderBy(F.xxhash64("body"), "body").limit(rows)
-    got = picked.mapInPandas(_label, "body string, share double").toPandas()
+    got = picked.mapInPandas(_label, "body string, share double").toArrow()
     if not len(got):
         return Scorer()
-    x, _ = features(got["body"].tolist(), WordHasher())
+    x, _ = features(got["body"].to_pylist(), WordHasher())
     return Scorer().fit(x, got["share"].to_numpy() >= REPETITIVE)
 
 

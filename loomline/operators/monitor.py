@@ -5,23 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomline.operators.ranks import running_number
 
-def batches(df: DataFrame, size: int = 32, key: str = "doc_id", bucket: int = 4096) -> DataFrame:
-    """``key, batch``: batches of ``size`` rows in the order of an integer key, without sorting all rows in one task.
 
-    Keys are cut into ranges of ``bucket``; rows are numbered within their range and shifted by the rows of the ranges before.
-    """
-    part = F.floor(F.col(key) / bucket)
-    sized = df.groupBy(part.alias("part")).agg(F.count("*").alias("n"))
-    before = sized.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).select("part", "before")
-    own = F.row_number().over(Window.partitionBy("part").orderBy(key)) - 1
-    return df.select(key, part.alias("part")).withColumn("own", own).join(before, "part").select(key, F.floor((F.col("own") + F.col("before")) / size).alias("batch"))
+def batches(df: DataFrame, size: int = 32, key: str = "doc_id") -> DataFrame:
+    """``key, batch``: batches of ``size`` rows in the order of an integer key, without sorting all rows in one task; null keys are left out."""
+    return running_number(df.where(F.col(key).isNotNull()).select(key), key).select(key, F.floor(F.col("number") / size).alias("batch"))
 
 
 def running_count(df: DataFrame, key: str = "event_id", group: str = "event_type") -> DataFrame:
-    """``key, group, done``: how many events of its group were done up to each event."""
-    w = Window.partitionBy(group).orderBy(key).rowsBetween(Window.unboundedPreceding, 0)
-    return df.select(key, group, F.count("*").over(w).alias("done"))
+    """``key, group, done``: how many events of its group were done up to each event. A group may hold most of all rows."""
+    known = df.where(F.col(key).isNotNull() & F.col(group).isNotNull()).select(key, group)
+    return running_number(known, key, group).select(key, group, (F.col("number") + 1).alias("done"))
 
 
 def degraded(batch: Column, least: int = 16, factor: float = 0.5) -> Column:
@@ -47,10 +42,23 @@ def throughput(df: DataFrame, width: str = "1 hour", time: str = "ts", group: st
     return out.select(F.col("w.start").alias("started"), group, "n_events", "total")
 
 
-def sessions(df: DataFrame, gap: str = "30 minutes", time: str = "ts", user: str = "user_id") -> DataFrame:
-    """``user, started, ended, n_events``: runs of a user's events with less than ``gap`` between neighbours."""
-    out = df.groupBy(user, F.session_window(F.col(time).cast("timestamp"), gap).alias("w")).agg(F.count("*").alias("n_events"), F.max(F.col(time)).alias("ended"))
-    return out.select(user, F.col("w.start").cast("timestamp_ntz").alias("started"), "ended", "n_events")
+def sessions(df: DataFrame, gap_s: int = 1800, time: str = "ts", user: str = "user_id") -> DataFrame:
+    """``user, started, ended, n_events``: runs of a user's events with less than ``gap_s`` seconds between neighbours.
+
+    Sessions are made within each user and day first, then those that meet are joined, so that a user with most of all
+    events is spread over the days. Events without user or time are left out.
+    """
+    gap = F.make_dt_interval(secs=F.lit(gap_s))
+    day = F.to_date(time)
+    known = df.where(F.col(user).isNotNull() & F.col(time).isNotNull()).select(user, F.col(time).alias("at"), day.alias("day"))
+    within, over = Window.partitionBy(user, "day").orderBy("at"), Window.partitionBy(user).orderBy("started")
+    opens = lambda begin, end, w: F.when(begin - F.lag(end).over(w) < gap, 0).otherwise(1)
+    run = lambda w: F.sum("opens").over(w.rowsBetween(Window.unboundedPreceding, 0))
+    marked = known.withColumn("opens", opens(F.col("at"), F.col("at"), within)).withColumn("k", run(within))
+    parts = marked.groupBy(user, "day", "k").agg(F.min("at").alias("started"), F.max("at").alias("ended"), F.count("*").alias("n"))
+    joined = parts.withColumn("opens", opens(F.col("started"), F.col("ended"), over)).withColumn("k", run(over))
+    out = joined.groupBy(user, "k").agg(F.min("started").alias("started"), F.max("ended").alias("ended"), F.sum("n").alias("n_events"))
+    return out.select(user, "started", "ended", "n_events")
 
 
 def success_rates(df: DataFrame, group: str = "user_id", kind: str = "event_type", failure: str = "error") -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -14,6 +15,7 @@ from loomline.functions import generate
 from loomline.functions.text import corrected, preview, token_count
 from loomline.operators import formats, monitor, quality, validate, vectors
 from loomline.operators.deliveries import latest
+from loomline.operators.ranks import running_number
 from loomline.plans import config, logs
 from loomline.plans.steps import run_steps
 from loomline.sources import files
@@ -120,13 +122,35 @@ def test_vectors_against_brute_force(spark):
 
 def test_monitoring(spark):
     df = spark.createDataFrame([(i * 3,) for i in range(100)], "doc_id bigint")
-    got = monitor.batches(df, 32, bucket=50).orderBy("doc_id").collect()
+    got = monitor.batches(df, 32).orderBy("doc_id").collect()
     assert [r["batch"] for r in got] == [i // 32 for i in range(100)]
     rates = spark.createDataFrame([(1, 95.0), (2, 60.0), (3, 1.0), (4, None)], "user_id int, success_rate double")
     assert {r["user_id"]: r["status"] for r in monitor.health(rates).collect()} == {1: "success", 2: "degraded", 3: "failed", 4: "unknown"}
     assert spark.range(1).select(monitor.degraded(F.lit(32)), monitor.degraded(F.lit(20)), monitor.degraded(F.lit(80))).first()[0:3] == (16, 16, 40)
 
 
+def test_running_numbers_in_small_ranges(spark):
+    rng = random.Random(3)
+    rows = [(k, rng.choice("aab")) for k in rng.sample(range(-500, 90_000), 700)]
+    got = {(r["k"], r["g"]): r["number"] for r in running_number(spark.createDataFrame(rows, "k bigint, g string"), "k", "g", size=3).collect()}
+    assert got == {(k, g): n for g in "ab" for n, k in enumerate(sorted(k for k, h in rows if h == g))}
+
+
+def test_sessions_over_midnight_and_hot_users(spark):
+    rng = random.Random(4)
+    start = datetime(2024, 1, 1)
+    times = sorted(start + timedelta(minutes=rng.randrange(0, 60 * 24 * 4)) for _ in range(300))
+    df = spark.createDataFrame([(1, t) for t in times] + [(2, start), (None, start), (3, None)], "user_id int, ts timestamp_ntz")
+    want = []
+    for i, t in enumerate(times):
+        if i and t - times[i - 1] < timedelta(minutes=30):
+            want[-1][2:] = [t, want[-1][3] + 1]
+        else:
+            want.append([1, t, t, 1])
+    got = sorted(list(r) for r in monitor.sessions(df).collect())
+    assert got == sorted([*want, [2, start, start, 1]])
+
+
 def test_generation(spark):
     df = spark.createDataFrame([("a", "C", "T", "text"), ("b", None, "T", "text"), ("c", "C", None, " ")], "id string, component string, title string, content string")
     assert tuple(generate.generation_stats(generate.template_conversations(df)).first()) == (3, 1, 2)

@@ -31,7 +31,7 @@ BINS = 400
 MOST = 3
 #: A pattern that leaves a greater share of its sequence unused isn't fitted.
 LOOSE = 0.02
-BUCKETS = 64
+BUCKETS = 256
 
 
 def edges_of(capacity: int, bins: int = BINS) -> list[int]:

@@ -108,11 +108,10 @@ def term_frequencies(df: DataFrame, terms: str, longest: int = LONGEST) -> DataF
 def verdicts(freq: DataFrame, total: DataFrame, rare: int = RARE, common: float = COMMON) -> DataFrame:
     """``freq`` with ``verdict``: ``rare`` in fewer than ``rare`` records, ``common`` in more than the share ``common`` of all, else ``kept``.
 
-    ``total`` is one row with the number of all records in ``total``.
+    ``total`` is one row with the number of all records.
     """
-    all_records = F.broadcast(total.select("total"))  # one row
-    verdict = F.when(F.col("records") < rare, "rare").when(F.col("records") > common * F.col("total"), "common").otherwise("kept")
-    return freq.crossJoin(all_records).withColumn("verdict", verdict).drop("total")
+    verdict = F.when(F.col("records") < rare, "rare").when(F.col("records") > common * total.scalar(), "common").otherwise("kept")
+    return freq.withColumn("verdict", verdict)
 
 
 def tool_frequencies(df: DataFrame, longest: int = LONGEST, key: str = "sample_id", calls: str = "tool_calls") -> DataFrame:

@@ -1,4 +1,4 @@
-"""Command line: ``generate --config FILE [--test-mode] [--steps A,B]``, ``list-steps``, ``validate-config --config FILE``, ``default-config FILE``."""
+"""Command line: ``generate --config FILE [--test-mode] [--steps A,B] [--sections A,B]``, ``list-steps``, ``validate-config --config FILE``, ``default-config FILE``."""
 
 from __future__ import annotations
 
@@ -15,6 +15,7 @@ def main(args: list[str] | None = None) -> int:
     run.add_argument("--config", required=True)
     run.add_argument("--test-mode", action="store_true")
     run.add_argument("--steps")
+    run.add_argument("--sections")
     commands.add_parser("list-steps")
     check = commands.add_parser("validate-config")
     check.add_argument("--config", required=True)
@@ -38,7 +39,7 @@ def main(args: list[str] | None = None) -> int:
     config = load_config(got.config)
     config.test_mode = config.test_mode or got.test_mode
     config.steps = got.steps.split(",") if got.steps else config.steps
-    print(*write_outputs(run_steps(session(), config)), sep="\n")
+    print(*write_outputs(run_steps(session(), config, got.sections.split(",") if got.sections else None)), sep="\n")
     return 0
 
 

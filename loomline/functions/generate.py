@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Iterator
+from enum import Enum
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -19,6 +20,31 @@ TURNS = "array<struct<sender:string,value:string>>"
 Generator = Callable[[dict], tuple[str, str] | None]
 
 
+class GenerationMode(Enum):
+    """How conversations are made: by the built-in template or by a generator that asks a model."""
+
+    TEMPLATE = "template"
+    LLM_ASSISTED = "llm_assisted"
+
+
+def prompt_messages(df: DataFrame, system: str = "You answer questions about {component}.") -> DataFrame:
+    """``id, messages``: the chat messages ``{role, content}`` that ask a model about each document; null where component or content is missing."""
+    usable = F.col("component").isNotNull() & (F.trim(F.coalesce("content", F.lit(""))) != "")
+    message = lambda role, text: F.struct(F.lit(role).alias("role"), text.alias("content"))
+    told = F.replace(F.lit(system), F.lit("{component}"), F.col("component"))
+    asked = F.concat(F.coalesce("title", F.lit("")), F.lit("\n\n"), F.col("content"))
+    return df.select("id", F.when(usable, F.array(message("system", told), message("user", asked))).alias("messages"))
+
+
+def conversations(df: DataFrame, mode: GenerationMode = GenerationMode.TEMPLATE, generator: Generator | None = None, **options: float) -> DataFrame:
+    """``id, conversations`` by the mode; ValueError if a model is wanted but no generator given."""
+    if mode is GenerationMode.TEMPLATE:
+        return template_conversations(df).select("id", "conversations")
+    if generator is None:
+        raise ValueError("this mode needs a generator")
+    return generate(df, generator, **options)
+
+
 def template_conversations(df: DataFrame) -> DataFrame:
     """``id, conversations, metadata`` of documents ``id, component, title, content``; null turns where component or content is missing."""
     question = F.concat(F.lit("How is "), F.col("component"), F.lit(" used? "), F.coalesce("title", F.lit("")))

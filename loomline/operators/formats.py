@@ -91,6 +91,17 @@ def turn_stats(df: DataFrame, key: str = "id") -> DataFrame:
     return seen.select(key, F.size("t").cast("bigint").alias("n_turns"), F.aggregate("t", F.lit(0).cast("bigint"), lambda a, t: a + F.length(t["value"])).alias("n_chars"), repeated.alias("n_repeated_roles"))
 
 
+def instruction_rows(df: DataFrame) -> DataFrame:
+    """The three columns of an instruction dataset."""
+    return df.select("instruction", "input", "output")
+
+
+def turn_previews(df: DataFrame, key: str = "id", length: int = 100) -> DataFrame:
+    """``id, turn, role, value_preview``: the first characters of every turn."""
+    made = F.transform(turns(), lambda t, i: F.struct(i.alias("turn"), _role(t["sender"], OPENAI_ROLES).alias("role"), F.substring(t["value"], 1, length).alias("value_preview")))
+    return df.select(key, F.inline(made))
+
+
 def first_turns(df: DataFrame, most: int, key: str = "id") -> DataFrame:
     """``id, turn, role, value`` of the first ``most`` turns of each conversation."""
     made = F.slice(F.transform(turns(), lambda t, i: F.struct(i.alias("turn"), _role(t["sender"], OPENAI_ROLES).alias("role"), t["value"].alias("value"))), 1, most)

@@ -42,6 +42,12 @@ def throughput(df: DataFrame, width: str = "1 hour", time: str = "ts", group: st
     return out.select(F.col("w.start").alias("started"), group, "n_events", "total")
 
 
+def value_percentiles(df: DataFrame, width: str = "1 day", time: str = "ts", value: str = "value") -> DataFrame:
+    """``started, n_events, p50, p95`` of a measured value in tumbling windows."""
+    out = df.groupBy(F.window(F.col(time), width).alias("w")).agg(F.count("*").alias("n_events"), F.percentile(value, 0.5).alias("p50"), F.percentile(value, 0.95).alias("p95"))
+    return out.select(F.col("w.start").alias("started"), "n_events", "p50", "p95")
+
+
 def sessions(df: DataFrame, gap_s: int = 1800, time: str = "ts", user: str = "user_id") -> DataFrame:
     """``user, started, ended, n_events``: runs of a user's events with less than ``gap_s`` seconds between neighbours.
 

@@ -19,6 +19,11 @@ def quality_filter(df: DataFrame, score: str = "quality_score", least: float = M
     return df.where(F.col(score) >= least)
 
 
+def safety_filter(df: DataFrame, score: str = "toxicity", most: float = 0.1) -> DataFrame:
+    """Rows with at most the score; a row without score isn't known to be safe and isn't kept."""
+    return df.where(F.col(score) <= most)
+
+
 def length_filter(df: DataFrame, text: str = "text", most: int = MAX_TOKENS) -> DataFrame:
     return df.where(token_count(F.col(text)) <= most)
 

@@ -53,6 +53,17 @@ def top_k(df: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding",
     return found.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def nearest_centroid(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label") -> DataFrame:
+    """``key, label, nearest``: each vector's label and that of the most similar centroid, ties to the smaller label. Labels are few and are broadcast as one row."""
+    flat = df.select(label, F.posexplode(vector).alias("dim", "x")).groupBy(label, "dim").agg(F.avg(F.col("x").cast("double")).alias("m"))
+    packed = flat.groupBy(label).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda e: e["m"]).alias("c"))
+    every = packed.agg(F.array_sort(F.collect_list(F.struct(F.col(label).alias("l"), "c"))).alias("all")).scalar()
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y), F.lit(0.0), lambda s, x: s + x)
+    norm = lambda a: F.sqrt(dot(a, a))
+    scored = F.transform("all", lambda e: F.struct(F.round(-dot(F.col(vector), e["c"]) / norm(e["c"]), 5).alias("s"), e["l"].alias("l")))
+    return df.select(key, label, vector, every.alias("all")).select(key, label, F.array_min(scored)["l"].alias("nearest"))
+
+
 def centroids(df: DataFrame, label: str = "label", vector: str = "embedding") -> DataFrame:
     """``label, dim, mean``: the mean of each dimension of each label's vectors, dimensions from 0."""
     flat = df.select(label, F.posexplode(vector).alias("dim", "x"))

@@ -134,6 +134,25 @@ def conversation_first_turns(spark: SparkSession, d: str) -> DataFrame:
     return formats.first_turns(_conversations(spark, d), 2)
 
 
+@_query(f"WITH {_CONV}, {_FLAT} SELECT id, turn::INT AS turn, role, substr(value, 1, 100) AS value_preview FROM turns")
+def turn_previews(spark: SparkSession, d: str) -> DataFrame:
+    return formats.turn_previews(_conversations(spark, d))
+
+
+@_query("SELECT instruction, input, output FROM syncfusion_tool_calling_dataset")
+def instruction_rows(spark: SparkSession, d: str) -> DataFrame:
+    return formats.instruction_rows(samples(spark, d))
+
+
+@_query(
+    """SELECT id, to_json([{'role': 'system', 'content': 'You answer questions about ' || component || '.'}, {'role': 'user', 'content': coalesce(title, '') || chr(10) || chr(10) || content}])::VARCHAR AS messages
+    FROM source_documents WHERE component IS NOT NULL AND trim(coalesce(content, '')) <> ''"""
+)
+def prompt_messages(spark: SparkSession, d: str) -> DataFrame:
+    made = generate.prompt_messages(table(spark, d, "source_documents"))
+    return made.where("messages IS NOT NULL").select("id", F.to_json("messages").alias("messages"))
+
+
 @_query("SELECT key AS metadata_key, count(*) AS n_conversations FROM (SELECT id, unnest(map_keys(metadata)) AS key FROM generated_conversations) GROUP BY key")
 def metadata_keys(spark: SparkSession, d: str) -> DataFrame:
     keys = table(spark, d, "generated_conversations").select("id", F.explode(F.map_keys("metadata")).alias("metadata_key"))
@@ -439,6 +458,16 @@ def vector_topk(spark: SparkSession, d: str) -> DataFrame:
     return vectors.top_k(table(spark, d, "embeddings"), 10)
 
 
+@_query(
+    """WITH x AS (SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings), f AS (SELECT label, unnest(e) AS v, generate_subscripts(e, 1) AS dim FROM x),
+    c AS (SELECT label, list(m ORDER BY dim) AS c FROM (SELECT label, dim, avg(v) AS m FROM f GROUP BY label, dim) GROUP BY label),
+    s AS (SELECT x.vec_id, x.label, c.label AS l, round(-list_dot_product(x.e, c.c) / sqrt(list_dot_product(c.c, c.c)), 5) AS s FROM x, c)
+    SELECT vec_id, label, nearest FROM (SELECT vec_id, label, l AS nearest, row_number() OVER (PARTITION BY vec_id ORDER BY s, l) AS k FROM s) WHERE k = 1"""
+)
+def vector_nearest_centroid(spark: SparkSession, d: str) -> DataFrame:
+    return vectors.nearest_centroid(table(spark, d, "embeddings"))
+
+
 @_query("SELECT label, (dim - 1)::INT AS dim, round(avg(x), 6) AS mean FROM (SELECT label, unnest(embedding)::DOUBLE AS x, generate_subscripts(embedding, 1) AS dim FROM embeddings) GROUP BY 1, 2")
 def vector_centroids(spark: SparkSession, d: str) -> DataFrame:
     return vectors.centroids(table(spark, d, "embeddings"))
@@ -478,6 +507,11 @@ def throughput_tumbling(spark: SparkSession, d: str) -> DataFrame:
     return monitor.throughput(_events(spark, d))
 
 
+@_query("SELECT ts::DATE::TIMESTAMP AS started, count(*) AS n_events, quantile_cont(value, 0.5) AS p50, quantile_cont(value, 0.95) AS p95 FROM events GROUP BY 1")
+def value_percentiles(spark: SparkSession, d: str) -> DataFrame:
+    return monitor.value_percentiles(_events(spark, d))
+
+
 @_query(
     """WITH g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w < INTERVAL 30 minutes THEN 0 ELSE 1 END AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
     s AS (SELECT *, sum(new) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM g)

@@ -8,13 +8,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.functions import generate
 from loomline.functions.text import corrected, token_count
-from loomline.operators import formats, pages, quality
+from loomline.operators import formats, pages, quality, validate
 from loomline.plans.config import STEPS, PipelineConfig
 from loomline.sources import files
 
@@ -26,11 +27,15 @@ class Run:
     spark: SparkSession
     config: PipelineConfig
     tables: dict[str, DataFrame] = field(default_factory=dict)
+    #: Only these sections' folders are listed; all if there are none.
+    sections: list[str] | None = None
 
 
 def _pages(run: Run) -> dict[str, DataFrame]:
     """Pages with their headers; the path says section and number."""
-    scanned = files.page_scan(run.spark, run.config.md_staging_path)
+    scanned = files.page_scan(run.spark, run.config.md_staging_path, run.sections)
+    if run.config.md_output_path and any(Path(run.config.md_output_path).glob("*/page_*.md")):
+        scanned = scanned.unionByName(files.page_scan(run.spark, run.config.md_output_path, run.sections))
     if run.config.test_mode:
         scanned = scanned.orderBy("section", "page").limit(run.config.sample_size)
     text = corrected(F.col("text")) if run.config.enable_auto_correction else F.col("text")
@@ -65,9 +70,9 @@ def _quality(run: Run) -> dict[str, DataFrame]:
 REGISTRY: dict[str, Callable[[Run], dict[str, DataFrame]]] = dict(zip(STEPS, (_pages, _documents, _conversations, _dataset, _quality), strict=True))
 
 
-def run_steps(spark: SparkSession, config: PipelineConfig) -> Run:
+def run_steps(spark: SparkSession, config: PipelineConfig, sections: list[str] | None = None) -> Run:
     """The tables of the configured steps, in their order; a step needs those before it."""
-    run = Run(spark, config)
+    run = Run(spark, config, sections=sections)
     for name in config.steps:
         if name not in REGISTRY:
             raise ValueError(f"step {name!r} doesn't exist")
@@ -84,4 +89,8 @@ def write_outputs(run: Run) -> list[str]:
             path = f"{run.config.output_directory}/{name}"
             files.write_json_lines(run.tables[name], path, "split")
             out.append(path)
+    if "alpaca" in run.tables and run.sections is None:
+        # Only a run over all sections writes statistics.
+        stats = validate.dataset_stats(run.tables["alpaca"].withColumn("section", F.substring_index("id", "/", 1)), "section")
+        files.write_stats(stats, f"{run.config.output_directory}/dataset_stats.json")
     return out

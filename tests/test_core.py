@@ -5,6 +5,7 @@ from __future__ import annotations
 import json
 import math
 import random
+import time
 from datetime import datetime, timedelta
 
 import pytest
@@ -16,7 +17,7 @@ from loomline.functions.text import corrected, preview, token_count
 from loomline.operators import formats, monitor, quality, validate, vectors
 from loomline.operators.deliveries import latest
 from loomline.operators.ranks import running_number
-from loomline.plans import config, logs
+from loomline.plans import config, logs, timeouts
 from loomline.plans.steps import run_steps
 from loomline.sources import files
 
@@ -189,6 +190,8 @@ def test_files_steps_and_command_line(spark, tmp_path, capsys):
     assert main(["list-steps"]) == 0 and main(["validate-config", "--config", str(settings)]) == 0
     assert main(["generate", "--config", str(settings)]) == 0
     assert spark.read.json(f"{tmp_path}/out/openai").count() == 3
+    assert json.loads((tmp_path / "out/dataset_stats.json").read_text())["sections_processed"] == 2
+    assert run_steps(spark, config.load_config(str(settings)), ["grid"]).tables["pages"].count() == 2
     settings.write_text("formats: [xml]\n")
     assert main(["validate-config", "--config", str(settings)]) == 1
     capsys.readouterr()
@@ -210,6 +213,40 @@ def test_dataset_files(spark, tmp_path):
     assert json.loads(path.read_text()) == {"n": 1}
 
 
+def test_time_limits(spark):
+    assert timeouts.within(spark, 60, lambda: spark.range(5).count()) == 5
+    with pytest.raises(timeouts.TimeLimitExceeded):
+        timeouts.within(spark, 1.5, lambda: spark.range(0, 10**13, 1, 4).selectExpr("sum(id % 7)").collect())
+    with pytest.raises(ValueError):
+        timeouts.within(spark, 60, lambda: int("x"))
+
+
+def test_stream_progress(spark, tmp_path):
+    spark.range(20).write.parquet(str(tmp_path / "in"))
+    seen = timeouts.Progress()
+    spark.streams.addListener(seen)
+    try:
+        q = spark.readStream.schema("id bigint").parquet(str(tmp_path / "in")).writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start()
+        q.awaitTermination()
+        for _ in range(50):
+            if seen.rows == 20 and not seen.running:
+                break
+            time.sleep(0.1)
+    finally:
+        spark.streams.removeListener(seen)
+    assert seen.rows == 20 and seen.batches >= 1 and not seen.running
+
+
+def test_safety_and_modes(spark):
+    assert quality.safety_filter(spark.createDataFrame([(0.1,), (0.2,), (None,)], "toxicity double")).count() == 1
+    df = spark.createDataFrame([("a", "C", None, "text")], "id string, component string, title string, content string")
+    assert generate.conversations(df).first()["conversations"][0]["sender"] == "human"
+    with pytest.raises(ValueError):
+        generate.conversations(df, generate.GenerationMode.LLM_ASSISTED)
+    made = generate.conversations(df, generate.GenerationMode.LLM_ASSISTED, lambda r: ("q", "a"), concurrent=1)
+    assert made.first()["conversations"][1]["value"] == "a"
+
+
 def test_logs(spark, tmp_path):
     logs.create_logger("loomline.test", "debug", str(tmp_path / "x.log")).debug("hello")
     assert "hello" in (tmp_path / "x.log").read_text()

@@ -20,17 +20,25 @@ def unix_lines(text: Column) -> Column:
     return F.regexp_replace(text, r"\r\n?", "\n")
 
 
-def header_field(text: Column, key: str) -> Column:
-    """The field's value without outer blanks, null where the page has none or a blank one."""
-    line = F.regexp_extract(text, rf"(?m)^[^\S\n]*(?:<!--[^\S\n]*)?{key}:[^\S\n]*(.*?)[^\S\n]*(?:-->)?[^\S\n]*$", 1)
-    json = F.regexp_extract(text, rf'"{key}"\s*:\s*"([^"\n]*)"', 1)
+def _field_lines(text: Column) -> Column:
+    """The lines and JSON members of a page that may hold a header field, found in one reading of the page."""
+    names = "|".join(HEADER_KEYS)
+    lines = F.regexp_extract_all(text, F.lit(rf"(?m)^[^\S\n]*(?:<!--[^\S\n]*)?(?:{names}):.*$"), F.lit(0))
+    members = F.regexp_extract_all(text, F.lit(rf'"(?:{names})"\s*:\s*"[^"\n]*"'), F.lit(0))
+    return F.array_join(F.concat(lines, members), "\n")
+
+
+def _field(lines: Column, key: str) -> Column:
+    """The first value of ``key`` among :func:`_field_lines` without outer blanks, null where there is none or a blank one."""
+    line = F.regexp_extract(lines, rf"(?m)^[^\S\n]*(?:<!--[^\S\n]*)?{key}:[^\S\n]*(.*?)[^\S\n]*(?:-->)?[^\S\n]*$", 1)
+    json = F.regexp_extract(lines, rf'"{key}"\s*:\s*"([^"\n]*)"', 1)
     return F.coalesce(*[F.when(F.trim(v) != "", F.trim(v)) for v in (line, json)])
 
 
 def header(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """``key``, the twelve header fields as text, and ``page`` as a number; nulls where a page lacks a field or has no text."""
-    own = df.select(key, unix_lines(F.col(text)).alias("t"))
-    out = own.select(key, *[header_field(F.col("t"), k).alias("ts" if k == "timestamp" else k) for k in HEADER_KEYS])
+    own = df.select(key, _field_lines(unix_lines(F.col(text))).alias("lines"))
+    out = own.select(key, *[_field(F.col("lines"), k).alias("ts" if k == "timestamp" else k) for k in HEADER_KEYS])
     return out.withColumn("page", F.expr("try_cast(page_number AS INT)"))
 
 

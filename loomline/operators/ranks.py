@@ -13,9 +13,14 @@ from pyspark.sql import functions as F
 RANGE, LEVEL = 4096, 4096
 
 
-def _before(counts: DataFrame, groups: list[str]) -> DataFrame:
+def _start(key: Column, size: int) -> Column:
+    """The first key of the range that holds ``key``; whole numbers throughout."""
+    return key - F.pmod(key, F.lit(size).cast("bigint"))
+
+
+def _before(counts: DataFrame, groups: list[str], size: int) -> DataFrame:
     """``groups, part, before``: the rows of a group's parts before each part."""
-    part, upper = F.col("part"), F.floor(F.col("part") / LEVEL)
+    part, upper = F.col("part"), _start(F.col("part"), size * LEVEL)
     tops = counts.groupBy(*groups, upper.alias("upper")).agg(F.sum("n").alias("n"))
     up = F.sum("n").over(Window.partitionBy(*groups).orderBy("upper").rowsBetween(Window.unboundedPreceding, -1))
     tops = tops.select(*groups, "upper", F.coalesce(up, F.lit(0)).alias("above"))
@@ -26,8 +31,8 @@ def _before(counts: DataFrame, groups: list[str]) -> DataFrame:
 
 def running_number(df: DataFrame, key: str, *groups: str, size: int = RANGE) -> DataFrame:
     """``df`` with ``number``, from 0 in the order of the integer ``key`` within ``groups``. Keys and groups mustn't be null; equal keys are numbered in any order."""
-    parted = df.withColumn("part", F.floor(F.col(key) / size))
-    before = _before(parted.groupBy(*groups, "part").agg(F.count("*").alias("n")), list(groups))
+    parted = df.withColumn("part", _start(F.col(key).cast("bigint"), size))
+    before = _before(parted.groupBy(*groups, "part").agg(F.count("*").alias("n")), list(groups), size)
     own: Column = F.row_number().over(Window.partitionBy(*groups, "part").orderBy(key)) - 1
     out = parted.withColumn("own", own).join(before, [*groups, "part"])
     return out.withColumn("number", F.col("own") + F.col("before")).drop("part", "own", "before")

@@ -63,8 +63,8 @@ class Batch:
 
     def __init__(self, texts: Sequence[str | None], pattern: re.Pattern, hasher: WordHasher) -> None:
         words, sizes = [], []
-        for t in texts:
-            own = pattern.findall(t.lower()) if t else []
+        self.words = [pattern.findall(t.lower()) if t else [] for t in texts]
+        for own in self.words:
             words += own
             sizes.append(len(own))
         self.n = len(sizes)

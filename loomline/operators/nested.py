@@ -103,18 +103,28 @@ def _is_open(v: Column) -> Column:
 def depths(df: DataFrame, calls: str, tools: str) -> tuple[int, int]:
     """The levels of the deepest arguments and of the deepest parameter schema: one row to the driver."""
     roots = df.select(call_roots(F.col(calls)).alias("c"), tool_roots(F.col(tools)).alias("t"))
-    level = lambda nodes: F.coalesce(F.array_max(F.transform(nodes, lambda n: nesting(F.to_json(n["value"])))), F.lit(0))
+    # One after another, the texts of a row are as deep as the deepest of them.
+    level = lambda nodes: nesting(F.array_join(F.transform(nodes, lambda n: F.to_json(n["value"])), ""))
     got = roots.agg(F.max(level(F.col("c"))).alias("c"), F.max(level(F.col("t"))).alias("t")).first()
     # A declared parameter lies two brackets below the schema that declares it.
     return got["c"] or 0, ((got["t"] or 0) + 1) // 2
 
 
-def nesting(json: Column) -> Column:
-    """Levels of brackets in a well-formed JSON text: its strings are emptied, then the open brackets are counted along it."""
+def nesting(json: Column, rounds: int = 10) -> Column:
+    """Levels of brackets in a well-formed JSON text, 0 for a null one.
+
+    The strings are emptied and all but the brackets taken away; then each round takes away the innermost pairs. What is
+    deeper than ``rounds`` is counted bracket by bracket.
+    """
     bare = F.regexp_replace(F.regexp_replace(json, r"\\.", ""), r'"[^"]*+"|[^{}\[\]"]++', "")
-    signs = F.transform(F.split(F.translate(bare, "{}[]", "+-+-"), ""), lambda c: F.when(c == "+", 1).when(c == "-", -1).otherwise(0))
+    left, depth = F.translate(bare, "[]", "{}"), F.lit(0)
+    for _ in range(rounds):
+        depth = depth + (left != "").cast("int")
+        left = F.replace(left, F.lit("{}"), F.lit(""))
+    signs = F.transform(F.split(left, ""), lambda c: F.when(c == "{", 1).when(c == "}", -1).otherwise(0))
     zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
-    return F.aggregate(signs, zero, lambda a, s: F.struct((a["now"] + s).alias("now"), F.greatest(a["most"], a["now"] + s).alias("most")), lambda a: a["most"])
+    rest = F.aggregate(signs, zero, lambda a, s: F.struct((a["now"] + s).alias("now"), F.greatest(a["most"], a["now"] + s).alias("most")), lambda a: a["most"])
+    return F.coalesce(depth + F.when(left != "", rest).otherwise(0), F.lit(0))
 
 
 def leaf_paths(df: DataFrame, key: str = "sample_id", calls: str = "tool_calls", tools: str = "tools", order: str = "ingested_at") -> DataFrame:

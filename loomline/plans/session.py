@@ -19,6 +19,8 @@ def prepare(spark: SparkSession) -> SparkSession:
         return spark
     _shipped.add(context.applicationId)
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    # Of repeated keys in a JSON object the last one counts.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     package = Path(__file__).resolve().parents[1]
     handle, path = tempfile.mkstemp(prefix="loomline-", suffix=".zip")
     os.close(handle)

@@ -4,7 +4,9 @@ import json
 
 import pytest
 
-from loomline.operators.nested import argument_table, call_table, leaf_paths, parameter_table
+from pyspark.sql import functions as F
+
+from loomline.operators.nested import argument_table, call_table, leaf_paths, nesting, parameter_table
 
 SCHEMA = (
     "sample_id bigint, tool_calls array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>, tools array<string>, ingested_at timestamp,"
@@ -52,6 +54,16 @@ def test_deep_nesting_is_followed_to_its_end(spark):
     assert len(got) == 1 and len(next(iter(got))[3].split(".")) == 14
 
 
+def test_repeated_keys_count_once(spark):
+    assert leaves(frame(spark, (1, [call('{"a": 1, "a": {"b": 2}}')], None))) == {(1, "tool_calls", 0, "a.b")}
+
+
+def test_nesting(spark):
+    deep = "[" * 25 + "]" * 25
+    df = spark.createDataFrame([("1",), ('{"a": "}}{{[\\\\\\"["}',), ('{"a": [{}, [[]]], "b": {}}',), (deep,), ('{"a": ' + deep + "}",), (None,), ("[][[]]{}",)], "j string")
+    assert [r[0] for r in df.select(nesting(F.col("j"))).collect()] == [0, 1, 4, 25, 26, 0, 2]
+
+
 def test_redelivered_samples_count_once_and_null_keys_are_left_out(spark):
     row = (1, [call('{"a": 1}')], None)
     df = frame(spark, row, row, (None, [call('{"a": 1}')], None))

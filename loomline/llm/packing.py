@@ -18,9 +18,8 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import Window
 
 from loomline.llm.tokens import VOCABULARY, token_sizes
 from loomline.plans.scratch import materialize
@@ -229,18 +228,17 @@ def _pack_one(sized: DataFrame, capacity: int, separator: int) -> DataFrame:
             used[i] = used.get(i, 0) + slots[i] * n
             begin += slots[i]
         sequence += n
-    counts = counts.sort_values(["step", "bucket"])
-    counts["offset"] = counts.groupby("step")["n"].cumsum() - counts["n"]
-    spark = sized.sparkSession
-    offsets = spark.createDataFrame(counts[["step", "bucket", "offset"]].astype({"step": "int32", "bucket": "int64", "offset": "int64"}) if len(counts) else [], "step int, bucket bigint, offset bigint")
-    ranked = pieces.withColumn("place", F.row_number().over(Window.partitionBy("step", "bucket").orderBy("row", "piece")) - 1)
-    ranked = ranked.join(F.broadcast(offsets), ["step", "bucket"]).withColumn("rank", F.col("place") + F.col("offset"))
+    per_bucket = np.zeros((len(edges), BUCKETS), np.int64)
+    np.add.at(per_bucket, (counts["step"].to_numpy(np.int64), counts["bucket"].to_numpy(np.int64)), counts["n"].to_numpy(np.int64))
+    before = np.cumsum(per_bucket, axis=1) - per_bucket
+    placed = pieces.withColumn("place", F.row_number().over(Window.partitionBy("step", "bucket").orderBy("row", "piece")) - 1)
 
     def deal(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         table = {i: np.array(r, np.int64) for i, r in runs.items()}
         for pdf in batches:
             seq, slot = np.zeros(len(pdf), np.int64), np.zeros(len(pdf), np.int64)
-            steps, ranks = pdf["step"].to_numpy(), pdf["rank"].to_numpy()
+            steps = pdf["step"].to_numpy(np.int64)
+            ranks = before[steps, pdf["bucket"].to_numpy(np.int64)] + pdf["place"].to_numpy(np.int64)
             for i in np.unique(steps):
                 at = np.nonzero(steps == i)[0]
                 t = table[int(i)]
@@ -251,7 +249,7 @@ def _pack_one(sized: DataFrame, capacity: int, separator: int) -> DataFrame:
             yield pd.DataFrame({"sequence_id": seq, "slot": slot.astype(np.int32), "id": pdf["id"], "piece": pdf["piece"], "token_start": pdf["token_start"], "n_tokens": pdf["n_tokens"]})
 
     kind = dict(sized.dtypes)["id"]
-    return ranked.select("id", "piece", "token_start", "n_tokens", "step", "rank").mapInPandas(deal, f"sequence_id bigint, slot int, id {kind}, piece bigint, token_start bigint, n_tokens bigint")
+    return placed.select("id", "piece", "token_start", "n_tokens", "step", "bucket", "place").mapInPandas(deal, f"sequence_id bigint, slot int, id {kind}, piece bigint, token_start bigint, n_tokens bigint")
 
 
 def packing_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:

@@ -105,10 +105,10 @@ def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         one, two = np.zeros(b.n, np.uint64), np.zeros(b.n, np.uint64)
         np.add.at(one, doc, mix(h))
         np.add.at(two, doc, mix(h ^ np.uint64(0xA5A5A5A5A5A5A5A5)))
-        yield pd.DataFrame({"id": pdf["id"], "seen": pdf["seen"], "size": size, "one": one.view(np.int64), "two": two.view(np.int64), "bucket": None, "n": None})
+        yield pd.DataFrame({"id": pdf["id"], "seen": pdf["seen"], "text": pdf["text"], "size": size, "one": one.view(np.int64), "two": two.view(np.int64), "bucket": None, "n": None})
     at = np.nonzero(counts)[0]
     for i in range(0, len(at), 50_000):
-        yield pd.DataFrame({"id": None, "seen": pd.NaT, "size": None, "one": None, "two": None, "bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
+        yield pd.DataFrame({"id": None, "seen": pd.NaT, "text": None, "size": None, "one": None, "two": None, "bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
 
 
 def _keys(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
@@ -168,7 +168,7 @@ def joined_text(*columns: str) -> Column:
 
 
 def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...] = ("instruction", "output"), order: str = "ingested_at", threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
-    """``(members, links)``: ``key, class_id`` of every record, and ``class_a, class_b, similarity`` between classes.
+    """``(members, links)``: ``key, class_id, text`` (a hash of the raw text) of every record, and ``class_a, class_b, similarity`` between classes.
 
     A class holds the records with the same words; its id is the smallest key in it. Links lack no
     pair of classes of at least ``threshold`` (but for the pruning's ``TOLERANCE``). Records without any
@@ -177,13 +177,13 @@ def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...
     """
     kinds = dict(df.dtypes)
     base = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.col(order).alias("seen"), joined_text(*texts).alias("body"))
-    passed = base.mapInPandas(_classes, f"id {kinds[key]}, seen {kinds[order]}, size bigint, one bigint, two bigint, bucket bigint, n bigint")
+    passed = base.withColumn("text", F.xxhash64("body")).mapInPandas(_classes, f"id {kinds[key]}, seen {kinds[order]}, text bigint, size bigint, one bigint, two bigint, bucket bigint, n bigint")
     passed = materialize(passed, "neardup-classes")
     counts = _counts(passed)
     classed = latest(passed.where("bucket is null").drop("bucket", "n"), "id", "seen")
     shape = ["size", "one", "two"]
     smallest = classed.where("size > 0").groupBy(*shape).agg(F.min("id").alias("class_id"))
-    members = materialize(classed.join(smallest, shape, "left").select("id", F.coalesce("class_id", "id").alias("class_id"), (F.col("size") > 0).alias("worded")), "neardup-members")
+    members = materialize(classed.join(smallest, shape, "left").select("id", F.coalesce("class_id", "id").alias("class_id"), "text", (F.col("size") > 0).alias("worded")), "neardup-members")
 
     # Written, so that the planner knows their number: few copies are sent to the texts, many are joined by a shuffle.
     copies = materialize(members.where(F.col("id") != F.col("class_id")).select("id"), "neardup-copies")
@@ -207,19 +207,28 @@ def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...
     both = pairs.join(left, "class_a").join(right, "class_b").withColumn("shared", shared)
     similarity = F.col("shared") / (F.size("x") + F.size("y") - F.col("shared"))
     links = both.select("class_a", "class_b", similarity.alias("similarity")).where(F.col("similarity") >= F.lit(threshold) - 1e-12)
-    return members.select(F.col("id").alias(key), "class_id"), links
+    return members.select(F.col("id").alias(key), "class_id", "text"), links
 
 
 def duplicate_pairs(members: DataFrame, links: DataFrame, key: str = "sample_id") -> DataFrame:
-    """``{key}_a, {key}_b``, smaller first: the links of each member to the representatives of its own and of linked classes.
+    """``{key}_a, {key}_b``, smaller first: all pairs of records of linked classes, and within a class all pairs whose raw texts differ.
 
-    Rows are as many as members times their classes' links; copies aren't paired with copies of
-    another class nor with each other beyond the representative.
+    Only truly equal texts aren't paired with each other: each of them is paired with the smallest key that has the text.
+    Rows are as many as there are such pairs.
     """
-    own = members.where(F.col(key) != F.col("class_id")).select(F.col("class_id").alias("a"), F.col(key).alias("b"))
-    ends = links.select(F.col("class_a").alias("from"), F.col("class_b").alias("to")).union(links.select(F.col("class_b").alias("from"), F.col("class_a").alias("to")))
-    across = ends.join(members, F.col("from") == F.col("class_id")).select(F.col(key).alias("a"), F.col("to").alias("b"))
-    return own.union(across).select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b")).distinct()
+    one = members.select(F.col(key).alias("id"), "class_id", "text")
+    # Few classes have more than one record; written, so that the planner knows their number.
+    shared = one.where(F.col("id") != F.col("class_id")).select("class_id").distinct()
+    crowd = materialize(one.join(shared, "class_id", "left_semi"), "neardup-crowd")
+    texts = crowd.groupBy("class_id", "text").agg(F.min("id").alias("first"))
+    copies = crowd.join(texts, ["class_id", "text"]).where("id <> first").select(F.col("first").alias("a"), F.col("id").alias("b"))
+    # Texts are paired before records, so that the equal ones don't meet.
+    unlike = texts.select("class_id", F.col("text").alias("x")).join(texts.select("class_id", F.col("text").alias("y")), "class_id").where("x < y")
+    left, right = crowd.select("class_id", F.col("text").alias("x"), F.col("id").alias("a")), crowd.select("class_id", F.col("text").alias("y"), F.col("id").alias("b"))
+    within = unlike.join(left, ["class_id", "x"]).join(right, ["class_id", "y"]).select("a", "b")
+    ends = [one.select(F.col("class_id").alias(f"class_{c}"), F.col("id").alias(c)) for c in ("a", "b")]
+    across = links.join(ends[0], "class_a").join(ends[1], "class_b").select("a", "b")
+    return copies.union(within).union(across).select(F.least("a", "b").alias(f"{key}_a"), F.greatest("a", "b").alias(f"{key}_b"))
 
 
 def groups(members: DataFrame, links: DataFrame, key: str = "sample_id", rounds: int = 40) -> DataFrame:

@@ -228,6 +228,17 @@ def test_a_third_of_all_rows_alike_stays_linear(spark):
     assert neardup.duplicate_pairs(members, links).where("sample_id_a < 1000").count() == 399
 
 
+def test_pairs_of_equal_words_in_different_texts(spark):
+    words = [f"w{i}" for i in range(20)]
+    near = ["other", *words[1:]]
+    rows = {1: " ".join(words), 2: " ".join(words[::-1]), 3: " ".join(words).upper(), 4: ", ".join(words), 5: " ".join(near), 6: " ".join(near[::-1]), 7: " ".join(near).upper(), 8: "nothing like it"}
+    got = [tuple(r) for r in neardup.duplicate_pairs(*neardup.near_duplicates(frame(spark, *[(i, t, None) for i, t in rows.items()]))).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(rows)
+    copies = {**rows, 9: rows[2], 10: rows[2], 11: rows[5]}
+    got = [tuple(r) for r in neardup.duplicate_pairs(*neardup.near_duplicates(frame(spark, *[(i, t, None) for i, t in copies.items()]))).collect()]
+    assert len(got) == len(set(got)) and set(got) == brute_pairs(copies) - {(9, 10)}
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     rng = np.random.default_rng(1)
     for bits in (64, 128):

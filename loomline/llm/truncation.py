@@ -6,8 +6,9 @@ The evidence comes in this order:
    an open bracket or a trailing comma cannot end a whole text; a final mark, a closed fence
    and a full table row do.
 2. *Alignment*: for the texts left open, near-copies are found by MinHash banding over
-   five-word shingles. Within a bucket every open text meets the bucket's longest text, so a
-   hot bucket costs as many pairs as it has texts. The word sequences of a pair that reaches
+   five-word shingles. Within a bucket every open text meets every other distinct text, whatever
+   its length; equal texts are one, so a hot bucket costs its open texts times its distinct ones.
+   Pairs without the closing words in both are passed over. The word sequences of a pair that reaches
    the wanted similarity over the shared stretch are aligned; a text whose alignment ends where
    the longer copy is still within a sentence is cut.
 3. *Closing-word terminality*, for the open texts no copy decides: how often the closing words
@@ -231,7 +232,7 @@ def _signed(x: np.ndarray) -> np.ndarray:
 
 
 def _scan(label: Label | None):  # type: ignore[no-untyped-def]
-    """Status, length, closing contexts and band keys of each text, and what ``label`` says of it."""
+    """Status, closing contexts and band keys of each text, and what ``label`` says of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
@@ -247,7 +248,7 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
             closing = [[int(np.uint64(k).view(np.int64)) for k in closing_keys(t)] if s == OPEN else [] for t, s in zip(texts, status, strict=True)]
             said = [label(*x) for x in zip(asked, texts, b.words, strict=True)] if label else [None] * len(pdf)
             yield pd.DataFrame({
-                "row": pdf["row"], "status": np.array(status, np.int32), "chars": [len(t) if t else 0 for t in texts],
+                "row": pdf["row"], "text": pdf["text"], "status": np.array(status, np.int32),
                 "closing": closing, "bands": [list(k) if ok else [] for k, ok in zip(keys, some, strict=True)], "label": pd.Series(said, dtype="object"),
             })
 
@@ -311,6 +312,9 @@ def ends_early(short: str, longer: str) -> int:
     if len(a) < SHINGLE + 1:
         return OPEN
     head = a[:-1]
+    # No alignment reaches the end unless the last words stand in ``b`` before one that goes on.
+    if not any(b[i + 3].startswith(a[-1]) and b[i : i + 3] == head[-3:] for i in range(len(b) - 3)):
+        return OPEN
     shingle = lambda w: {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
     blocks = [x for x in difflib.SequenceMatcher(None, head, b, autojunk=False).get_matching_blocks() if x.size]
     if not blocks or blocks[-1].a + blocks[-1].size != len(head) or blocks[-1].size < 3:
@@ -332,7 +336,7 @@ def ends_early(short: str, longer: str) -> int:
 
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"row": pdf["row"], "verdict": np.array([ends_early(a, b) for a, b in zip(pdf["short"], pdf["longer"], strict=True)], np.int32)})
+        yield pd.DataFrame({"text": pdf["text"], "verdict": np.array([ends_early(a, b) for a, b in zip(pdf["short"], pdf["longer"], strict=True)], np.int32)})
 
 
 def truncation(
@@ -352,35 +356,29 @@ def truncation(
         (F.col(asked) if asked else F.lit(None).cast("string")).alias("asked"),
     ).where(F.col("id").isNotNull())
     # A row is its key and content: deliveries of one content are one row.
-    base = base.withColumn("row", F.xxhash64("id", "body", "asked"))
-    scanned = base.select("row", "body", "asked").mapInPandas(_scan(label), "row bigint, status int, chars int, closing array<bigint>, bands array<bigint>, label string")
+    base = base.withColumns({"row": F.xxhash64("id", "body", "asked"), "text": F.xxhash64("body")})
+    scanned = base.select("row", "text", "body", "asked").mapInPandas(_scan(label), "row bigint, text bigint, status int, closing array<bigint>, bands array<bigint>, label string")
     scan = materialize(scanned, "truncation-scan")
     open_rows = scan.where(F.col("status") == OPEN)
 
-    # Near-copies: every open text against the longest text of each bucket it falls into. Length and half of the row's
-    # hash make one number, so that the greatest is found by hashing; two rows with one half are both aligned.
-    half = lambda c: F.col(c).bitwiseAND(F.lit(0xFFFFFFFF))
-    keyed = scan.select("row", "status", "chars", F.explode("bands").alias("band"))
-    longest = keyed.groupBy("band").agg(
-        F.max(F.shiftleft(F.col("chars").cast("bigint"), 32).bitwiseOR(half("row"))).alias("far"), F.max((F.col("status") == OPEN).cast("int")).alias("open"), F.count("*").alias("n")
-    )
-    longest = longest.where((F.col("n") > 1) & (F.col("open") == 1)).select("band", half("far").alias("partner"), F.shiftright("far", 32).alias("reach"))
-    pairs = (
-        keyed.where(F.col("status") == OPEN).join(longest, "band")
-        .where((F.col("partner") != half("row")) & (F.col("reach") > F.col("chars")))
-        .select("row", "partner").distinct()
-    )
+    # Near-copies: every open text against every other text of each bucket it falls into; equal texts are one.
+    keyed = scan.select("text", (F.col("status") == OPEN).cast("int").alias("open"), F.explode("bands").alias("band"))
+    buckets = keyed.groupBy("band").agg(F.max("open").alias("any"), F.min("text").alias("low"), F.max("text").alias("high"))
+    # Written, so that the planner knows their number: few buckets hold an open text and another one.
+    buckets = materialize(buckets.where((F.col("any") == 1) & (F.col("low") < F.col("high"))).select("band"), "truncation-buckets")
+    pool = materialize(keyed.join(buckets, "band").groupBy("band", "text").agg(F.max("open").alias("open")), "truncation-pool")
+    pairs = pool.where("open = 1").select("band", "text").join(pool.select("band", F.col("text").alias("partner")), "band").where("text <> partner").select("text", "partner").distinct()
     pairs = materialize(pairs, "truncation-pairs")
-    # Written, so that the planner knows their number and needn't shuffle all texts for a few.
-    wanted = materialize(pairs.select(half("row").alias("half")).union(pairs.select(F.col("partner").alias("half"))).distinct(), "truncation-wanted")
-    texts = base.select("row", "body", half("row").alias("half")).join(wanted, "half", "left_semi").groupBy("row", "half").agg(F.first("body").alias("body"))
+    # Written for the same reason: all texts needn't be shuffled for a few.
+    wanted = materialize(pairs.select("text").union(pairs.select(F.col("partner").alias("text"))).distinct(), "truncation-wanted")
+    texts = base.select("text", "body").join(wanted, "text", "left_semi").groupBy("text").agg(F.first("body").alias("body"))
     both = (
-        pairs.join(texts.select("row", F.col("body").alias("short")), "row")
-        .join(texts.select(F.col("half").alias("partner"), F.col("body").alias("longer")), "partner")
-        .select("row", "short", "longer")
+        pairs.join(texts.select("text", F.col("body").alias("short")), "text")
+        .join(texts.select(F.col("text").alias("partner"), F.col("body").alias("longer")), "partner")
+        .select("text", "short", "longer")
     )
-    aligned = both.mapInPandas(_align, "row bigint, verdict int").where(F.col("verdict") != OPEN)
-    aligned = aligned.groupBy("row").agg(F.max("verdict").alias("aligned"))
+    aligned = both.mapInPandas(_align, "text bigint, verdict int").where(F.col("verdict") != OPEN)
+    aligned = aligned.groupBy("text").agg(F.max("verdict").alias("aligned"))
 
     # Terminality of the closing contexts over the whole corpus.
     counts = base.select("body").mapInPandas(_count, "key bigint, places bigint, ends bigint").groupBy("key").agg(F.sum("places").alias("places"), F.sum("ends").alias("ends"))
@@ -398,8 +396,8 @@ def truncation(
 
     ids = base.select("id", "src", "seen", "row")
     out = (
-        ids.join(scan.select("row", "status", "label").distinct(), "row")
-        .join(aligned, "row", "left").join(scores, "row", "left")
+        ids.join(scan.select("row", "text", "status", "label").distinct(), "row")
+        .join(aligned, "text", "left").join(scores, "row", "left")
         .select(
             F.col("id").alias(key), F.col("src").alias(source), F.col("seen").alias(order),
             F.when(F.col("status") != OPEN, F.col("status") == CUT).when(F.col("aligned").isNotNull(), F.col("aligned") == CUT)

@@ -143,6 +143,17 @@ def test_truncation_finds_planted_cuts(spark):
     assert sum(r["truncated"] for r in rates.values()) == len(got) and sum(r["records"] for r in rates.values()) == 300
 
 
+def test_alignment_goes_on_past_the_longest_copy(spark):
+    words = [f"w{i}" for i in range(200)]
+    short = " ".join(words)
+    settles = short + " goes on until the end."
+    # Longer copies that diverge before the end of the short one.
+    others = [" ".join([*words[:-2], *[f"v{k}x{i}" for i in range(12)]]) + "." for k in range(12)]
+    rows = [(1, "How?", short), (2, "How?", settles), *[(10 + k, "How?", t) for k, t in enumerate(others)]]
+    got = {r["sample_id"]: (r["truncated"], r["evidence"]) for r in truncation.truncation(frame(spark, *rows)).collect()}
+    assert got[1] == (True, "alignment")
+
+
 # 2
 
 

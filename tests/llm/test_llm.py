@@ -195,6 +195,19 @@ def test_defects(prompt, response, want):
     assert pairs.defect(prompt, response) == want
 
 
+@pytest.mark.parametrize(
+    "response",
+    [
+        "I'm unable to answer the question " + "how the grid and the panel beside it are sorted by two columns " * 40, "I cannot help. " * 9,
+        "Es tut mir leid, aber dazu kann ich keine Auskunft geben. Bitte wenden Sie sich an den Hersteller.", "Je ne peux pas répondre à cette question. N'hésitez pas à consulter le manuel.",
+        "Lo siento, no puedo responder a eso. ¿Hay algo más en lo que pueda ayudarle?", "죄송하지만 답변을 드릴 수 없습니다. 다른 질문이 있으시면 알려 주세요.",
+    ],
+)
+def test_refusals_of_any_length_and_language(response):
+    assert pairs.is_refusal(response, pairs._tokens(response))
+    assert not pairs.is_refusal(f"{response} Set AllowSort to true and call Sort twice.".replace("columns  Set", "columns. Set"), pairs._tokens(response))
+
+
 def test_longest_common_subsequence_against_table():
     rng = random.Random(2)
     for _ in range(50):

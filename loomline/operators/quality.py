@@ -38,10 +38,10 @@ def split(df: DataFrame, key: str = "doc_id", share: float = TRAIN_SHARE) -> Dat
     return df.select(key, F.when(split_bucket(F.col(key)) < int(share * 10_000), "train").otherwise("test").alias("split"))
 
 
-def funnel(df: DataFrame, score: str = "quality_score", text: str = "content") -> DataFrame:
+def funnel(df: DataFrame, score: str = "quality_score", text: str = "content", least: float = MIN_QUALITY, most: int = MAX_TOKENS) -> DataFrame:
     """One row: rows, rows with text, with a score, with enough score, short enough, and passing all."""
     has_text, scored = F.length(F.trim(F.coalesce(text, F.lit("")))) > 0, F.col(score).isNotNull()
-    good, short = F.coalesce(F.col(score) >= MIN_QUALITY, F.lit(False)), token_count(F.col(text)) <= MAX_TOKENS
+    good, short = F.coalesce(F.col(score) >= least, F.lit(False)), token_count(F.col(text)) <= most
     return df.agg(
         F.count("*").alias("n_rows"), F.count_if(has_text).alias("n_text"), F.count_if(scored).alias("n_scored"),
         F.count_if(good).alias("n_good"), F.count_if(short).alias("n_short"), F.count_if(has_text & good & short).alias("n_kept"),

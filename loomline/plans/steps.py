@@ -1,6 +1,7 @@
 """The pipeline as an ordered registry of lazy steps.
 
-A step takes the run's tables by name and returns those it adds. Nothing runs before a sink or an action asks for it.
+A step takes the run's tables by name and returns those it adds. Nothing runs before a sink or an action asks for it,
+but for the comparison of similar documents, which writes a table.
 """
 
 from __future__ import annotations
@@ -45,26 +46,39 @@ def _pages(run: Run) -> dict[str, DataFrame]:
 
 
 def _documents(run: Run) -> dict[str, DataFrame]:
-    """Source documents: the pages' titles and bodies without header comment."""
+    """Source documents: the pages' titles and bodies without header comment. Pages have no vectors, so the step searches none."""
     body = F.trim(F.regexp_replace("text", r"<!--[\s\S]*?--[>}]", ""))
     title = F.regexp_extract("text", r"(?m)^#\s+(.+)$", 1)
-    filled = (F.length(body) > 0).cast("double")
+    filled = body.rlike(r"\S").cast("double")
     made = run.tables["pages"].select(F.concat_ws("/", "section", "page").alias("id"), F.col("section").alias("component"), title.alias("title"), body.alias("content"), filled.alias("quality_score"))
     return {"documents": made.where(token_count(F.col("content")) <= run.config.max_seq_length)}
 
 
+def _kept(run: Run) -> DataFrame:
+    """``id`` of the documents that are good and safe enough and no copy of another one; without a ``toxicity`` column none is unsafe."""
+    if "kept" not in run.tables:
+        good = quality.quality_filter(run.tables["documents"], least=run.config.min_quality_score)
+        if "toxicity" in good.columns:
+            good = quality.safety_filter(good, most=run.config.safety_threshold)
+        # The comparison has columns ``id`` of its own.
+        kept = quality.without_similar(good.withColumnRenamed("id", "doc_id"), "doc_id", "content", run.config.max_similarity_threshold)
+        run.tables["kept"] = kept.withColumnRenamed("doc_id", "id")
+    return run.tables["kept"]
+
+
 def _conversations(run: Run) -> dict[str, DataFrame]:
     return {"conversations": generate.template_conversations(run.tables["documents"])}
 
 
 def _dataset(run: Run) -> dict[str, DataFrame]:
-    made = run.tables["conversations"].where("conversations is not null").orderBy("id").limit(run.config.target_count)
+    made = run.tables["conversations"].where("conversations is not null").join(_kept(run), "id", "left_semi").orderBy("id").limit(run.config.target_count)
     split = quality.split(made, "id", run.config.train_test_split)
     return {name: formats.formatter(name)(made).join(split, "id") for name in run.config.formats}
 
 
 def _quality(run: Run) -> dict[str, DataFrame]:
-    return {"funnel": quality.funnel(run.tables["documents"])}
+    found = quality.funnel(run.tables["documents"], least=run.config.min_quality_score, most=run.config.max_seq_length)
+    return {"funnel": found.crossJoin(_kept(run).agg(F.count("*").alias("n_unlike")))}
 
 
 REGISTRY: dict[str, Callable[[Run], dict[str, DataFrame]]] = dict(zip(STEPS, (_pages, _documents, _conversations, _dataset, _quality), strict=True))
@@ -93,4 +107,6 @@ def write_outputs(run: Run) -> list[str]:
         # Only a run over all sections writes statistics.
         stats = validate.dataset_stats(run.tables["alpaca"].withColumn("section", F.substring_index("id", "/", 1)), "section")
         files.write_stats(stats, f"{run.config.output_directory}/dataset_stats.json")
+    if "funnel" in run.tables and run.sections is None:
+        files.write_stats(run.tables["funnel"], f"{run.config.output_directory}/funnel.json")
     return out

@@ -197,6 +197,23 @@ def test_files_steps_and_command_line(spark, tmp_path, capsys):
     capsys.readouterr()
 
 
+def test_thresholds_decide_what_is_written(spark, tmp_path):
+    words = [f"w{i}" for i in range(300)]
+    for n, body in enumerate((" ".join(words), " ".join(words), " ".join([*words[:-1], "last"]), "quite another page", "")):
+        (tmp_path / "pages/grid").mkdir(parents=True, exist_ok=True)
+        (tmp_path / f"pages/grid/page_{n:03d}.md").write_text(f"<!--\npage_id: grid#page_{n}\n-->\n{body}\n", encoding="utf-8")
+    settings = tmp_path / "c.yaml"
+    head = f"md_staging_path: {tmp_path}/pages\noutput_directory: {tmp_path}/out\nmd_output_path: {tmp_path}/none\nformats: [alpaca]\n"
+    for more, want in (("", 2), ("max_similarity_threshold: 1.0\n", 3)):
+        settings.write_text(head + more)
+        run = run_steps(spark, config.load_config(str(settings)))
+        assert run.tables["alpaca"].count() == want
+        assert tuple(run.tables["funnel"].select("n_rows", "n_kept", "n_unlike").first()) == (5, 4, want)
+    settings.write_text(head)
+    assert main(["generate", "--config", str(settings)]) == 0
+    assert json.loads((tmp_path / "out/funnel.json").read_text())["n_unlike"] == 2
+
+
 def test_dataset_files(spark, tmp_path):
     path = tmp_path / "d.json"
     assert files.read_dataset(spark, str(path)) is None

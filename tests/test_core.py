@@ -238,6 +238,18 @@ def test_time_limits(spark):
         timeouts.within(spark, 60, lambda: int("x"))
 
 
+def test_stream_of_many_files_loses_no_event(spark, tmp_path):
+    from loomline.streaming.monitor import streamed_throughput
+
+    start = datetime(2025, 1, 1)
+    # The first files read are the newest ones: the others are a day and more behind.
+    df = spark.createDataFrame([(start - timedelta(days=i), "a") for i in range(70)], "ts timestamp_ntz, event_type string").repartition(1)
+    for i in range(70):
+        df.where(F.col("ts") == F.lit(start - timedelta(days=i))).write.mode("append").parquet(f"{tmp_path}/events.parquet")
+    got = streamed_throughput(spark, str(tmp_path)).collect()
+    assert len(got) == 70 and sum(r["n_events"] for r in got) == 70
+
+
 def test_stream_progress(spark, tmp_path):
     spark.range(20).write.parquet(str(tmp_path / "in"))
     seen = timeouts.Progress()

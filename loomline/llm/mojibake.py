@@ -116,14 +116,14 @@ def _tokens(text: Column) -> Column:
 
 
 def _observed(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``id, word, quoted, whole``: the distinct words and runs beyond ASCII of each document."""
-    raw = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.explode(_tokens(F.col(text))).alias("raw"))
+    """``id, text, word, quoted, whole``, ``text`` a hash of the whole text: the distinct words and runs beyond ASCII of each document."""
+    raw = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.xxhash64(F.col(text)).alias("text"), F.explode(_tokens(F.col(text))).alias("raw"))
     word = F.regexp_replace("raw", '^"|"$', "")
     quoted = F.col("raw").startswith('"') & F.col("raw").endswith('"')
-    both = raw.select("id", word.alias("word"), quoted.alias("quoted"))
+    both = raw.select("id", "text", word.alias("word"), quoted.alias("quoted"))
     runs = F.regexp_extract_all("word", F.lit(RUN), F.lit(0))
     parts = F.concat(F.array(F.struct(F.col("word"), F.lit(True).alias("whole"))), F.transform(F.filter(runs, lambda r: r != F.col("word")), lambda r: F.struct(r.alias("word"), F.lit(False).alias("whole"))))
-    return both.select("id", "quoted", F.inline(parts))
+    return both.select("id", "text", "quoted", F.inline(parts))
 
 
 def garbled_words(observed: DataFrame) -> DataFrame:
@@ -132,7 +132,8 @@ def garbled_words(observed: DataFrame) -> DataFrame:
     ``sure`` tells whether one original only explains the word. ``original`` is null for
     damage no corpus word explains.
     """
-    counted = observed.groupBy("word").agg(F.count_distinct("id").alias("docs"), F.max("whole").alias("whole"))
+    # Copies of one text are one witness, however many there are.
+    counted = observed.groupBy("word").agg(F.count_distinct("text").alias("docs"), F.max("whole").alias("whole"))
     counted = materialize(counted, "mojibake-words")
     # Garbling multiplies the words a hundredfold: spread it, and join it by hash, for its size can't be estimated.
     spread = counted.select("word", "docs").repartition(4 * counted.sparkSession.sparkContext.defaultParallelism, "word")

@@ -383,6 +383,14 @@ def test_garbled_documents_are_found_and_restored(spark):
     assert restored[100]["restored"] == clean[0] and restored[102]["restored"] == clean[2] and restored[100]["unresolved"] == 0
 
 
+def test_copies_of_a_garbled_page_are_found(spark):
+    page = "Für die Größe müssen Sie über das Menü gehen."
+    clean = [(i, f"{page} Seite {i}.") for i in range(5)]
+    broken = [(100 + i, page.encode("cp1252").decode("mac_roman")) for i in range(20)]
+    got = mojibake.find_garbled(spark.createDataFrame([*clean, *broken], "doc_id bigint, text string"))[0]
+    assert {r["doc_id"] for r in got.select("doc_id").distinct().collect()} == {i for i, _ in broken}
+
+
 def test_every_chain_is_undone_by_its_table():
     for word in ("größer", "élève", "값을"):
         for form, chain in mojibake.garbled_forms(word).items():

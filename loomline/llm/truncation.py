@@ -1,41 +1,52 @@
 """Texts cut off before their end, and how often each source cuts.
 
-The evidence comes in this order:
-
-1. *Structure*: an open code fence, a table row without its closing bar, an empty list item,
-   an open bracket or a trailing comma cannot end a whole text; a final mark, a closed fence
-   and a full table row do.
-2. *Alignment*: for the texts left open, near-copies are found by MinHash banding over
-   five-word shingles. Within a bucket every open text meets every other distinct text, whatever
-   its length; equal texts are one, so a hot bucket costs its open texts times its distinct ones.
-   Pairs without the closing words in both are passed over. The word sequences of a pair that reaches
-   the wanted similarity over the shared stretch are aligned; a text whose alignment ends where
-   the longer copy is still within a sentence is cut.
-3. *Closing-word terminality*, for the open texts no copy decides: how often the closing words
-   (up to three, names and numbers generalised) end a sentence within the whole corpus. Words
-   never seen before the end of a text are fragments.
+Texts that end in a final mark, a closed block or a full table row are whole. For every other text the
+evidence comes in this order:
+
+1. *Alignment*. A text that was cut equals the start of its near-copy, so not the whole texts are
+   compared but the stretches up to the same three words, the *seam* before the last word. Every place of
+   every text where a seam wanted by some open text stands gets MinHash bands of the five-word shingles
+   before it (a running minimum gives those of all places at once); the open text gets the bands of its
+   own stretch. So a copy cut at a tenth is found as surely as one cut at its last word. Of the texts of a
+   bucket that go on alike one stands for all, so a hot bucket costs its open texts times its different
+   continuations; where that one doesn't reach the similarity, the others of the bucket follow. Pairs whose
+   stretches reach the wanted similarity are aligned at the seam: the text is cut if its copy goes on
+   within the word or the sentence.
+2. *Structure*: an open code fence, a table row without its closing bar, an empty list item, an open
+   bracket or a trailing comma can't end a text.
+3. *Closing-word terminality*: how often the closing words (up to three, names and numbers generalised)
+   end a sentence within the whole corpus. Words never seen before the end of a text are fragments.
+
+The contexts and seams that any open text asks for are marked in a bitmap of fixed size, so that the pass over
+the corpus counts only what may be asked for; what the bitmap lets pass without need is left by the joins.
 """
 
 from __future__ import annotations
 
-import difflib
 import re
 from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.shingles import LETTERS_DIGITS, Batch, WordHasher, bands, chunks, mix, one_permutation_minhash
+from loomline.llm.shingles import LETTERS_DIGITS, WordHasher, chunks, mix
 from loomline.operators.deliveries import latest
 from loomline.plans.scratch import materialize
 
 #: What may be said of a question, a text and the text's words in lower case.
 Label = Callable[[str | None, str | None, list[str]], str | None]
 WHOLE, CUT, OPEN = 0, 1, 2
-BINS, ROWS, SHINGLE = 100, 5, 5
+SHINGLE = 5
 SIMILARITY = 0.8
+#: Bands of MinHash values over a stretch: a pair of the wanted similarity shares one with probability 0.998.
+BANDS, ROWS = 12, 4
+#: Words before the last one that must be equal in both texts.
+SEAM = 3
+#: Bits of the map of wanted contexts and seams: 2 MB, however large the corpus.
+BITS = 2**24
 #: A closing context seen less often than this says too little; a shorter one is asked.
 LEAST_SEEN = 5
 #: A context that ends a sentence in a smaller share of its places is no end.
@@ -48,8 +59,9 @@ CLOSERS = "\"'”’»)]*_`>"
 STAND_INS = ("none", "null", "nil", "nan", "na", "n/a", "todo", "tbd", "no answer", "empty", "undefined", "answer", "response", "output", "-", "[]", "{}")
 
 _DOTS = re.compile(r"(?:\.{3,}|…)\Z")
-#: Stand-ins for a missing text are no longer than this.
-SHORT = 60
+#: No stand-in for a missing text has more words.
+MOST_WORDS = 8
+_MARKUP = re.compile(r"```[\w#+.-]*|</?\w+[^<>]*>")
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)", re.M)
 _CODE = re.compile(r"```.*?(?:```|\Z)", re.S)
 _TOKEN = re.compile(r"[぀-ヿ一-鿿]|\w+|[.!?…。！？｡]+|\n+|[^\s\w]")
@@ -74,7 +86,7 @@ def _is_word(token: str) -> bool:
 
 
 class _Lexicon:
-    """Number, hash, kind and name parts of each token, remembered up to a bounded number.
+    """Number, hashes, kind and name parts of each token, remembered up to a bounded number.
 
     Kinds: 0 a mark, 1 a word, 2 the end of a sentence or line. Token 0 stands between two texts.
     """
@@ -85,6 +97,7 @@ class _Lexicon:
 
     def _begin(self) -> None:
         self.known, self.hash, self.kind, self.parts = {"": 0}, [_H("\x04")], [0], {}
+        self.low, self.plain = [""], [0]
         self.often = np.zeros(self.room, np.int64)
 
     def numbers(self, tokens: list[str]) -> list[int]:
@@ -102,6 +115,8 @@ class _Lexicon:
         n = self.known[token] = len(self.hash)
         norm = _norm(token)
         self.hash.append(_H(norm))
+        self.low.append(low := token.lower())
+        self.plain.append(_H(low))
         self.kind.append(1 if _is_word(token) else 2 if token[0] in _END or token[0] == "\n" else 0)
         if norm == "\x01name":
             self.parts[n] = _PART.findall(token)
@@ -145,19 +160,43 @@ def _prose(text: str) -> str:
     return "\n".join(x for x in text.split("\n") if not x.lstrip().startswith("|")) if "|" in text else text
 
 
+def _prose_words(text: str) -> list[str]:
+    """The words of the prose in lower case: what is aligned."""
+    return [t.lower() for t in _TOKEN.findall(_prose(text)) if _is_word(t)]
+
+
 def _last_line(text: str) -> str:
     return text.rstrip("\n\r").rsplit("\n", 1)[-1]
 
 
+def is_empty(text: str | None) -> bool:
+    """Nothing there, or only blanks, bare markup or a stand-in for a missing value."""
+    if text is None:
+        return True
+    bare = _MARKUP.sub(" ", text) if "<" in text or "```" in text else text
+    # Format and control characters (zero-width space, byte order mark) are blanks too.
+    words = [m[0] for m in islice(LETTERS_DIGITS.finditer(bare), MOST_WORDS + 1)]
+    if len(words) > MOST_WORDS:
+        return False
+    core = " ".join(words).lower()
+    return not core or core in STAND_INS or core.replace(" ", "") in ("na", "none", "null", "todo", "tbd") or text.strip().lower() in STAND_INS
+
+
+def _last_words(text: str, n: int) -> list[str]:
+    """The last ``n`` words in folded case, found without reading a long text from its start."""
+    window = 256
+    while True:
+        words = LETTERS_DIGITS.findall(text[-window:])
+        if len(words) > n or window >= len(text):
+            return [w.casefold() for w in words[-n:]]
+        window *= 4
+
+
 def structure(text: str | None, instruction: str | None = None) -> int:
     """WHOLE, CUT or OPEN, as far as the text's own structure tells."""
-    if text is None or not text.strip():
+    if text is None or is_empty(text):
         return WHOLE
     bare = text.rstrip()
-    if len(bare) <= SHORT:
-        core = re.sub(r"[\W_]+", " ", bare).strip().lower()
-        if not core or core in STAND_INS or bare.strip().lower() in STAND_INS:
-            return WHOLE
     if ("```" in text or "~~~" in text) and (len(_FENCE.findall(text)) % 2 or bare.count("```") % 2):
         return CUT
     if bare.endswith("```"):
@@ -187,9 +226,8 @@ def structure(text: str | None, instruction: str | None = None) -> int:
     if bare[-1] in ",;:，、；：(（[{=<&/":
         return CUT
     if instruction:
-        own = LETTERS_DIGITS.findall(text[-400:].casefold())
-        asked = LETTERS_DIGITS.findall(instruction[-400:].casefold())
-        if len(asked) >= 3 and own[-3:] == asked[-3:]:
+        asked = _last_words(instruction, 3)
+        if len(asked) == 3 and _last_words(text, 3) == asked:
             return WHOLE  # the question again, whole to its last word
     return OPEN
 
@@ -231,8 +269,38 @@ def _signed(x: np.ndarray) -> np.ndarray:
     return x.astype(np.uint64).view(np.int64)
 
 
+#: Of each permutation: what is added bitwise, and an odd factor.
+_SALT = mix(np.arange(1, BANDS * ROWS + 1, dtype=np.uint64))
+_ODD = mix(_SALT) | np.uint64(1)
+_BAND = mix(np.arange(BANDS, dtype=np.uint64))
+
+
+def _stretch_bands(grams: np.ndarray, ends: np.ndarray, seams: np.ndarray) -> np.ndarray:
+    """Of each place: the band keys of the first ``ends`` shingles, tied to the seam. ``ends`` is at least 1 and ascends."""
+    begins = np.concatenate([[0], ends[:-1]])
+    rows = (grams[: ends[-1], None] ^ _SALT[None, :]) * _ODD[None, :]
+    low = np.minimum.accumulate(np.minimum.reduceat(rows, begins, axis=0), axis=0).reshape(len(ends), BANDS, ROWS)
+    key = np.broadcast_to(seams[:, None], (len(ends), BANDS)).copy()
+    for k in range(ROWS):
+        key = mix(key ^ low[:, :, k])
+    return mix(key ^ _BAND[None, :])
+
+
+def _tied(seams: np.ndarray, nexts: list[str]) -> np.ndarray:
+    """The seams with the first letter of the word that comes after."""
+    return mix(seams ^ np.array([ord(w[0]) for w in nexts], np.uint64))
+
+
+def _grams(h: np.ndarray, n: int) -> np.ndarray:
+    m = max(0, len(h) - n + 1)
+    out = np.zeros(m, np.uint64)
+    for k in range(n):
+        out = mix(out ^ h[k : k + m])
+    return out
+
+
 def _scan(label: Label | None):  # type: ignore[no-untyped-def]
-    """Status, closing contexts and band keys of each text, and what ``label`` says of it."""
+    """Status, closing contexts, seam, last word and band keys of each text, and what ``label`` says of it."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
@@ -240,103 +308,199 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
             texts = pdf["body"].tolist()
             asked = pdf["asked"].tolist()
             status = [structure(t, a) for t, a in zip(texts, asked, strict=True)]
-            b = Batch(texts, LETTERS_DIGITS, hasher)
-            h, doc, _ = b.grams(SHINGLE)
-            sig = one_permutation_minhash(h, doc, b.n, BINS)
-            keys = _signed(bands(sig, ROWS))
-            some = np.bincount(doc, minlength=b.n) > 0
+            words = [LETTERS_DIGITS.findall(t.lower()) if t and label else [] for t in texts]
             closing = [[int(np.uint64(k).view(np.int64)) for k in closing_keys(t)] if s == OPEN else [] for t, s in zip(texts, status, strict=True)]
-            said = [label(*x) for x in zip(asked, texts, b.words, strict=True)] if label else [None] * len(pdf)
+            seam, last, keys = [[] for _ in texts], [None] * len(texts), [[] for _ in texts]
+            for i, text in enumerate(texts):
+                own = _prose_words(text) if status[i] != WHOLE else []
+                if len(own) > SHINGLE:
+                    h = hasher(own[:-1])
+                    tie = _grams(h[-SEAM:], SEAM)
+                    seam[i], last[i] = _signed(np.concatenate([tie, _tied(tie, own[-1:])])).tolist(), own[-1]
+                    keys[i] = _signed(_stretch_bands(_grams(h, SHINGLE), np.array([len(h) - SHINGLE + 1]), tie)[0]).tolist()
+            said = [label(*x) for x in zip(asked, texts, words, strict=True)] if label else [None] * len(pdf)
             yield pd.DataFrame({
-                "row": pdf["row"], "text": pdf["text"], "status": np.array(status, np.int32),
-                "closing": closing, "bands": [list(k) if ok else [] for k, ok in zip(keys, some, strict=True)], "label": pd.Series(said, dtype="object"),
+                "row": pdf["row"], "text": pdf["text"], "status": np.array(status, np.int32), "closing": closing,
+                "seam": seam, "last": pd.Series(last, dtype="object"), "bands": keys, "label": pd.Series(said, dtype="object"),
             })
 
     return run
 
 
-def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of each context in the prose: places, and places where a sentence ends after it."""
-    lexicon = _Lexicon()
-    total: dict[int, list[int]] = {}
-
-    def flush() -> pd.DataFrame:
-        out = pd.DataFrame({"key": list(total), "places": [v[0] for v in total.values()], "ends": [v[1] for v in total.values()]})
-        total.clear()
-        return out.astype({"key": "int64", "places": "int64", "ends": "int64"})
-
-    def add(keys: np.ndarray, places: np.ndarray, ends: np.ndarray) -> None:
-        for key, p, e in zip(_signed(keys).tolist(), places.astype(np.int64).tolist(), ends.astype(np.int64).tolist(), strict=True):
-            got = total.get(key)
-            if got is None:
-                total[key] = [p, e]
-            else:
-                got[0] += p
-                got[1] += e
-
-    for pdf in chunks(batches, "body"):
-        numbers: list[int] = []
-        last: list[int] = []
-        for text in pdf["body"]:
-            if text:
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """Where the column ``key`` falls: at most BITS / 64 rows reach the driver."""
+    at = F.col("key").bitwiseAND(F.lit(BITS - 1))
+    bits = keys.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit")).distinct()
+    got = bits.groupBy("word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.int64)
+    out[got["word"].to_numpy()] = got["bits"].to_numpy()
+    return out.view(np.uint64)
+
+
+def _wanted(scan: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The bitmaps of all contexts and seams asked for, and of all bands."""
+    return _bitmap(scan.select(F.explode(F.concat("closing", "seam")).alias("key"))), _bitmap(scan.select(F.explode("bands").alias("key")))
+
+
+def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
+    at = keys & np.uint64(BITS - 1)
+    return (wanted[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+
+def _places(at: np.ndarray, kind: np.ndarray, doc: np.ndarray, lexicon: _Lexicon, ids: np.ndarray, wanted: np.ndarray, banded: np.ndarray) -> pd.DataFrame:
+    """``key, partner, next, ends``: band keys of each place where a wanted seam stands, the word after it, and whether a sentence ends there."""
+    token = np.nonzero(kind == 1)[0]
+    owner = doc[token]
+    h = np.array(lexicon.plain, np.uint64)[at[token]]
+    begin = np.searchsorted(owner, owner)  # of each word: the first word of its text
+    seams = _grams(h, SEAM)[:-1] if len(h) > SEAM else np.zeros(0, np.uint64)
+    grams = _grams(h, SHINGLE)
+    place = np.nonzero((owner[SEAM:] == owner[: len(seams)]) & (np.arange(len(seams)) + SEAM - begin[: len(seams)] >= SHINGLE) & _among(seams, wanted))[0]
+    place = place[_among(_tied(seams[place], [lexicon.low[n] for n in at[token[place + SEAM]]]), wanted)]
+    key, partner, after, ends = [], [], [], []
+    cuts = np.concatenate([[0], np.nonzero(np.diff(owner[place]))[0] + 1, [len(place)]]) if len(place) else np.zeros(1, np.int64)
+    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
+        first, nexts = begin[place[x]], place[x:y] + SEAM
+        keys = _stretch_bands(grams[first : nexts[-1] - SHINGLE + 1], nexts - first - SHINGLE + 1, seams[place[x:y]])
+        asked = _among(keys, banded)
+        for k in np.nonzero(asked.any(axis=1))[0]:
+            t = int(token[nexts[k]])
+            rest = t + 1
+            while lexicon.low[at[rest]] in CLOSERS and at[rest]:
+                rest += 1
+            if not at[rest]:
+                continue  # this text ends at the same place: it says nothing
+            mine = keys[k][asked[k]]
+            key.append(mine)
+            partner += [ids[owner[place[x]]]] * len(mine)
+            after += [lexicon.low[at[t]]] * len(mine)
+            ends += [kind[rest] == 2] * len(mine)
+    flat = np.concatenate(key) if key else np.zeros(0, np.uint64)
+    return pd.DataFrame({"key": _signed(flat), "partner": np.array(partner, np.int64), "next": pd.Series(after, dtype="object"), "ends": np.array(ends, bool)})
+
+
+def _pass(wanted: np.ndarray, banded: np.ndarray):  # type: ignore[no-untyped-def]
+    """One reading of the corpus: of each wanted context in the prose the places, and the places where a sentence ends after it; and the wanted seams."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        lexicon = _Lexicon()
+        total: dict[int, list[int]] = {}
+
+        def flush() -> pd.DataFrame:
+            out = pd.DataFrame({"key": np.array(list(total), np.int64), "partner": None, "next": None, "ends": None, "n": [v[0] for v in total.values()], "n_ends": [v[1] for v in total.values()]})
+            total.clear()
+            return out.astype({"n": "int64", "n_ends": "int64"})
+
+        def add(keys: np.ndarray, places: np.ndarray | None, ends: np.ndarray) -> None:
+            asked = _among(keys, wanted)
+            for key, p, e in zip(*(x.astype(np.int64).tolist() for x in _tally(_signed(keys[asked]), None if places is None else places[asked], ends[asked])), strict=True):
+                got = total.get(key)
+                if got is None:
+                    total[key] = [p, e]
+                else:
+                    got[0] += p
+                    got[1] += e
+
+        for pdf in chunks(batches, "body"):
+            numbers: list[int] = []
+            last: list[int] = []
+            for text in pdf["body"]:
                 numbers += lexicon.numbers(_TOKEN.findall(_prose(text).rstrip()))
                 last.append(len(numbers) - 1)
                 numbers += (0, 0, 0)  # no context reaches over two texts
-        if not numbers:
-            continue
-        at = np.array(numbers)
-        h, kind = np.array(lexicon.hash, np.uint64)[at], np.array(lexicon.kind, np.int8)[at]
-        used = kind == 1
-        used[last] = False  # an open end is no evidence
-        end = np.zeros(len(at), bool)
-        end[:-1] = used[:-1] & (kind[1:] == 2)
-        for k in (1, 2, 3):
-            m = len(h) - k + 1
-            c = np.zeros(m, np.uint64)
-            for j in range(k):
-                c = mix(c ^ h[j : j + m])
-            add(*_tally(c[used[k - 1 :]], None, end[k - 1 :][used[k - 1 :]]))
-        lexicon.saw(at[used])
-        if len(lexicon.hash) > lexicon.room:
-            add(*lexicon.name_parts())
-        if len(total) > 500_000:
-            yield flush()
-    add(*lexicon.name_parts())
-    yield flush()
+            at = np.array(numbers)
+            h, kind = np.array(lexicon.hash, np.uint64)[at], np.array(lexicon.kind, np.int8)[at]
+            doc = np.repeat(np.arange(len(last)), np.diff(np.array(last) + 4, prepend=0))
+            seams = _places(at, kind, doc, lexicon, pdf["text"].to_numpy(), wanted, banded)
+            if len(seams):
+                yield seams.assign(n=None, n_ends=None)
+            used = kind == 1
+            used[np.array(last)] = False  # an open end is no evidence
+            end = np.zeros(len(at), bool)
+            end[:-1] = used[:-1] & (kind[1:] == 2)
+            for k in (1, 2, 3):
+                m = len(h) - k + 1
+                c = np.zeros(m, np.uint64)
+                for j in range(k):
+                    c = mix(c ^ h[j : j + m])
+                add(c[used[k - 1 :]], None, end[k - 1 :][used[k - 1 :]])
+            lexicon.saw(at[used])
+            if len(lexicon.hash) > lexicon.room:
+                add(*lexicon.name_parts())
+            if len(total) > 500_000:
+                yield flush()
+        add(*lexicon.name_parts())
+        yield flush()
+
+    return run
 
 
 def ends_early(short: str, longer: str) -> int:
     """CUT if the alignment shows that ``short`` stops where ``longer`` is within a sentence,
-    WHOLE if ``longer`` ends its sentence there, OPEN if they don't align at the end."""
-    a, b = LETTERS_DIGITS.findall(short.lower()), LETTERS_DIGITS.findall(longer.lower())
-    if len(a) < SHINGLE + 1:
-        return OPEN
-    head = a[:-1]
-    # No alignment reaches the end unless the last words stand in ``b`` before one that goes on.
-    if not any(b[i + 3].startswith(a[-1]) and b[i : i + 3] == head[-3:] for i in range(len(b) - 3)):
+    WHOLE if ``longer`` ends its sentence there, OPEN if they don't align at the end or both end there."""
+    a = _prose_words(short)
+    tokens = _TOKEN.findall(_prose(longer).rstrip())
+    spots = [i for i, t in enumerate(tokens) if _is_word(t)]
+    b = [tokens[i].lower() for i in spots]
+    if len(a) <= SHINGLE:
         return OPEN
-    shingle = lambda w: {tuple(w[i : i + SHINGLE]) for i in range(len(w) - SHINGLE + 1)}
-    blocks = [x for x in difflib.SequenceMatcher(None, head, b, autojunk=False).get_matching_blocks() if x.size]
-    if not blocks or blocks[-1].a + blocks[-1].size != len(head) or blocks[-1].size < 3:
+    head, last = a[:-1], a[-1]
+    seam = head[-SEAM:]
+    own = {tuple(head[i : i + SHINGLE]) for i in range(len(head) - SHINGLE + 1)}
+    best, reach = 0.0, -1
+    seen: set[tuple[str, ...]] = set()
+    shared = 0
+    for i in range(SHINGLE, len(b)):
+        # The stretch b[:i], one shingle longer than the last one.
+        gram = tuple(b[i - SHINGLE : i])
+        if gram not in seen:
+            seen.add(gram)
+            shared += gram in own
+        if b[i].startswith(last) and b[i - SEAM : i] == seam and (like := shared / (len(own) + len(seen) - shared)) >= SIMILARITY and like > best:
+            best, reach = like, i
+    if reach < 0:
         return OPEN
-    reach = blocks[-1].b + blocks[-1].size
-    x, y = shingle(head), shingle(b[:reach])
-    if not x or len(x & y) < SIMILARITY * len(x | y) or reach >= len(b):
+    after = [t for t in tokens[spots[reach] + 1 : spots[reach] + 9] if t not in CLOSERS]
+    if not after:
         return OPEN
-    if not b[reach].startswith(a[-1]):
-        return OPEN
-    if b[reach] != a[-1]:
+    if b[reach] != last:
         return CUT  # within a word
-    spots = [m.end() for m in LETTERS_DIGITS.finditer(longer.lower())]
-    after = longer[spots[reach] :] if spots[reach] < len(longer) else ""
-    if not after.strip() or after.lstrip(CLOSERS)[:1] in _END or after.lstrip(" ")[:1] == "\n":
-        return WHOLE
-    return CUT
+    return WHOLE if after[0][0] in _END or after[0][0] == "\n" else CUT
 
 
 def _align(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        yield pd.DataFrame({"text": pdf["text"], "verdict": np.array([ends_early(a, b) for a, b in zip(pdf["short"], pdf["longer"], strict=True)], np.int32)})
+        yield pd.DataFrame({"text": pdf["text"], "partner": pdf["partner"], "verdict": np.array([ends_early(a, b) for a, b in zip(pdf["short"], pdf["longer"], strict=True)], np.int32)})
+
+
+def _aligned(base: DataFrame, scan: DataFrame, places: DataFrame) -> DataFrame:
+    """``text, aligned``: CUT or WHOLE for the texts that a near-copy settles; CUT where copies differ."""
+    asks = scan.where("last is not null").select("text", "last", F.explode("bands").alias("key")).distinct()
+    places = materialize(places.join(asks.select("key").distinct(), "key", "left_semi"), "truncation-places")
+    # One text stands for all of a bucket that go on alike.
+    kinds = places.groupBy("key", "next", "ends").agg(F.min("partner").alias("partner"), F.count_distinct("partner").alias("n"))
+    tried = asks.join(kinds, "key").where(F.col("next").startswith(F.col("last")) & (F.col("partner") != F.col("text")))
+    tried = materialize(tried.groupBy("text", "next", "ends", "partner").agg(F.max("n").alias("n")), "truncation-pairs")
+    first = materialize(_verify(base, tried.select("text", "partner").distinct()), "truncation-aligned")
+    # Where it isn't similar enough, the others of the bucket follow.
+    known = tried.join(first, ["text", "partner"]).select("text", "next", "ends").distinct()
+    left = tried.where("n > 1").select("text", "next", "ends").distinct().join(known, ["text", "next", "ends"], "left_anti").join(first.where(F.col("verdict") == CUT).select("text").distinct(), "text", "left_anti")
+    left = materialize(left, "truncation-left")
+    more = asks.select("text", "key").join(left, "text").join(places, ["key", "next", "ends"]).where("partner <> text").select("text", "partner").distinct()
+    more = materialize(more.join(tried.select("text", "partner"), ["text", "partner"], "left_anti"), "truncation-more")
+    return first.unionByName(_verify(base, more)).groupBy("text").agg(F.max("verdict").alias("aligned"))
+
+
+def _verify(base: DataFrame, pairs: DataFrame) -> DataFrame:
+    """``text, partner, verdict`` of the pairs that align. The texts of few pairs are read again, not those of all rows shuffled."""
+    wanted = materialize(pairs.select("text").union(pairs.select("partner")).distinct(), "truncation-wanted")
+    texts = base.select("text", "body").join(wanted, "text", "left_semi").groupBy("text").agg(F.first("body").alias("body"))
+    both = (
+        pairs.join(texts.select("text", F.col("body").alias("short")), "text")
+        .join(texts.select(F.col("text").alias("partner"), F.col("body").alias("longer")), "partner")
+        .select("text", "partner", "short", "longer")
+    )
+    return both.mapInPandas(_align, "text bigint, partner bigint, verdict int").where(F.col("verdict") != OPEN)
 
 
 def truncation(
@@ -357,32 +521,15 @@ def truncation(
     ).where(F.col("id").isNotNull())
     # A row is its key and content: deliveries of one content are one row.
     base = base.withColumns({"row": F.xxhash64("id", "body", "asked"), "text": F.xxhash64("body")})
-    scanned = base.select("row", "text", "body", "asked").mapInPandas(_scan(label), "row bigint, text bigint, status int, closing array<bigint>, bands array<bigint>, label string")
+    scanned = base.select("row", "text", "body", "asked").mapInPandas(_scan(label), "row bigint, text bigint, status int, closing array<bigint>, seam array<bigint>, last string, bands array<bigint>, label string")
     scan = materialize(scanned, "truncation-scan")
-    open_rows = scan.where(F.col("status") == OPEN)
-
-    # Near-copies: every open text against every other text of each bucket it falls into; equal texts are one.
-    keyed = scan.select("text", (F.col("status") == OPEN).cast("int").alias("open"), F.explode("bands").alias("band"))
-    buckets = keyed.groupBy("band").agg(F.max("open").alias("any"), F.min("text").alias("low"), F.max("text").alias("high"))
-    # Written, so that the planner knows their number: few buckets hold an open text and another one.
-    buckets = materialize(buckets.where((F.col("any") == 1) & (F.col("low") < F.col("high"))).select("band"), "truncation-buckets")
-    pool = materialize(keyed.join(buckets, "band").groupBy("band", "text").agg(F.max("open").alias("open")), "truncation-pool")
-    pairs = pool.where("open = 1").select("band", "text").join(pool.select("band", F.col("text").alias("partner")), "band").where("text <> partner").select("text", "partner").distinct()
-    pairs = materialize(pairs, "truncation-pairs")
-    # Written for the same reason: all texts needn't be shuffled for a few.
-    wanted = materialize(pairs.select("text").union(pairs.select(F.col("partner").alias("text"))).distinct(), "truncation-wanted")
-    texts = base.select("text", "body").join(wanted, "text", "left_semi").groupBy("text").agg(F.first("body").alias("body"))
-    both = (
-        pairs.join(texts.select("text", F.col("body").alias("short")), "text")
-        .join(texts.select(F.col("text").alias("partner"), F.col("body").alias("longer")), "partner")
-        .select("text", "short", "longer")
-    )
-    aligned = both.mapInPandas(_align, "text bigint, verdict int").where(F.col("verdict") != OPEN)
-    aligned = aligned.groupBy("text").agg(F.max("verdict").alias("aligned"))
+    passed = base.where(F.col("body").isNotNull()).select("text", "body").mapInPandas(_pass(*_wanted(scan)), "key bigint, partner bigint, next string, ends boolean, n bigint, n_ends bigint")
+    passed = materialize(passed, "truncation-pass")
+    aligned = _aligned(base, scan, passed.where("partner is not null").select("key", "partner", "next", "ends"))
 
     # Terminality of the closing contexts over the whole corpus.
-    counts = base.select("body").mapInPandas(_count, "key bigint, places bigint, ends bigint").groupBy("key").agg(F.sum("places").alias("places"), F.sum("ends").alias("ends"))
-    asks = open_rows.select("row", F.posexplode("closing").alias("k", "key")).where(F.col("key") != 0)
+    counts = passed.where("partner is null").groupBy("key").agg(F.sum("n").alias("places"), F.sum("n_ends").alias("ends"))
+    asks = scan.where(F.col("status") == OPEN).select("row", F.posexplode("closing").alias("k", "key")).where(F.col("key") != 0)
     got = asks.join(counts, "key", "left").withColumns({"places": F.coalesce("places", F.lit(0)), "ends": F.coalesce("ends", F.lit(0))})
     found = got.groupBy("row").agg(*[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(5) for c in ("places", "ends")])
 
@@ -394,15 +541,16 @@ def truncation(
     whole_name = F.when(F.col("places3").isNull(), F.lit(1.0)).otherwise(F.coalesce(of(4, LEAST_SEEN), of(3, LEAST_SEEN), F.lit(0.0)))
     scores = found.select("row", F.least(context, whole_name).alias("terminality"))
 
+    # A copy that ends its sentence here doesn't close an open fence or bracket.
+    settled = (F.col("aligned") == CUT) | (F.col("aligned").isNotNull() & (F.col("status") == OPEN))
     ids = base.select("id", "src", "seen", "row")
     out = (
         ids.join(scan.select("row", "text", "status", "label").distinct(), "row")
         .join(aligned, "text", "left").join(scores, "row", "left")
         .select(
             F.col("id").alias(key), F.col("src").alias(source), F.col("seen").alias(order),
-            F.when(F.col("status") != OPEN, F.col("status") == CUT).when(F.col("aligned").isNotNull(), F.col("aligned") == CUT)
-            .otherwise(F.coalesce("terminality", F.lit(1.0)) < LEAST_TERMINAL).alias("truncated"),
-            F.when(F.col("status") != OPEN, "structure").when(F.col("aligned").isNotNull(), "alignment").otherwise("terminality").alias("evidence"),
+            F.when(settled, F.col("aligned") == CUT).when(F.col("status") != OPEN, F.col("status") == CUT).otherwise(F.coalesce("terminality", F.lit(1.0)) < LEAST_TERMINAL).alias("truncated"),
+            F.when(settled, "alignment").when(F.col("status") != OPEN, "structure").otherwise("terminality").alias("evidence"),
             F.when(F.col("status") == OPEN, F.col("terminality")).alias("terminality"), *(["label"] if label else []),
         )
     )

@@ -154,6 +154,41 @@ def test_alignment_goes_on_past_the_longest_copy(spark):
     assert got[1] == (True, "alignment")
 
 
+def test_cut_near_copies_are_found_wherever_they_are_cut(spark):
+    rng = random.Random(12)
+    rows, want = [], {}
+    for k in range(200):
+        words = [f"w{rng.randrange(4000)}" for _ in range(150)]
+        at = int(len(words) * (0.4, 0.5, 0.6, 0.7, 0.9)[k % 5])
+        edited = [f"e{rng.randrange(10**6)}" if j < at - 6 and rng.random() < 0.015 else w for j, w in enumerate(words)]
+        rows += [(2 * k, "How?", " ".join(words) + "."), (2 * k + 1, "How?", " ".join(edited[:at]))]
+        want[2 * k + 1] = truncation.ends_early(rows[-1][2], rows[-2][2]) == truncation.CUT
+    got = {r["sample_id"]: r for r in truncation.truncation(frame(spark, *rows)).collect()}
+    similar = [k for k, cut in want.items() if cut]
+    assert len(similar) > 120 and sum(got[k]["truncated"] and got[k]["evidence"] == "alignment" for k in similar) >= 0.98 * len(similar)
+    for k in range(5):
+        own = [x for x in similar if x // 2 % 5 == k]
+        assert sum(got[x]["evidence"] == "alignment" for x in own) >= 0.9 * len(own), k
+    assert not any(got[2 * k]["truncated"] for k in range(200))
+
+
+def test_others_of_a_bucket_follow_where_the_first_is_too_unlike(spark):
+    words = [f"w{i}" for i in range(120)]
+    short = " ".join(words)
+    tail = " goes on until the end."
+    # Alike enough to share buckets, and with the same continuation, but below the similarity: they may stand for the one that settles.
+    poor = [" ".join(f"v{k}x{i}" if i % 23 == k % 23 and i < 110 else w for i, w in enumerate(words)) + tail for k in range(60)]
+    rows = [(1, "How?", short), (2, "How?", short + tail), *[(10 + k, "How?", t) for k, t in enumerate(poor)]]
+    got = {r["sample_id"]: (r["truncated"], r["evidence"]) for r in truncation.truncation(frame(spark, *rows)).collect()}
+    assert got[1] == (True, "alignment")
+
+
+def test_emptiness_knows_no_length():
+    for text in ("```csharp\n" * 9, "<p></p>" * 40, "```\n```\n" * 30):
+        assert truncation.is_empty(text) and pairs.defect("How do I sort the grid?", text) == "empty" and truncation.structure(text) == truncation.WHOLE
+    assert not truncation.is_empty("```csharp\nvar a = 1;\n```") and not truncation.is_empty("none " * 12)
+
+
 # 2
 
 

@@ -22,7 +22,7 @@ def p1_cut_rates(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p2_found(spark: SparkSession, d: str) -> DataFrame:
-    freq = terms.tool_frequencies(samples(spark, d), longest=1)
+    freq = terms.tool_frequencies(samples(spark, d)).where(F.size("gram") == 1)
     return freq.where("verdict <> 'kept'").select(F.col("gram")[0].alias("tool_name"), "verdict")
 
 
@@ -83,8 +83,8 @@ def queries() -> dict[str, Query]:
 
 
 _CALLS = """
-once AS (SELECT sample_id, max(list_transform(coalesce(tool_calls, []), lambda c: CASE WHEN trim(c.function.name) <> '' THEN lower(trim(c.function.name)) ELSE 'unknown' END)) AS names
-         FROM syncfusion_tool_calling_dataset GROUP BY sample_id),
+once AS (SELECT sample_id, list_transform(coalesce(tool_calls, []), lambda c: CASE WHEN trim(c.function.name) <> '' THEN lower(trim(c.function.name)) ELSE 'unknown' END) AS names
+         FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ingested_at DESC) AS k FROM syncfusion_tool_calling_dataset) WHERE k = 1),
 total AS (SELECT count(*) AS n FROM once)
 """
 

@@ -20,6 +20,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.operators.deliveries import latest
+
 LONGEST = 3
 RARE, COMMON = 5, 0.10
 SALTS = 16
@@ -31,20 +33,38 @@ def tool_terms(calls: Column) -> Column:
     return F.transform(F.coalesce(calls, F.array()), lambda c: F.coalesce(F.when(F.length(name(c)) > 0, name(c)), F.lit("unknown")))
 
 
-def _suffixes(terms: Column, longest: int) -> Column:
-    """Of each place: the cut suffix, and the length up to which its prefixes stood earlier in the record."""
-    places = F.when(F.size(terms) > 0, F.sequence(F.lit(1), F.size(terms))).otherwise(F.array().cast("array<int>"))
-    grams = lambda n: F.transform(places, lambda i: F.slice(terms, i, n))
+def _suffixes(longest: int):  # type: ignore[no-untyped-def]
+    """Of each place: the cut suffix, and the length up to which its prefixes stood earlier in the record; one pass over the record."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        suffix, known, times = [], [], []
+
+        def flush() -> pd.DataFrame:
+            out = pd.DataFrame({"suffix": pd.Series(suffix, dtype="object"), "known": pd.Series(known, dtype="int32"), "times": pd.Series(times, dtype="int64")})
+            suffix.clear()
+            known.clear()
+            times.clear()
+            return out
 
-    def one(i: Column) -> Column:
-        # A prefix of n terms stood earlier if the first place of its n-gram is before this one.
-        seen = [(F.array_position(grams(n), F.slice(terms, i, n)) < i).cast("int") for n in range(1, longest + 1)]
-        known = seen[0]
-        for n in range(1, longest):
-            known = known + F.when(F.size(terms) - i + 1 > n, seen[n]).otherwise(F.lit(0))
-        return F.struct(F.slice(terms, i, longest).alias("suffix"), known.alias("known"))
+        for pdf in batches:
+            for terms, n in zip(pdf["terms"], pdf["times"], strict=True):
+                own = list(terms)
+                seen: set[tuple[str, ...]] = set()
+                for i in range(len(own)):
+                    cut = tuple(own[i : i + longest])
+                    depth = 0
+                    while depth < len(cut) and cut[: depth + 1] in seen:
+                        depth += 1
+                    # If a prefix is new, so are all longer ones.
+                    seen.update(cut[:k] for k in range(depth + 1, len(cut) + 1))
+                    suffix.append(list(cut))
+                    known.append(depth)
+                    times.append(n)
+                if len(suffix) > 20_000:
+                    yield flush()
+        yield flush()
 
-    return F.transform(places, one)
+    return run
 
 
 def _stack(longest: int):  # type: ignore[no-untyped-def]
@@ -96,7 +116,7 @@ def term_frequencies(df: DataFrame, terms: str, longest: int = LONGEST) -> DataF
     seq = F.filter(F.coalesce(F.col(terms), F.array().cast("array<string>")), lambda t: t.isNotNull())
     # Equal records are one row with a multiplicity, before their suffixes are made.
     records = df.select(seq.alias("terms")).groupBy("terms").agg(F.count("*").alias("times"))
-    made = records.select("times", F.inline(_suffixes(F.col("terms"), longest)))
+    made = records.where(F.size("terms") > 0).mapInPandas(_suffixes(longest), "suffix array<string>, known int, times bigint")
     merged = made.groupBy("suffix", "known").agg(F.sum("times").alias("n"))
     salt = F.pmod(F.xxhash64(F.coalesce(F.try_element_at("suffix", F.lit(2)), F.lit(""))), F.lit(SALTS))
     routed = merged.repartition(F.element_at("suffix", 1), salt).sortWithinPartitions(F.col("suffix").desc(), "known")
@@ -114,11 +134,10 @@ def verdicts(freq: DataFrame, total: DataFrame, rare: int = RARE, common: float
     return freq.withColumn("verdict", verdict)
 
 
-def tool_frequencies(df: DataFrame, longest: int = LONGEST, key: str = "sample_id", calls: str = "tool_calls") -> DataFrame:
-    """Frequencies and verdicts of tool-name sequences over the samples; each sample counts once.
+def tool_frequencies(df: DataFrame, longest: int = LONGEST, key: str = "sample_id", calls: str = "tool_calls", order: str = "ingested_at") -> DataFrame:
+    """Frequencies and verdicts of tool-name sequences over the samples; each sample counts once, by its latest delivery.
 
-    Samples without calls count in the total. Deliveries of a sample hold the same calls; if they differ, the
-    greatest sequence counts.
+    Samples without calls count in the total.
     """
-    once = df.where(F.col(key).isNotNull()).select(F.col(key).alias("id"), tool_terms(F.col(calls)).alias("terms")).groupBy("id").agg(F.max("terms").alias("terms"))
+    once = latest(df.select(F.col(key).alias("id"), F.col(order).alias("seen"), tool_terms(F.col(calls)).alias("terms")), "id", "seen")
     return verdicts(term_frequencies(once, "terms", longest), once.agg(F.count("*").alias("total")))

@@ -1,14 +1,17 @@
 """Packing texts of varying length into sequences of a fixed capacity.
 
 Pattern packing: the histogram of lengths (bounded by the capacity, whatever the number of texts) is
-fitted with repeat counts of few-text length patterns by non-negative least squares, the counts are
-rounded down, and what is left of the histogram is packed by best fit. All of this happens on the
-histogram. The texts then find their place by arithmetic: a text's rank among those of its length
-says which repeat of which pattern holds it. Ranks are distributed prefix sums over hash buckets, so a
+fitted with repeat counts of length patterns by non-negative least squares, the counts are rounded, and what is
+left of the histogram is fitted again until little is left, which best fit packs. Patterns aren't enumerated
+beforehand, for a long capacity has too many good ones: a knapsack over the prices of the lengths that are
+missed most gives, for each length, the best pattern that holds it (column generation).
+
+All of this happens on the histogram. The texts then find their place by arithmetic: a text's rank among those of
+its length step says which repeat of which pattern holds it. Ranks are distributed prefix sums over hash buckets, so a
 length that a third of all texts have is no single task.
 
-Lengths are coarsened upwards to ``BINS`` steps of the capacity, which bounds the number of patterns;
-the room this leaves is filled in a second round with texts shorter than it.
+Lengths are told apart exactly while they are short and rounded up to one of ``BINS`` steps in equal ratios beyond; that
+leaves up to one step of room to each long text, which isn't filled.
 """
 
 from __future__ import annotations
@@ -25,12 +28,17 @@ from loomline.llm.tokens import VOCABULARY, token_sizes
 from loomline.plans.scratch import materialize
 
 #: Steps of length that are told apart, short lengths exactly.
-BINS = 400
-#: Texts in a fitted pattern; residuals may hold more.
-MOST = 3
-#: A pattern that leaves a greater share of its sequence unused isn't fitted.
-LOOSE = 0.02
-BUCKETS = 256
+BINS = 800
+#: A pattern that leaves a greater share of its sequence unused isn't fitted while others can be; then twice as much is allowed, up to the second value.
+LOOSE, LOOSEST = 0.01, 0.16
+#: What a sequence left empty costs, compared with a length that is missed.
+WASTE = 0.02
+#: Rounds of fitting and rounding, pricings in the first and in later ones, and units of capacity the knapsack tells apart.
+ROUNDS, PRICINGS, AGAIN, UNITS = 100, 6, 2, 2048
+#: Rows in a bucket of ranks, and the most buckets.
+BUCKET_ROWS, MOST_BUCKETS = 20_000, 8192
+
+Plan = list[tuple[tuple[int, ...], int]]
 
 
 def edges_of(capacity: int, bins: int = BINS) -> list[int]:
@@ -44,79 +52,127 @@ def edges_of(capacity: int, bins: int = BINS) -> list[int]:
     return [*out, capacity] if not out or out[-1] != capacity else out
 
 
-def patterns(sizes: list[int], capacity: int, separator: int, most: int = MOST, kept: int = 6) -> list[tuple[int, ...]]:
-    """Patterns of up to ``most`` steps (indices, largest first) with little room left.
+def knapsack(prices: np.ndarray, weights: np.ndarray, room: int) -> list[tuple[int, ...]]:
+    """For each item that fits, the pattern of greatest price among those that hold it; items may repeat. Weights and room are whole units."""
+    best, pick = np.zeros(room + 1), np.full(room + 1, -1)
+    order = np.argsort(weights, kind="stable")
+    w, p = weights[order], prices[order]
+    fits = np.searchsorted(w, np.arange(room + 1), "right")
+    for c in range(1, room + 1):
+        best[c], pick[c] = best[c - 1], -1
+        if n := fits[c]:
+            value = best[c - w[:n]] + p[:n]
+            k = int(value.argmax())
+            if value[k] > best[c] + 1e-15:
+                best[c], pick[c] = value[k], k
+    out = []
+    for k in range(int(fits[room])):
+        pattern, c = [int(order[k])], room - int(w[k])
+        while c > 0:
+            if pick[c] < 0:
+                c -= 1
+                continue
+            pattern.append(int(order[pick[c]]))
+            c -= int(w[pick[c]])
+        out.append(tuple(sorted(pattern, reverse=True)))
+    return out
 
-    For each step and pair of steps the ``kept`` best fitting third (or second) steps are taken: enumerating
-    all would add only patterns that waste more.
-    """
-    found: set[tuple[int, ...]] = set()
-    for i, a in enumerate(sizes):
-        found.add((i,))
-        top = bisect_right(sizes, capacity - separator - a) - 1
-        for j in range(min(top, i), -1, -1):
-            room = capacity - a - separator - sizes[j]
-            if top - j < kept:
-                found.add((i, j))
-            if most > 2:
-                third = bisect_right(sizes, room - separator) - 1
-                for k in range(min(third, j), max(-1, min(third, j) - 2), -1):
-                    found.add((i, j, k))
-    return sorted(found)
-
-
-def fit(histogram: np.ndarray, sizes: list[int], capacity: int, separator: int, iterations: int = 400) -> list[tuple[tuple[int, ...], int]]:
-    """Repeat counts of patterns that use no more of any step than the histogram has.
-
-    Non-negative least squares by projected gradients with momentum; a unit that is missed costs as much as its step
-    is long, for short texts find room anywhere.
-    """
-    room = lambda p: capacity - sum(sizes[i] for i in p) - separator * (len(p) - 1)
-    pats = [p for p in patterns(sizes, capacity, separator) if room(p) <= LOOSE * capacity and all(histogram[i] for i in p)]
-    if not pats:
-        return []
-    # Columns in sparse form: patterns hold up to MOST steps.
-    rows = np.concatenate([np.array(p) for p in pats])
-    cols = np.repeat(np.arange(len(pats)), [len(p) for p in pats])
-    weight = np.sqrt(np.array(sizes, float) / capacity)
-    scale = max(1.0, float(histogram.max()))
-    target = histogram / scale
-    waste = np.array([capacity - sum(sizes[i] for i in p) - separator * (len(p) - 1) for p in pats]) / capacity
-
-    def forward(x: np.ndarray) -> np.ndarray:
-        return np.bincount(rows, weights=x[cols], minlength=len(sizes))
-
-    x = np.zeros(len(pats))
+
+def _within(pattern: tuple[int, ...], left: np.ndarray, live: list[int], sizes: list[int], capacity: int, separator: int) -> tuple[int, ...]:
+    """The pattern with no more of any step than there is; the room this leaves goes to the longest steps that fit."""
+    counts: dict[int, int] = {}
+    for i in pattern:
+        counts[i] = counts.get(i, 0) + 1
+    if all(left[i] >= c for i, c in counts.items()):
+        return pattern
+    counts = {i: min(c, int(left[i])) for i, c in counts.items()}
+    room = capacity + separator - sum(c * (sizes[i] + separator) for i, c in counts.items())
+    at = len(live)
+    while (at := bisect_right(live, room - separator, 0, at, key=lambda i: sizes[i]) - 1) >= 0:
+        i = live[at]
+        if (c := min(int(left[i]) - counts.get(i, 0), room // (sizes[i] + separator))) > 0:
+            counts[i] = counts.get(i, 0) + c
+            room -= c * (sizes[i] + separator)
+    return tuple(i for i in sorted(counts, reverse=True) for _ in range(counts[i]))
+
+
+class _Columns:
+    """Patterns in sparse form."""
+
+    def __init__(self, weights: np.ndarray, capacity: int) -> None:
+        self.weights, self.capacity = weights, capacity
+        self.known: dict[tuple[int, ...], int] = {}
+        self.rows, self.cols, self.vals = (np.zeros(0, np.int64) for _ in range(3))
+
+    def add(self, patterns: list[tuple[int, ...]]) -> int:
+        new = [p for p in dict.fromkeys(patterns) if p not in self.known]
+        rows, cols, vals = [], [], []
+        for p in new:
+            k = self.known[p] = len(self.known)
+            for i in dict.fromkeys(p):
+                rows.append(i)
+                cols.append(k)
+                vals.append(p.count(i))
+        self.rows, self.cols, self.vals = np.append(self.rows, rows).astype(np.int64), np.append(self.cols, cols).astype(np.int64), np.append(self.vals, vals)
+        return len(new)
+
+    def waste(self) -> np.ndarray:
+        return 1 - np.bincount(self.cols, weights=self.vals * self.weights[self.rows], minlength=len(self.known)) / self.capacity
+
+    def held(self, x: np.ndarray) -> np.ndarray:
+        return np.bincount(self.rows, weights=self.vals * x[self.cols], minlength=len(self.weights))
+
+    def prices(self, per_step: np.ndarray) -> np.ndarray:
+        return np.bincount(self.cols, weights=self.vals * per_step[self.rows], minlength=len(self.known))
+
+
+def _least_squares(columns: _Columns, target: np.ndarray, cost: np.ndarray, x: np.ndarray, iterations: int = 120) -> np.ndarray:
+    """Repeat counts that aren't negative, by projected gradients with momentum; ``cost`` is what a missed unit of each step costs."""
+    waste = columns.waste()
+    v = np.random.default_rng(0).random(len(columns.known))
+    size = 1.0
+    for _ in range(12):  # the largest eigenvalue sets the step
+        v = columns.prices(cost * columns.held(v))
+        size = np.linalg.norm(v) or 1.0
+        v /= size
+    step = 0.9 / size
     y, t = x.copy(), 1.0
-    # The largest eigenvalue, by power iteration, sets the step.
-    v = np.random.default_rng(0).random(len(pats))
-    for _ in range(20):
-        v = np.bincount(cols, weights=(weight**2 * forward(v))[rows], minlength=len(pats))
-        v /= np.linalg.norm(v) or 1.0
-    step = 1 / max(1e-9, np.linalg.norm(np.bincount(cols, weights=(weight**2 * forward(v))[rows], minlength=len(pats))))
     for _ in range(iterations):
-        gap = weight**2 * (forward(y) - target)
-        grad = np.bincount(cols, weights=gap[rows], minlength=len(pats)) + 0.02 * waste * target.mean()
+        grad = columns.prices(cost * (columns.held(y) - target)) + WASTE * waste * target.mean()
         new = np.maximum(0, y - step * grad)
         t2 = (1 + np.sqrt(1 + 4 * t * t)) / 2
         y, x, t = new + (t - 1) / t2 * (new - x), new, t2
-    left = histogram.astype(np.int64).copy()
-    plan = []
-    for k in sorted(range(len(pats)), key=lambda k: (waste[k], -x[k])):
-        n = int(x[k] * scale)
-        for i in set(pats[k]):
-            n = min(n, int(left[i]) // pats[k].count(i))
-        if n > 0:
-            for i in pats[k]:
-                left[i] -= n
-            plan.append((pats[k], n))
-    return plan
+    return x
+
+
+def fit(left: np.ndarray, sizes: list[int], capacity: int, separator: int, pricings: int = PRICINGS) -> tuple[list[tuple[int, ...]], np.ndarray, np.ndarray]:
+    """``(patterns, repeats, waste)``: patterns that fit the histogram ``left``, found by pricing what the ones so far miss."""
+    weights = np.array(sizes, np.int64) + separator
+    whole = capacity + separator  # a separator after each text, with one more at the end
+    unit = max(1, -(-whole // UNITS))
+    live = np.nonzero(left)[0].tolist()
+    scale = max(1.0, float(left.max()))
+    target, cost = left / scale, weights / whole
+    columns = _Columns(weights, whole)
+    x = np.zeros(0)
+    for _ in range(pricings):
+        missed = cost * (target - columns.held(x)) if len(x) else cost * target
+        # A full sequence is worth its share of the waste it spares.
+        price = missed[live] + WASTE * target.mean() * weights[live] / whole
+        found = knapsack(np.maximum(price, 1e-12), -(-weights[live] // unit), whole // unit)
+        if not columns.add([_within(tuple(live[i] for i in p), left, live, sizes, capacity, separator) for p in found]):
+            break
+        x = _least_squares(columns, target, cost, np.append(x, np.zeros(len(columns.known) - len(x))))
+    # Stopped early, the solution falls short of a long histogram everywhere; where only its proportions tell, it is scaled up.
+    held = float(columns.held(x) @ weights)
+    short = float(target @ weights) / held if held else 1.0
+    return list(columns.known), x * scale * (1.0 if capacity < 4 * np.average(weights, weights=left) else max(1.0, min(8.0, short))), columns.waste()
 
 
-def best_fit(left: np.ndarray, sizes: list[int], capacity: int, separator: int) -> list[tuple[tuple[int, ...], int]]:
+def best_fit(left: np.ndarray, sizes: list[int], capacity: int, separator: int) -> Plan:
     """Pack what no fitted pattern took: the longest text first, then always the longest that fits, repeated as often as it can be."""
     left = left.astype(np.int64).copy()
-    plan: list[tuple[tuple[int, ...], int]] = []
+    plan: Plan = []
     live = [i for i in range(len(sizes)) if left[i]]
     while live:
         pattern, room = [live[-1]], capacity - sizes[live[-1]]
@@ -141,19 +197,42 @@ def best_fit(left: np.ndarray, sizes: list[int], capacity: int, separator: int)
     return plan
 
 
-def make_plan(histogram: np.ndarray, sizes: list[int], capacity: int, separator: int) -> list[tuple[tuple[int, ...], int]]:
+def fitted(histogram: np.ndarray, sizes: list[int], capacity: int, separator: int) -> tuple[Plan, np.ndarray]:
+    """``(plan, left)``: rounded repeats of fitted patterns, and what they leave of the histogram."""
+    left, plan, loose = histogram.astype(np.int64).copy(), [], LOOSE
+    for turn in range(ROUNDS):
+        if not left.any():
+            break
+        pats, x, waste = fit(left, sizes, capacity, separator, AGAIN if turn else PRICINGS)
+        while loose <= LOOSEST and not (tight := [k for k in range(len(pats)) if x[k] > 0 and waste[k] <= loose]):
+            loose *= 2
+        if loose > LOOSEST:
+            break
+        # Whole repeats first; where there are none, one of each pattern that is wanted most.
+        least = 1.0 if max(x[k] for k in tight) >= 1 else 0.3 * max(x[k] for k in tight)
+        before = left.sum()
+        for k in sorted((k for k in tight if x[k] >= least), key=lambda k: (-x[k], waste[k])):
+            n = max(1, int(x[k]))
+            counts = {i: pats[k].count(i) for i in dict.fromkeys(pats[k])}
+            n = min([n, *(int(left[i]) // c for i, c in counts.items())])
+            if n > 0:
+                for i, c in counts.items():
+                    left[i] -= n * c
+                plan.append((pats[k], n))
+        if left.sum() == before:
+            loose *= 2
+    return plan, left
+
+
+def make_plan(histogram: np.ndarray, sizes: list[int], capacity: int, separator: int) -> Plan:
     """Patterns and repeats that hold the whole histogram. Size follows the number of steps, not of texts."""
-    plan = fit(histogram, sizes, capacity, separator)
-    left = histogram.astype(np.int64).copy()
-    for p, n in plan:
-        for i in p:
-            left[i] -= n
-    # Room in fitted patterns takes texts of the rest before new sequences are opened.
-    grown: list[tuple[tuple[int, ...], int]] = []
+    plan, left = fitted(histogram, sizes, capacity, separator)
+    # Room in fitted patterns takes texts of the rest before new sequences are opened. A run is split only where a step runs out.
+    grown: Plan = []
     for p, n in plan:
         pattern, todo = list(p), n
+        room = capacity - sum(sizes[i] for i in pattern) - separator * (len(pattern) - 1)
         while todo:
-            room = capacity - sum(sizes[i] for i in pattern) - separator * (len(pattern) - 1)
             at = bisect_right(sizes, room - separator) - 1
             while at >= 0 and not left[at]:
                 at -= 1
@@ -165,17 +244,9 @@ def make_plan(histogram: np.ndarray, sizes: list[int], capacity: int, separator:
                 grown.append((tuple(pattern), todo - k))
             left[at] -= k
             pattern.append(at)
+            room -= sizes[at] + separator
             todo = k
-        if len(grown) > 40 * len(sizes):
-            break
-    else:
-        return grown + best_fit(left, sizes, capacity, separator)
-    # Too fragmented to be a bounded plan: keep the fitted patterns as they were.
-    left = histogram.astype(np.int64).copy()
-    for p, n in plan:
-        for i in p:
-            left[i] -= n
-    return plan + best_fit(left, sizes, capacity, separator)
+    return grown + best_fit(left, sizes, capacity, separator)
 
 
 def pack(df: DataFrame, capacities: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
@@ -204,10 +275,11 @@ def _pack_one(sized: DataFrame, capacity: int, separator: int) -> DataFrame:
     full = full.select("id", "row", "piece", (F.col("piece") * capacity).alias("token_start"), F.lit(capacity).cast("bigint").alias("n_tokens"))
     rest = sized.where(F.col("n_tokens") % capacity > 0).select("id", "row", whole.alias("piece"), (whole * capacity).alias("token_start"), (F.col("n_tokens") % capacity).alias("n_tokens"))
     edges = edges_of(capacity)
-    # The step of a length is a search in a literal array of the upper ends, within the JVM.
-    ends = F.array(*[F.lit(e) for e in edges])
-    step = F.size(F.filter(ends, lambda e: e < F.col("n_tokens")))
-    pieces = rest.unionByName(full).withColumn("step", step).withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(BUCKETS)))
+    ends = np.array(edges)
+    step = F.pandas_udf(lambda n: pd.Series(np.searchsorted(ends, n.to_numpy(), "left"), dtype="int32"), "int")
+    # More texts make more buckets, so that a window over one stays small; their number is bounded.
+    buckets = int(min(MOST_BUCKETS, max(16, sized.count() // BUCKET_ROWS)))
+    pieces = rest.unionByName(full).withColumn("step", step("n_tokens")).withColumn("bucket", F.pmod(F.xxhash64("row", "piece"), F.lit(buckets)))
     pieces = materialize(pieces, "packing-pieces")
     counts = pieces.groupBy("step", "bucket").agg(F.count("*").alias("n")).toArrow().to_pandas()  # steps x buckets, bounded
     histogram = np.zeros(len(edges), np.int64)
@@ -228,7 +300,7 @@ def _pack_one(sized: DataFrame, capacity: int, separator: int) -> DataFrame:
             used[i] = used.get(i, 0) + slots[i] * n
             begin += slots[i]
         sequence += n
-    per_bucket = np.zeros((len(edges), BUCKETS), np.int64)
+    per_bucket = np.zeros((len(edges), buckets), np.int64)
     np.add.at(per_bucket, (counts["step"].to_numpy(np.int64), counts["bucket"].to_numpy(np.int64)), counts["n"].to_numpy(np.int64))
     before = np.cumsum(per_bucket, axis=1) - per_bucket
     placed = pieces.withColumn("place", F.row_number().over(Window.partitionBy("step", "bucket").orderBy("row", "piece")) - 1)
@@ -263,4 +335,4 @@ def packing_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["pack", "packing_report", "make_plan", "best_fit", "fit", "patterns", "edges_of"]
+__all__ = ["pack", "packing_report", "make_plan", "fitted", "fit", "best_fit", "knapsack", "edges_of"]

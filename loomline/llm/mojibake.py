@@ -18,10 +18,13 @@ import re
 from collections.abc import Iterator
 from functools import lru_cache
 
+import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.llm.bitmap import among, bitmap
 from loomline.plans.scratch import materialize
 
 # Encodings a text was written in, and those it was read in, by Python's names.
@@ -34,13 +37,14 @@ EXAMPLE = 3
 #: A single sign must be so many times rarer than the sign it is a misreading of.
 RARER = 33
 REPLACED = "�"
+#: Bits of the map of observed words: 8 MB, however many words there are.
+WORD_BITS = 2**26
 
 _WIDE = r"\x{80}-\x{10FFFF}"
 WORD = rf'"?(?<![A-Za-z])[A-Za-z]*+[{_WIDE}][A-Za-z{_WIDE}]*"?'
 RUN = rf"[{_WIDE}]+"
 NAMED_REPLACEMENT = r"\x{FFFD}\s*\((?:U\+|\\u)FFFD\)"
 _PYTHON_WORD = re.compile(r"[A-Za-z\u0080-\U0010ffff]*[\u0080-\U0010ffff][A-Za-z\u0080-\U0010ffff]*")
-_CAMEL = re.compile(r"[a-z][A-Z]")
 
 
 def _read(raw: bytes, encoding: str) -> set[str]:
@@ -90,25 +94,32 @@ def garbled_forms(word: str) -> dict[str, str]:
             for form in level:
                 if form != word:
                     forms.setdefault(form, f"utf-8 x{depth}")
-        if len(word) > 12 and depth == 2:
-            break
     return forms
 
 
-def _garble(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    for pdf in batches:
-        form, original, chain, seen = [], [], [], []
-        for word, n in zip(pdf["word"], pdf["docs"], strict=True):
-            if REPLACED in word or (_CAMEL.search(word) and not word.isascii() and word.strip("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz") != word):
-                continue  # damage is no original; names are looked up by their foreign run
-            for f, c in garbled_forms(word).items():
-                form.append(f)
-                original.append(word)
-                chain.append(c)
-                seen.append(n)
-        # Typed, for a batch may give no form at all.
-        text = lambda x: pd.Series(x, dtype="object")
-        yield pd.DataFrame({"word": text(form), "original": text(original), "chain": text(chain), "original_docs": pd.Series(seen, dtype="int64")})
+def _garble(observed: np.ndarray):  # type: ignore[no-untyped-def]
+    """Of each word the garbled forms that may have been observed; the others are left before they are shuffled."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # The hash of the engine's own ``xxhash64``.
+        of = lambda x: xxhash.xxh64_intdigest(x.encode("utf-8", "surrogatepass"), 42)
+        for pdf in batches:
+            form, original, chain, seen = [], [], [], []
+            for word, n in zip(pdf["word"], pdf["docs"], strict=True):
+                if REPLACED in word:
+                    continue  # damage is no original
+                forms = garbled_forms(word)
+                for (f, c), known in zip(forms.items(), among(np.array([of(f) for f in forms], np.uint64), observed), strict=True):
+                    if known:
+                        form.append(f)
+                        original.append(word)
+                        chain.append(c)
+                        seen.append(n)
+            # Typed, for a batch may give no form at all.
+            text = lambda x: pd.Series(x, dtype="object")
+            yield pd.DataFrame({"word": text(form), "original": text(original), "chain": text(chain), "original_docs": pd.Series(seen, dtype="int64")})
+
+    return run
 
 
 def _tokens(text: Column) -> Column:
@@ -135,19 +146,26 @@ def garbled_words(observed: DataFrame) -> DataFrame:
     # Copies of one text are one witness, however many there are.
     counted = observed.groupBy("word").agg(F.count_distinct("text").alias("docs"), F.max("whole").alias("whole"))
     counted = materialize(counted, "mojibake-words")
-    # Garbling multiplies the words a hundredfold: spread it, and join it by hash, for its size can't be estimated.
+    # Garbling multiplies the words a hundredfold: spread it, keep what may have been observed, and write it, so that the planner knows its size.
     spread = counted.select("word", "docs").repartition(4 * counted.sparkSession.sparkContext.defaultParallelism, "word")
-    table = spread.mapInPandas(_garble, "word string, original string, chain string, original_docs bigint")
+    seen = bitmap(counted.select(F.xxhash64("word").alias("key")), WORD_BITS)
+    table = materialize(spread.mapInPandas(_garble(seen), "word string, original string, chain string, original_docs bigint"), "mojibake-forms")
     longer = F.length("word") > F.length("original")
     # One sign is read as another by many chains: that says nothing without letters around it.
-    telling = longer | ((F.col("original_docs") > F.col("docs")) & (F.length("word") >= 3) & F.col("whole") & F.col("word").rlike("[A-Za-z]"))
+    telling = longer | ((F.col("original_docs") > F.col("docs")) & (F.length("word") >= 3) & F.col("whole") & F.col("word").rlike(r"[A-Za-z]|\p{L}{3}"))
     # A sign alone that was read as another one says something only if it is far rarer than its original.
     sign = (F.length("word") == 1) & F.col("whole") & F.col("original").rlike(r"^[\p{S}\p{P}]$") & (F.col("docs") * RARER <= F.col("original_docs"))
-    found = counted.hint("merge").join(table, "word").where((telling & (F.length("word") > 1)) | sign).groupBy("word").agg(
-        F.max(F.struct("original_docs", "original", "chain")).alias("best"), F.count_distinct("original").alias("n")
-    )
+    pairs = counted.join(table, "word").where((telling & (F.length("word") > 1)) | sign).select("word", "original", "chain", "original_docs")
+    pairs = materialize(pairs, "mojibake-pairs")
+    # An original that is garbled itself is only a stage on the way, unless there is no other.
+    stage = pairs.select(F.col("word").alias("original"), F.lit(True).alias("stage")).distinct()
+    ranked = pairs.join(stage, "original", "left").withColumn("clean", F.col("stage").isNull())
+    found = ranked.groupBy("word").agg(
+        F.max(F.struct("clean", "original_docs", "original", "chain")).alias("best"), F.count_distinct("original").alias("n"), F.count_distinct(F.when(F.col("clean"), F.col("original"))).alias("n_clean"),
+    )
+    one = F.coalesce((F.col("n_clean") == 1) | ((F.col("n_clean") == 0) & (F.col("n") == 1)), F.lit(False))
     lost = counted.where(F.col("word").contains(REPLACED)).select("word")
-    return found.join(lost, "word", "full").select("word", F.col("best.original").alias("original"), F.col("best.chain").alias("chain"), F.coalesce(F.col("n") == 1, F.lit(False)).alias("sure"))
+    return found.join(lost, "word", "full").select("word", F.col("best.original").alias("original"), F.col("best.chain").alias("chain"), one.alias("sure"))
 
 
 def find_garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
@@ -155,7 +173,8 @@ def find_garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> tupl
 
     Null and empty texts have none; a document whose only garbled words are examples has none.
     """
-    seen = _observed(df, key, text)
+    # Written: the words serve the garbled forms, their counts and the documents.
+    seen = materialize(_observed(df, key, text), "mojibake-observed")
     words = materialize(garbled_words(seen), "mojibake-garbled")
     hits = seen.join(words, "word")
     example = F.col("quoted") & (F.length(F.coalesce("original", F.lit(""))) < EXAMPLE) & ~F.coalesce("chain", F.lit("")).rlike(" x[23]$")
@@ -196,8 +215,10 @@ def restore_garbled(df: DataFrame, key: str = "doc_id", text: str = "text") -> D
         F.count("*").alias("garbled_words"),
         F.collect_list(F.struct("word", F.when(F.col("sure"), F.col("original")).alias("original"))).alias("table"),
     ).withColumnRenamed(key, "id")
+    per = materialize(per, "mojibake-affected")
     kind = dict(df.dtypes)[key]
-    base = df.select(F.col(key).alias("id"), F.col(text).alias("body")).where(F.col("body").isNotNull())
+    # Only affected texts are sent anywhere: their ids are few.
+    base = df.select(F.col(key).alias("id"), F.col(text).alias("body")).where(F.col("body").isNotNull()).join(per.select("id"), "id", "left_semi")
     done = base.join(per, "id").select("id", "body", F.transform("table", lambda t: F.array(t["word"], t["original"])).alias("table"))
     fixed = done.mapInPandas(_restore, f"id {kind}, restored string, unresolved bigint")
     return fixed.join(per.select("id", "garbled_words"), "id").select(F.col("id").alias(key), "garbled_words", "unresolved", "restored")

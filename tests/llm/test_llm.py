@@ -205,6 +205,12 @@ def test_terms_against_brute_force(spark):
     assert got == {g: (count[g], records[g]) for g in count}
 
 
+def test_a_long_record_is_counted_in_one_pass(spark):
+    long = ["a", "b", "c"] * 20_000
+    got = {tuple(r["gram"]): (r["occurrences"], r["records"]) for r in terms.term_frequencies(spark.createDataFrame([(long,)], "t array<string>"), "t", 3).collect()}
+    assert got[("a",)] == (20_000, 1) and got[("c", "a", "b")] == (19_999, 1) and len(got) == 9
+
+
 def test_tool_names(spark):
     call = lambda n: ("c", "f", (n, None))
     df = frame(spark, (1, "", "", "", [call(" Get "), call("get"), None, ("c", "f", None), call(None), call("  ")]), (1, "", "", "", [call(" Get "), call("get"), None, ("c", "f", None), call(None), call("  ")]), (2, "", "", "", None))
@@ -360,6 +366,27 @@ def test_plans_hold_the_histogram(capacity, separator):
     assert total / (capacity * sum(n for _, n in plan)) > 0.9
 
 
+def test_most_pieces_are_in_fitted_patterns():
+    rng = np.random.default_rng(5)
+    for capacity in (512, 2048, 8192):
+        sizes = packing.edges_of(capacity)
+        lengths = np.minimum(rng.lognormal(5.5, 1.1, 4000).astype(int) + 1, capacity)
+        histogram = np.bincount(np.searchsorted(sizes, lengths, "left"), minlength=len(sizes))
+        _, left = packing.fitted(histogram, sizes, capacity, 1)
+        assert 1 - left.sum() / histogram.sum() >= 0.8, capacity
+
+
+def test_knapsack_against_brute_force():
+    rng = np.random.default_rng(2)
+    for _ in range(20):
+        weights, prices = rng.integers(1, 12, 5), rng.random(5)
+        best = np.zeros(31)
+        for c in range(1, 31):
+            best[c] = max([best[c - 1], *(best[c - w] + p for w, p in zip(weights, prices, strict=True) if w <= c)])
+        found = packing.knapsack(prices, weights, 30)
+        assert all(sum(weights[list(p)]) <= 30 for p in found) and abs(max(sum(prices[list(p)]) for p in found) - best[30]) < 1e-9
+
+
 def test_packing_places_every_token_once(spark):
     rng = random.Random(3)
     rows = [(i, " ".join(["word"] * rng.choice([1, 2, 5, 9, 30, 200])), "x") for i in range(400)] + [(400, None, "x"), (401, "", "x"), (402, "one", "x"), (402, "one", "x")]
@@ -426,6 +453,19 @@ def test_copies_of_a_garbled_page_are_found(spark):
     assert {r["doc_id"] for r in got.select("doc_id").distinct().collect()} == {i for i, _ in broken}
 
 
+def test_words_of_any_length_and_shape_are_garbled():
+    triple = lambda w: w.encode("utf-8").decode("cp1252", "replace").encode("utf-8").decode("latin-1").encode("utf-8").decode("cp1252", "replace")
+    for word in ("über", "Größenänderungsmodus", "GrößeÄndern"):
+        assert triple(word) in mojibake.garbled_forms(word), word
+
+
+def test_camel_case_words_with_foreign_signs_are_originals(spark):
+    clean = [(i, f"Die Methode größeÄndern der Tabelle {i}.") for i in range(4)]
+    broken = (100, "Die Methode " + "größeÄndern".encode().decode("cp437") + " der Tabelle.")
+    got = mojibake.find_garbled(spark.createDataFrame([*clean, broken], "doc_id bigint, text string"))[0]
+    assert {(r["doc_id"], r["original"]) for r in got.collect()} >= {(100, "größeÄndern")}
+
+
 def test_every_chain_is_undone_by_its_table():
     for word in ("größer", "élève", "값을"):
         for form, chain in mojibake.garbled_forms(word).items():

@@ -2,10 +2,11 @@
 
 1. Records with equal word sets form a class; only its smallest id, the representative, goes on.
 2. Candidates come from a prefix filter, which loses no pair. Words are ordered by rarity (a count
-   per hash bucket; any common order is right). Two sets of similarity t share at least two words
-   among the first ``m - ceil(2t/(1+t) m) + 2`` of the smaller and the first ``n - ceil(t n) + 2`` of the
-   larger one. Rare words are keys by themselves; frequent words only in pairs, so that a word
-   that a third of all records have is no join key.
+   per hash bucket; any common order is right). Two sets of similarity t share at least c words
+   among the first ``m - ceil(2t/(1+t) m) + c`` of the smaller and the first ``n - ceil(t n) + c`` of the
+   larger one. Words that few records have are keys by themselves; other words only in pairs, and pairs that many
+   records have (counted alike) only with a third word. So what a third of all records have is no join key, and
+   no key but one of three words has more than about ``ALONE`` records, however large the corpus.
 3. Bayesian pruning while the candidates are joined: MinHash values, one bit each, are compared in
    groups of 64. With a uniform prior, a pair whose posterior probability of reaching the threshold
    falls below ``TOLERANCE`` after a group is dropped.
@@ -22,15 +23,18 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomline.llm.bitmap import among, bitmap
 from loomline.llm.shingles import LETTERS_DIGITS, Batch, WordHasher, chunks, mix
 from loomline.operators.deliveries import latest
 from loomline.plans.scratch import materialize
 
 SIMILARITY = 0.8
-#: Words in buckets with at most so many records are keys by themselves.
+#: Words in buckets with at most so many records are keys by themselves, pairs of words likewise.
 ALONE = 200
-#: Buckets of the rarity sketch: a fixed 4 MB however large the corpus.
+#: Buckets of the rarity sketches of words and of pairs: a fixed 4 MB each however large the corpus.
 SKETCH = 2**20
+#: Bits of the map of the keys of smaller sets: 8 MB, however large the corpus.
+KEY_BITS = 2**26
 #: A candidate may be dropped when it reaches the threshold with less than this probability.
 TOLERANCE = 1e-6
 SIGNATURE_LONGS = 2
@@ -111,44 +115,111 @@ def _classes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"id": None, "seen": pd.NaT, "text": None, "size": None, "one": None, "two": None, "bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
 
 
-def _keys(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
+def _prefixes(counts: np.ndarray, threshold: float):  # type: ignore[no-untyped-def]
+    """Of each record: size, signature, the words of its longest prefix in order of rarity, and their counts."""
+
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         hasher = WordHasher()
         for pdf in chunks(batches, "body"):
             b = Batch(pdf["body"].tolist(), LETTERS_DIGITS, hasher)
             doc, h = _word_sets(b)
             size = np.bincount(doc, minlength=b.n)
+            sig = _signature(doc, h, b.n).view(np.int64)
             rare = counts[_bucket(h)]
             order = np.lexsort((h, rare, doc))
             doc, h, rare = doc[order], h[order], rare[order]
             start = np.concatenate([[0], np.cumsum(size)[:-1]])
-            rank = np.arange(len(h)) - start[doc]
-            reach = size - np.ceil(threshold * size - 1e-9).astype(np.int64) + 2
-            near = size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9).astype(np.int64) + 2
-            inside, inner = rank < reach[doc], rank < near[doc]
-            # A bucket with one record can't join two.
-            alone = inside & (rare > 1) & (rare <= ALONE)
-            out_doc, out_key, out_inner = [doc[alone]], [mix(h[alone])], [inner[alone]]
-            often = np.nonzero(inside & (rare > ALONE))[0]
-            d, x, y = doc[often], h[often], inner[often]
-            step = 1
-            while len(d) > step:
-                same = np.nonzero(d[step:] == d[:-step])[0]
-                if not len(same):
-                    break
-                out_doc.append(d[same])
-                out_key.append(mix(mix(x[same]) ^ x[same + step]))
-                out_inner.append(y[same + step])  # the later word is the farther one
-                step += 1
-            at, key, near_key = np.concatenate(out_doc), np.concatenate(out_key), np.concatenate(out_inner)
-            used, inverse = np.unique(at, return_inverse=True)
-            if not len(used):
-                continue
-            place = np.full(b.n, -1)
-            place[used] = np.arange(len(used))
-            mine = place[doc] >= 0
-            sig = _signature(place[doc[mine]], h[mine], len(used)).view(np.int64)
-            yield pd.DataFrame({"key": key.view(np.int64), "id": pdf["id"].to_numpy()[at], "size": size[at].astype(np.int32), "inner": near_key, **{f"s{k}": sig[inverse, k] for k in range(SIGNATURE_LONGS)}})
+            inside = np.arange(len(h)) - start[doc] < _reach(size, threshold, 3)[doc]
+            ends = np.cumsum(np.bincount(doc[inside], minlength=b.n))[:-1]
+            yield pd.DataFrame({"id": pdf["id"], "size": size.astype(np.int32), "words": np.split(h[inside].view(np.int64), ends), "counts": np.split(rare[inside], ends), **{f"s{k}": sig[:, k] for k in range(SIGNATURE_LONGS)}})
+
+    return run
+
+
+def _reach(size: np.ndarray, threshold: float, shared: int) -> np.ndarray:
+    """The prefix of a set in which it shares ``shared`` words with any smaller similar one."""
+    return size - np.ceil(threshold * size - 1e-9).astype(np.int64) + shared
+
+
+def _near(size: np.ndarray, threshold: float, shared: int) -> np.ndarray:
+    """The same with any larger similar one."""
+    return size - np.ceil(2 * threshold / (1 + threshold) * size - 1e-9).astype(np.int64) + shared
+
+
+class _Flat:
+    """The prefixes of a batch: words, counts, records and ranks."""
+
+    def __init__(self, pdf: pd.DataFrame, threshold: float, alone: int) -> None:
+        self.size = pdf["size"].to_numpy(np.int64)
+        lengths = pdf["words"].str.len().to_numpy(np.int64)
+        self.word = np.concatenate([*pdf["words"], np.zeros(0, np.int64)]).astype(np.int64).view(np.uint64)
+        self.rare = np.concatenate([*pdf["counts"], np.zeros(0, np.int64)]).astype(np.int64)
+        self.doc = np.repeat(np.arange(len(pdf)), lengths)
+        self.rank = np.arange(len(self.doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.reach, self.near, self.near3 = _reach(self.size, threshold, 2), _near(self.size, threshold, 2), _near(self.size, threshold, 3)
+        self.often = np.nonzero(self.rare > alone)[0]
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Places of the first and the second word of all pairs of frequent words in the shorter prefix, and their keys."""
+        at = self.often[self.rank[self.often] < self.reach[self.doc[self.often]]]
+        first, second, step = [], [], 1
+        while len(at) > step and len(same := np.nonzero(self.doc[at[step:]] == self.doc[at[:-step]])[0]):
+            first.append(at[same])
+            second.append(at[same + step])
+            step += 1
+        x, y = (np.concatenate(p) if p else np.zeros(0, np.int64) for p in (first, second))
+        return x, y, mix(mix(self.word[x]) ^ self.word[y])
+
+    def thirds(self, x: np.ndarray, y: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The same pairs with each later word of the longest prefix."""
+        first, third, keys, step = [], [], [], 1
+        last = len(self.doc)
+        while len(y):
+            good = y + step < last
+            x, y, key = x[good], y[good], key[good]
+            good = self.doc[y + step] == self.doc[y]
+            x, y, key = x[good], y[good], key[good]
+            first.append(y)
+            third.append(y + step)
+            keys.append(mix(key ^ mix(self.word[y + step])))
+            step += 1
+        return tuple(np.concatenate(p) if p else np.zeros(0, d) for p, d in ((first, np.int64), (third, np.int64), (keys, np.uint64)))  # type: ignore[return-value]
+
+
+def _pair_counts(threshold: float, alone: int):  # type: ignore[no-untyped-def]
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        counts = np.zeros(SKETCH, np.int64)
+        for pdf in batches:
+            counts += np.bincount(_bucket(_Flat(pdf, threshold, alone).pairs()[2]), minlength=SKETCH)
+        at = np.nonzero(counts)[0]
+        for i in range(0, len(at), 50_000):
+            yield pd.DataFrame({"bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
+
+    return run
+
+
+def _keys(pair_counts: np.ndarray, threshold: float, most: int, wanted: np.ndarray | None = None):  # type: ignore[no-untyped-def]
+    """The keys a record brings as the smaller set of a pair, or with ``wanted``, a bitmap of those, all that may meet one."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            f = _Flat(pdf, threshold, most)
+            # What one record has can't join two.
+            alone = np.nonzero((f.rank < f.reach[f.doc]) & (f.rare > 1) & (f.rare <= most))[0]
+            x, y, key = f.pairs()
+            n = pair_counts[_bucket(key)]
+            few, many = (n > 1) & (n <= most), n > most
+            second, third, far = f.thirds(x[many], y[many], key[many])
+            last = np.concatenate([alone, y[few], third])
+            doc = f.doc[last]
+            inner = np.concatenate([
+                f.rank[alone] < f.near[f.doc[alone]], f.rank[y[few]] < f.near[f.doc[y[few]]],
+                (f.rank[second] < f.near[f.doc[second]]) & (f.rank[third] < f.near3[f.doc[third]]),
+            ])
+            keys = np.concatenate([mix(f.word[alone]), key[few], far])
+            kept = inner if wanted is None else among(keys, wanted)
+            own = pdf.drop(columns=["words", "counts"]).iloc[doc[kept]].reset_index(drop=True)
+            yield own.assign(key=keys[kept].view(np.int64))
 
     return run
 
@@ -167,7 +238,7 @@ def joined_text(*columns: str) -> Column:
     return F.concat_ws("\n", *[F.col(c) for c in columns])
 
 
-def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...] = ("instruction", "output"), order: str = "ingested_at", threshold: float = SIMILARITY) -> tuple[DataFrame, DataFrame]:
+def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...] = ("instruction", "output"), order: str = "ingested_at", threshold: float = SIMILARITY, alone: int = ALONE) -> tuple[DataFrame, DataFrame]:
     """``(members, links)``: ``key, class_id, text`` (a hash of the raw text) of every record, and ``class_a, class_b, similarity`` between classes.
 
     A class holds the records with the same words; its id is the smallest key in it. Links lack no
@@ -189,10 +260,14 @@ def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...
     copies = materialize(members.where(F.col("id") != F.col("class_id")).select("id"), "neardup-copies")
     reps = base.join(copies, "id", "left_anti")
     columns = ", ".join(f"s{k} bigint" for k in range(SIGNATURE_LONGS))
-    keyed = reps.mapInPandas(_keys(counts, threshold), f"key bigint, id {kinds[key]}, size int, inner boolean, {columns}")
-    keyed = materialize(keyed, "neardup-keys")
-    # The smaller set (of equal ones the smaller id) brings only its inner keys.
-    a, b = keyed.where("inner").drop("inner").alias("a"), keyed.drop("inner").alias("b")
+    prefixes = reps.mapInPandas(_prefixes(counts, threshold), f"id {kinds[key]}, size int, words array<bigint>, counts array<int>, {columns}")
+    prefixes = materialize(prefixes, "neardup-prefixes")
+    pair_counts = _counts(prefixes.select("size", "words", "counts").mapInPandas(_pair_counts(threshold, alone), "bucket bigint, n bigint"))
+    shape = f"id {kinds[key]}, size int, {columns}, key bigint"
+    # The smaller set (of equal ones the smaller id) brings only its inner keys; of the other keys only those that meet one are written.
+    inner = materialize(prefixes.mapInPandas(_keys(pair_counts, threshold, alone), shape), "neardup-inner")
+    outer = materialize(prefixes.mapInPandas(_keys(pair_counts, threshold, alone, bitmap(inner.select("key"), KEY_BITS)), shape), "neardup-keys")
+    a, b = inner.alias("a"), outer.alias("b")
     first = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.id") < F.col("b.id")))
     fits = F.col("a.size") >= F.ceil(F.lit(threshold) * F.col("b.size") - 1e-9)
     pairs = a.join(b, (F.col("a.key") == F.col("b.key")) & first & fits & _pruned("a", "b", threshold))
@@ -236,7 +311,8 @@ def groups(members: DataFrame, links: DataFrame, key: str = "sample_id", rounds:
 
     ``group_id`` is the smallest class of the group. Components come from alternating large-star and
     small-star steps on written tables until nothing changes; a hub with many links is reduced by
-    aggregation, never gathered. ``links`` counts the classes linked to the record's class.
+    aggregation, never gathered. ``links`` counts the classes linked to the record's class. The rounds
+    grow with the logarithm of the longest chain; if ``rounds`` don't do, an error is raised rather than half a grouping returned.
     """
     edges = materialize(links.select(F.greatest("class_a", "class_b").alias("u"), F.least("class_a", "class_b").alias("v")), "groups-edges")
     degree = links.select(F.explode(F.array("class_a", "class_b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("links"))
@@ -251,6 +327,8 @@ def groups(members: DataFrame, links: DataFrame, key: str = "sample_id", rounds:
         edges = after
         if same:
             break
+    else:
+        raise RuntimeError(f"the groups haven't come to rest in {rounds} rounds")
     roots = edges.groupBy("u").agg(F.min("v").alias("group_id")).withColumnRenamed("u", "class_id")
     out = members.join(roots, "class_id", "left").join(degree, "class_id", "left")
     return out.select(key, "class_id", F.coalesce("group_id", "class_id").alias("group_id"), F.coalesce("links", F.lit(0)).alias("links"))

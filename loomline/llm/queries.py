@@ -101,15 +101,14 @@ def oracle_sql() -> dict[str, str]:
         "p2_frequencies": f"""WITH {_CALLS}, grams AS ({_P2_GRAMS}), flat AS (SELECT sample_id, n_terms, unnest(grams) AS tool_names FROM grams),
             freq AS (SELECT tool_names, n_terms::INT AS n_terms, count(*) AS occurrences, count(DISTINCT sample_id) AS samples FROM flat GROUP BY 1, 2)
             SELECT f.*, CASE WHEN samples < 5 THEN 'rare' WHEN samples > 0.1 * n THEN 'common' ELSE 'kept' END AS verdict FROM freq f, total""",
-        "p5_found": """WITH one AS (SELECT sample_id, list_distinct(regexp_extract_all(lower(concat_ws(chr(10), instruction, output)), '[\\p{L}\\p{N}]+')) AS w
+        # All pairs of the definition. Of truly equal texts only those with the smallest sample are given: the copies needn't be paired with each other.
+        "p5_found": """WITH one AS (SELECT sample_id, concat_ws(chr(10), instruction, output) AS raw
                 FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ingested_at DESC) AS k FROM syncfusion_tool_calling_dataset) WHERE k = 1),
-            member AS (SELECT sample_id, list_sort(w) AS w, min(sample_id) OVER (PARTITION BY list_sort(w)) AS class_id FROM one WHERE len(w) > 0),
-            word AS (SELECT sample_id, len(w) AS n, unnest(w) AS word FROM member WHERE sample_id = class_id),
-            linked AS (SELECT a.sample_id AS x, b.sample_id AS y FROM word a JOIN word b ON a.word = b.word AND a.sample_id < b.sample_id AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n
-                GROUP BY a.sample_id, b.sample_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9),
-            ends AS (SELECT x, y FROM linked UNION ALL SELECT y, x FROM linked),
-            every AS (SELECT class_id AS x, sample_id AS y FROM member WHERE class_id <> sample_id UNION ALL SELECT m.sample_id, e.y FROM ends e JOIN member m ON m.class_id = e.x)
-            SELECT DISTINCT least(x, y) AS sample_id_a, greatest(x, y) AS sample_id_b FROM every""",
+            bag AS (SELECT sample_id, raw, min(sample_id) OVER (PARTITION BY raw) AS first, list_distinct(regexp_extract_all(lower(raw), '[\\p{L}\\p{N}]+')) AS w FROM one),
+            word AS (SELECT sample_id, raw, first, len(w) AS n, unnest(w) AS word FROM bag)
+            SELECT a.sample_id AS sample_id_a, b.sample_id AS sample_id_b FROM word a JOIN word b ON a.word = b.word AND a.sample_id < b.sample_id AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n
+            WHERE a.raw <> b.raw OR a.sample_id = a.first
+            GROUP BY a.sample_id, b.sample_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9""",
         "p6_found": """WITH one AS (SELECT sample_id, regexp_extract_all(lower(output), '\\p{L}+') AS w
                 FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ingested_at DESC) AS k FROM syncfusion_tool_calling_dataset) WHERE k = 1 AND output IS NOT NULL),
             run AS (SELECT sample_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT sample_id, w, unnest(range(1, len(w) - 3)) AS i FROM one WHERE len(w) >= 5)),

@@ -32,6 +32,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from loomline.llm.bitmap import among, bitmap
 from loomline.llm.shingles import LETTERS_DIGITS, WordHasher, chunks, mix
 from loomline.operators.deliveries import latest
 from loomline.plans.scratch import materialize
@@ -45,8 +46,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 12, 4
 #: Words before the last one that must be equal in both texts.
 SEAM = 3
-#: Bits of the map of wanted contexts and seams: 2 MB, however large the corpus.
-BITS = 2**24
+#: Bits of the map of wanted bands: 8 MB, however large the corpus.
+BAND_BITS = 2**26
 #: A closing context seen less often than this says too little; a shorter one is asked.
 LEAST_SEEN = 5
 #: A context that ends a sentence in a smaller share of its places is no end.
@@ -327,24 +328,9 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
     return run
 
 
-def _bitmap(keys: DataFrame) -> np.ndarray:
-    """Where the column ``key`` falls: at most BITS / 64 rows reach the driver."""
-    at = F.col("key").bitwiseAND(F.lit(BITS - 1))
-    bits = keys.select(F.shiftright(at, 6).alias("word"), at.bitwiseAND(F.lit(63)).cast("int").alias("bit")).distinct()
-    got = bits.groupBy("word").agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("bit"))).alias("bits")).toArrow()
-    out = np.zeros(BITS // 64, np.int64)
-    out[got["word"].to_numpy()] = got["bits"].to_numpy()
-    return out.view(np.uint64)
-
-
 def _wanted(scan: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """The bitmaps of all contexts and seams asked for, and of all bands."""
-    return _bitmap(scan.select(F.explode(F.concat("closing", "seam")).alias("key"))), _bitmap(scan.select(F.explode("bands").alias("key")))
-
-
-def _among(keys: np.ndarray, wanted: np.ndarray) -> np.ndarray:
-    at = keys & np.uint64(BITS - 1)
-    return (wanted[(at >> np.uint64(6)).astype(np.int64)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+    return bitmap(scan.select(F.explode(F.concat("closing", "seam")).alias("key"))), bitmap(scan.select(F.explode("bands").alias("key")), BAND_BITS)
 
 
 def _places(at: np.ndarray, kind: np.ndarray, doc: np.ndarray, lexicon: _Lexicon, ids: np.ndarray, wanted: np.ndarray, banded: np.ndarray) -> pd.DataFrame:
@@ -355,14 +341,14 @@ def _places(at: np.ndarray, kind: np.ndarray, doc: np.ndarray, lexicon: _Lexicon
     begin = np.searchsorted(owner, owner)  # of each word: the first word of its text
     seams = _grams(h, SEAM)[:-1] if len(h) > SEAM else np.zeros(0, np.uint64)
     grams = _grams(h, SHINGLE)
-    place = np.nonzero((owner[SEAM:] == owner[: len(seams)]) & (np.arange(len(seams)) + SEAM - begin[: len(seams)] >= SHINGLE) & _among(seams, wanted))[0]
-    place = place[_among(_tied(seams[place], [lexicon.low[n] for n in at[token[place + SEAM]]]), wanted)]
+    place = np.nonzero((owner[SEAM:] == owner[: len(seams)]) & (np.arange(len(seams)) + SEAM - begin[: len(seams)] >= SHINGLE) & among(seams, wanted))[0]
+    place = place[among(_tied(seams[place], [lexicon.low[n] for n in at[token[place + SEAM]]]), wanted)]
     key, partner, after, ends = [], [], [], []
     cuts = np.concatenate([[0], np.nonzero(np.diff(owner[place]))[0] + 1, [len(place)]]) if len(place) else np.zeros(1, np.int64)
     for x, y in zip(cuts[:-1], cuts[1:], strict=True):
         first, nexts = begin[place[x]], place[x:y] + SEAM
         keys = _stretch_bands(grams[first : nexts[-1] - SHINGLE + 1], nexts - first - SHINGLE + 1, seams[place[x:y]])
-        asked = _among(keys, banded)
+        asked = among(keys, banded)
         for k in np.nonzero(asked.any(axis=1))[0]:
             t = int(token[nexts[k]])
             rest = t + 1
@@ -392,7 +378,7 @@ def _pass(wanted: np.ndarray, banded: np.ndarray):  # type: ignore[no-untyped-de
             return out.astype({"n": "int64", "n_ends": "int64"})
 
         def add(keys: np.ndarray, places: np.ndarray | None, ends: np.ndarray) -> None:
-            asked = _among(keys, wanted)
+            asked = among(keys, wanted)
             for key, p, e in zip(*(x.astype(np.int64).tolist() for x in _tally(_signed(keys[asked]), None if places is None else places[asked], ends[asked])), strict=True):
                 got = total.get(key)
                 if got is None:

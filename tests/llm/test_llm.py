@@ -236,6 +236,13 @@ def test_defects(prompt, response, want):
     assert pairs.defect(prompt, response) == want
 
 
+def test_refusals_are_aligned_by_token():
+    for response in ("I'm sory, but I cant help with the grid.", "I am really not able to answer that.", "Lo siento, no puedo respondr a eso."):
+        assert pairs.defect("How do I sort the grid by two columns?", response) == "refusal", response
+    for response in ("I am able to provide the list of columns.", "I can help with that: call Sort.", "I'm sure you can sort by two columns.", "I want to be able to sort it."):
+        assert pairs.refusal_score(response) == 0, response
+
+
 @pytest.mark.parametrize(
     "response",
     [
@@ -304,6 +311,28 @@ def test_pairs_of_equal_words_in_different_texts(spark):
     assert len(got) == len(set(got)) and set(got) == brute_pairs(copies) - {(9, 10)}
 
 
+def test_hot_pairs_of_words_get_a_third(spark):
+    """With keys that turn hot at three records, single words, pairs and triples are all used, and none is lost."""
+    rng = random.Random(11)
+    common = [f"c{i}" for i in range(40)]
+    rows = {}
+    for k in range(60):
+        words = rng.sample(common, 24) + [f"r{k}"]
+        for v in range(3):
+            rows[len(rows)] = " ".join([*words[: len(words) - v], *[f"x{v}" for _ in range(v > 0)]])
+    members, links = neardup.near_duplicates(frame(spark, *[(i, t, None) for i, t in rows.items()]), alone=3)
+    got = {tuple(r) for r in neardup.duplicate_pairs(members, links).collect()}
+    assert got == brute_pairs(rows) and len(got) > 100
+
+
+def test_unfinished_groups_are_an_error(spark):
+    members = spark.createDataFrame([(i, i) for i in range(60)], "sample_id bigint, class_id bigint")
+    links = spark.createDataFrame([(i, i + 1) for i in range(59)], "class_a bigint, class_b bigint")
+    with pytest.raises(RuntimeError):
+        neardup.groups(members, links, rounds=1)
+    assert {r["group_id"] for r in neardup.groups(members, links).collect()} == {0}
+
+
 def test_pruning_keeps_what_may_reach_the_threshold():
     rng = np.random.default_rng(1)
     for bits in (64, 128):

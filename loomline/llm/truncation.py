@@ -276,12 +276,24 @@ _ODD = mix(_SALT) | np.uint64(1)
 _BAND = mix(np.arange(BANDS, dtype=np.uint64))
 
 
-def _stretch_bands(grams: np.ndarray, ends: np.ndarray, seams: np.ndarray) -> np.ndarray:
-    """Of each place: the band keys of the first ``ends`` shingles, tied to the seam. ``ends`` is at least 1 and ascends."""
-    begins = np.concatenate([[0], ends[:-1]])
-    rows = (grams[: ends[-1], None] ^ _SALT[None, :]) * _ODD[None, :]
-    low = np.minimum.accumulate(np.minimum.reduceat(rows, begins, axis=0), axis=0).reshape(len(ends), BANDS, ROWS)
-    key = np.broadcast_to(seams[:, None], (len(ends), BANDS)).copy()
+def _stretch_bands(grams: np.ndarray, begins: np.ndarray, ends: np.ndarray, seams: np.ndarray) -> np.ndarray:
+    """Of each stretch ``grams[begin:end]``: its band keys, tied to its seam. Stretches of one text have one begin and ascending ends."""
+    n = len(ends)
+    fresh = np.ones(n, bool)
+    fresh[1:] = begins[1:] != begins[:-1]
+    spans = np.stack([np.where(fresh, begins, np.concatenate([[0], ends[:-1]])), ends], axis=1).ravel()
+    padded = np.append(grams, np.uint64(0))
+    low = np.empty((n, BANDS * ROWS), np.uint64)
+    for k in range(BANDS * ROWS):
+        low[:, k] = np.minimum.reduceat((padded ^ _SALT[k]) * _ODD[k], spans)[::2]
+    # The least up to each stretch of a text: running minima by doubled steps.
+    turn = np.arange(n) - np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
+    step = 1
+    while len(at := np.nonzero(turn >= step)[0]):
+        low[at] = np.minimum(low[at], low[at - step])
+        step *= 2
+    low = low.reshape(n, BANDS, ROWS)
+    key = np.broadcast_to(seams[:, None], (n, BANDS)).copy()
     for k in range(ROWS):
         key = mix(key ^ low[:, :, k])
     return mix(key ^ _BAND[None, :])
@@ -312,13 +324,21 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
             words = [LETTERS_DIGITS.findall(t.lower()) if t and label else [] for t in texts]
             closing = [[int(np.uint64(k).view(np.int64)) for k in closing_keys(t)] if s == OPEN else [] for t, s in zip(texts, status, strict=True)]
             seam, last, keys = [[] for _ in texts], [None] * len(texts), [[] for _ in texts]
+            asking, grams, ties = [], [], []
             for i, text in enumerate(texts):
                 own = _prose_words(text) if status[i] != WHOLE else []
                 if len(own) > SHINGLE:
                     h = hasher(own[:-1])
                     tie = _grams(h[-SEAM:], SEAM)
                     seam[i], last[i] = _signed(np.concatenate([tie, _tied(tie, own[-1:])])).tolist(), own[-1]
-                    keys[i] = _signed(_stretch_bands(_grams(h, SHINGLE), np.array([len(h) - SHINGLE + 1]), tie)[0]).tolist()
+                    asking.append(i)
+                    grams.append(_grams(h, SHINGLE))
+                    ties.append(tie)
+            if asking:
+                ends = np.cumsum([len(g) for g in grams])
+                banded = _stretch_bands(np.concatenate(grams), ends - [len(g) for g in grams], ends, np.concatenate(ties))
+                for i, own in zip(asking, _signed(banded).tolist(), strict=True):
+                    keys[i] = own
             said = [label(*x) for x in zip(asked, texts, words, strict=True)] if label else [None] * len(pdf)
             yield pd.DataFrame({
                 "row": pdf["row"], "text": pdf["text"], "status": np.array(status, np.int32), "closing": closing,
@@ -344,23 +364,20 @@ def _places(at: np.ndarray, kind: np.ndarray, doc: np.ndarray, lexicon: _Lexicon
     place = np.nonzero((owner[SEAM:] == owner[: len(seams)]) & (np.arange(len(seams)) + SEAM - begin[: len(seams)] >= SHINGLE) & among(seams, wanted))[0]
     place = place[among(_tied(seams[place], [lexicon.low[n] for n in at[token[place + SEAM]]]), wanted)]
     key, partner, after, ends = [], [], [], []
-    cuts = np.concatenate([[0], np.nonzero(np.diff(owner[place]))[0] + 1, [len(place)]]) if len(place) else np.zeros(1, np.int64)
-    for x, y in zip(cuts[:-1], cuts[1:], strict=True):
-        first, nexts = begin[place[x]], place[x:y] + SEAM
-        keys = _stretch_bands(grams[first : nexts[-1] - SHINGLE + 1], nexts - first - SHINGLE + 1, seams[place[x:y]])
-        asked = among(keys, banded)
-        for k in np.nonzero(asked.any(axis=1))[0]:
-            t = int(token[nexts[k]])
-            rest = t + 1
-            while lexicon.low[at[rest]] in CLOSERS and at[rest]:
-                rest += 1
-            if not at[rest]:
-                continue  # this text ends at the same place: it says nothing
-            mine = keys[k][asked[k]]
-            key.append(mine)
-            partner += [ids[owner[place[x]]]] * len(mine)
-            after += [lexicon.low[at[t]]] * len(mine)
-            ends += [kind[rest] == 2] * len(mine)
+    keys = _stretch_bands(grams, begin[place], place + SEAM - SHINGLE + 1, seams[place]) if len(place) else np.zeros((0, BANDS), np.uint64)
+    asked = among(keys, banded)
+    for k in np.nonzero(asked.any(axis=1))[0]:
+        t = int(token[place[k] + SEAM])
+        rest = t + 1
+        while lexicon.low[at[rest]] in CLOSERS and at[rest]:
+            rest += 1
+        if not at[rest]:
+            continue  # this text ends at the same place: it says nothing
+        mine = keys[k][asked[k]]
+        key.append(mine)
+        partner += [ids[owner[place[k]]]] * len(mine)
+        after += [lexicon.low[at[t]]] * len(mine)
+        ends += [kind[rest] == 2] * len(mine)
     flat = np.concatenate(key) if key else np.zeros(0, np.uint64)
     return pd.DataFrame({"key": _signed(flat), "partner": np.array(partner, np.int64), "next": pd.Series(after, dtype="object"), "ends": np.array(ends, bool)})
 
@@ -404,11 +421,10 @@ def _pass(wanted: np.ndarray, banded: np.ndarray):  # type: ignore[no-untyped-de
             used[np.array(last)] = False  # an open end is no evidence
             end = np.zeros(len(at), bool)
             end[:-1] = used[:-1] & (kind[1:] == 2)
+            c = np.zeros(len(h), np.uint64)
             for k in (1, 2, 3):
                 m = len(h) - k + 1
-                c = np.zeros(m, np.uint64)
-                for j in range(k):
-                    c = mix(c ^ h[j : j + m])
+                c = mix(c[:m] ^ h[k - 1 :])
                 add(c[used[k - 1 :]], None, end[k - 1 :][used[k - 1 :]])
             lexicon.saw(at[used])
             if len(lexicon.hash) > lexicon.room:

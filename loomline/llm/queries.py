@@ -44,11 +44,11 @@ def p5_groups(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p6_found(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.repetition(samples(spark, d), gate=repetition.GATE).where("repetitive").select("sample_id")
+    return repetition.repetition(samples(spark, d), shares=False).where("repetitive").select("sample_id")
 
 
 def p6_shares(spark: SparkSession, d: str) -> DataFrame:
-    return repetition.repetition(samples(spark, d))
+    return repetition.repetition(samples(spark, d)).select("sample_id", F.round("repeated_share", 6).alias("repeated_share"))
 
 
 def p7_packing(spark: SparkSession, d: str) -> DataFrame:
@@ -93,6 +93,13 @@ _P2_GRAMS = " UNION ALL ".join(
 )
 
 
+_SHARES = """one AS (SELECT sample_id, coalesce(regexp_extract_all(lower(output), '\\p{L}+'), []) AS w
+        FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ingested_at DESC) AS k FROM syncfusion_tool_calling_dataset) WHERE k = 1),
+    run AS (SELECT sample_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT sample_id, w, unnest(range(1, len(w) - 3)) AS i FROM one WHERE len(w) >= 5)),
+    again AS (SELECT sample_id, i FROM (SELECT sample_id, i, row_number() OVER (PARTITION BY sample_id, g ORDER BY i) AS k FROM run) WHERE k > 1),
+    covered AS (SELECT sample_id, count(DISTINCT i + d) AS n FROM again, range(0, 5) AS r(d) GROUP BY sample_id)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "p2_found": f"""WITH {_CALLS}, used AS (SELECT DISTINCT sample_id, unnest(names) AS tool_name FROM once),
@@ -109,10 +116,6 @@ def oracle_sql() -> dict[str, str]:
             SELECT a.sample_id AS sample_id_a, b.sample_id AS sample_id_b FROM word a JOIN word b ON a.word = b.word AND a.sample_id < b.sample_id AND a.n >= 0.8 * b.n AND b.n >= 0.8 * a.n
             WHERE a.raw <> b.raw OR a.sample_id = a.first
             GROUP BY a.sample_id, b.sample_id, a.n, b.n HAVING count(*) >= 0.8 * (a.n + b.n - count(*)) - 1e-9""",
-        "p6_found": """WITH one AS (SELECT sample_id, regexp_extract_all(lower(output), '\\p{L}+') AS w
-                FROM (SELECT *, row_number() OVER (PARTITION BY sample_id ORDER BY ingested_at DESC) AS k FROM syncfusion_tool_calling_dataset) WHERE k = 1 AND output IS NOT NULL),
-            run AS (SELECT sample_id, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT sample_id, w, unnest(range(1, len(w) - 3)) AS i FROM one WHERE len(w) >= 5)),
-            again AS (SELECT sample_id, i FROM (SELECT sample_id, i, row_number() OVER (PARTITION BY sample_id, g ORDER BY i) AS k FROM run) WHERE k > 1),
-            covered AS (SELECT sample_id, count(DISTINCT i + d) AS n FROM again, range(0, 5) AS r(d) GROUP BY sample_id)
-            SELECT c.sample_id FROM covered c JOIN one o USING (sample_id) WHERE n >= 0.3 * len(w)""",
+        "p6_found": f"""WITH {_SHARES} SELECT c.sample_id FROM covered c JOIN one o USING (sample_id) WHERE n >= 0.3 * len(w)""",
+        "p6_shares": f"""WITH {_SHARES} SELECT o.sample_id, round(coalesce(n / len(w), 0.0), 6) AS repeated_share FROM one o LEFT JOIN covered USING (sample_id)""",
     }

@@ -2,11 +2,12 @@
 
 A logistic regression on hashed word and character n-grams is trained on a bounded sample of
 labelled rows (``TRAIN_ROWS``), its probabilities are calibrated on rows it hasn't seen, and all
-documents are scored in Arrow batches against fixed thresholds. The label is the exact share of
-repeated words. The features are, for each n-gram length, how much of a document falls into hash
-buckets that it has hit before (log-scaled), and a hashed bag of character n-grams.
+documents are scored in Arrow batches against fixed thresholds. The features are a hashed bag of word n-grams,
+one of character n-grams, and for some lengths the share of a document's n-grams that fall into hash
+buckets it has hit before. The label is whether the exact share of repeated words reaches ``REPETITIVE``.
 
-The scorer decides which documents are looked at closer; the exact share then settles the verdict.
+The probability is the verdict where it is at least ``SURE``; where it is below ``UNLIKELY`` and the number of distinct
+words proves the same, the document isn't repetitive. In between, and where the proof is wanting, the exact share decides.
 """
 
 from __future__ import annotations
@@ -27,10 +28,10 @@ TRAIN_ROWS = 4000
 RUN = 5
 #: A document is repetitive from this share of repeated words on.
 REPETITIVE = 0.3
-#: Documents with less than this calibrated probability aren't looked at closer.
-GATE = 0.001
-WORD_GRAMS = (1, 2, 3, 5, 8)
-CHAR_GRAM, BAG = 5, 512
+#: Fixed thresholds on the calibrated probability.
+UNLIKELY, SURE = 0.01, 0.95
+WORD_GRAMS = (1, 2, 3)
+BAG_WORD_GRAM, BAG_CHAR_GRAM, BAG = 2, 5, 256
 SLOTS = np.uint64(2**24 - 1)
 
 
@@ -64,26 +65,30 @@ def features(texts: list[str | None], hasher: WordHasher) -> tuple[np.ndarray, B
         share = np.bincount(doc, weights=again, minlength=b.n) / np.maximum(np.bincount(doc, minlength=b.n), 1)
         cols += [share, np.log1p(50 * share), (share > 0.2).astype(float)]
     dense = np.stack([*cols, np.log1p(b.size) / 8], axis=1)
-    return np.concatenate([dense, _char_bag(texts)], axis=1), b
+    h, doc, _ = b.grams(BAG_WORD_GRAM)
+    return np.concatenate([dense, _bag(h, doc, b.n), _bag(*_char_grams(texts, BAG_CHAR_GRAM), b.n)], axis=1), b
 
 
-def _char_bag(texts: list[str | None]) -> np.ndarray:
-    """Hashed bag of character n-grams, each text's counts scaled to length one."""
-    sizes = np.array([len(t) if t else 0 for t in texts], np.int64)
-    bag = np.zeros((len(texts), BAG))
-    codes = np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint32)
-    m = len(codes) - CHAR_GRAM + 1
+def _char_grams(texts: list[str | None], n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hash and text of each run of ``n`` characters."""
+    codes = np.frombuffer("".join(t for t in texts if t).encode("utf-32-le", "surrogatepass"), np.uint32)
+    doc = np.repeat(np.arange(len(texts)), [len(t) if t else 0 for t in texts])
+    m = len(codes) - n + 1
     if m <= 0:
-        return bag
-    doc = np.repeat(np.arange(len(texts), dtype=np.int32), sizes)
+        return np.zeros(0, np.uint64), np.zeros(0, np.int64)
     h = np.zeros(m, np.uint32)
-    for k in range(CHAR_GRAM):
+    for k in range(n):
         h = (h * np.uint32(0x01000193)) ^ codes[k : k + m]
     h ^= h >> np.uint32(15)
-    whole = doc[:m] == doc[CHAR_GRAM - 1 :]
-    flat = doc[:m][whole].astype(np.int64) * BAG + (h[whole] % np.uint32(BAG)).astype(np.int64)
-    bag = np.bincount(flat, minlength=bag.size).reshape(bag.shape).astype(float)
-    return np.log1p(bag) / np.maximum(np.linalg.norm(np.log1p(bag), axis=1, keepdims=True), 1)
+    whole = doc[:m] == doc[n - 1 :]
+    return h[whole].astype(np.uint64), doc[:m][whole]
+
+
+def _bag(h: np.ndarray, doc: np.ndarray, n: int) -> np.ndarray:
+    """Hashed bag of n-grams, each text's logarithms of counts scaled to length one."""
+    bag = np.bincount(doc * BAG + (h % np.uint64(BAG)).astype(np.int64), minlength=n * BAG).reshape(n, BAG)
+    bag = np.log1p(bag.astype(np.float32))
+    return bag / np.maximum(np.linalg.norm(bag, axis=1, keepdims=True), 1)
 
 
 class Scorer:
@@ -112,7 +117,7 @@ class Scorer:
         if not (0 < y[train].sum() < train.sum() and 0 < y[held].sum() < held.sum()):
             return self
         one = np.concatenate([x, np.ones((len(x), 1))], axis=1)
-        penalty = np.concatenate([np.full(x.shape[1] - BAG, 0.05), np.full(BAG, 5.0), [0.0]])
+        penalty = np.concatenate([np.full(x.shape[1] - 2 * BAG, 0.05), np.full(2 * BAG, 5.0), [0.0]])
         self.w = self._newton(one[train], y[train].astype(float), penalty)
         s = np.stack([one[held] @ self.w, np.ones(held.sum())], axis=1)
         pos, neg = y[held].sum(), (~y[held]).sum()
@@ -122,7 +127,7 @@ class Scorer:
 
     def probability(self, x: np.ndarray) -> np.ndarray:
         if self.w is None:
-            return np.ones(len(x))
+            return np.full(len(x), 0.5)
         s = x @ self.w[:-1] + self.w[-1]
         return 1 / (1 + np.exp(-np.clip(self.slope * s + self.offset, -30, 30)))
 
@@ -130,12 +135,12 @@ class Scorer:
 def _label(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     hasher = WordHasher()
     for pdf in chunks(batches, "body"):
-        b = Batch(pdf["body"].tolist(), LETTERS, hasher)
-        yield pd.DataFrame({"body": pdf["body"], "share": repeated_share(b)})
+        x, b = features(pdf["body"].tolist(), hasher)
+        yield pd.DataFrame({"x": list(x.astype(np.float32)), "share": repeated_share(b)})
 
 
 def train(df: DataFrame, text: str, rows: int = TRAIN_ROWS) -> Scorer:
-    """Fit on at most ``rows`` rows of ``df``, those whose texts have the smallest hashes.
+    """Fit on at most ``rows`` rows of ``df``, those whose texts have the smallest hashes; their features, not their texts, reach the driver.
 
     Texts above a hash that about ``rows`` texts stay below (with some to spare) are left out by the scan, so that no
     task has to sort the starts of all partitions.
@@ -144,18 +149,28 @@ def train(df: DataFrame, text: str, rows: int = TRAIN_ROWS) -> Scorer:
     cut = int(-(2**63) + share * (2**64 - 1))
     own = df.select(F.col(text).alias("body")).where(F.length("body") > 0).withColumn("h", F.xxhash64("body"))
     picked = own.where(F.col("h") <= F.lit(min(cut, 2**63 - 1))).orderBy("h", "body").limit(rows).select("body")
-    got = picked.mapInPandas(_label, "body string, share double").toArrow()
+    got = picked.repartition(df.sparkSession.sparkContext.defaultParallelism).mapInPandas(_label, "x array<float>, share double").toArrow()
     if not len(got):
         return Scorer()
-    x, _ = features(got["body"].to_pylist(), WordHasher())
-    return Scorer().fit(x, got["share"].to_numpy() >= REPETITIVE)
+    x = got["x"].combine_chunks().flatten().to_numpy().reshape(len(got), -1).astype(float)
+    order = np.lexsort(x.T[:8])  # the same whatever the partitions
+    return Scorer().fit(x[order], got["share"].to_numpy()[order] >= REPETITIVE)
+
+
+def proven(b: Batch) -> np.ndarray:
+    """Which texts can't be repetitive: every repeated word stood earlier, so at most the share of words that aren't new is repeated."""
+    key = mix(b.hash ^ mix(b.doc.astype(np.uint64)))
+    new = np.zeros(len(key), bool)
+    new[np.unique(key, return_index=True)[1]] = True
+    distinct = np.bincount(b.doc, weights=new, minlength=b.n)
+    return b.size - distinct < REPETITIVE * b.size
 
 
-def repetition(df: DataFrame, key: str = "sample_id", text: str = "output", order: str = "ingested_at", scorer: Scorer | None = None, gate: float | None = None) -> DataFrame:
-    """``key, probability, repeated_share, repetitive`` for each record.
+def repetition(df: DataFrame, key: str = "sample_id", text: str = "output", order: str = "ingested_at", scorer: Scorer | None = None, shares: bool = True) -> DataFrame:
+    """``key, probability, evidence, repeated_share, repetitive`` for each record.
 
-    With ``gate`` the exact share is taken only of documents with at least that probability, others
-    aren't returned. Null and empty texts have share 0. Texts are read whole. Redelivered records count
+    ``evidence`` says what the verdict rests on: ``probability`` or ``share``. With ``shares`` the exact share of every document comes out,
+    else it is null where it wasn't asked. Null and empty texts have share 0. Texts are read whole. Redelivered records count
     once; an empty table gives no rows; further columns are ignored.
     """
     model = scorer or train(df, text)
@@ -165,16 +180,18 @@ def repetition(df: DataFrame, key: str = "sample_id", text: str = "output", orde
         for pdf in chunks(batches, "body"):
             x, b = features(pdf["body"].tolist(), hasher)
             p = model.probability(x)
-            share = np.full(len(pdf), 0.0)
-            close = np.nonzero(p >= (gate or 0.0))[0]
-            if len(close) == len(pdf):
+            sure = p >= SURE
+            by_score = sure | ((p < UNLIKELY) & proven(b)) | (b.size == 0)
+            share = np.where(b.size == 0, 0.0, np.nan)
+            ask = np.nonzero(np.ones(len(pdf), bool) if shares else ~by_score)[0]
+            if len(ask) == len(pdf):
                 share = repeated_share(b)
-            elif len(close):
-                share[close] = repeated_share(Batch([pdf["body"].iloc[i] for i in close], LETTERS, hasher))
-            out = pd.DataFrame({"id": pdf["id"], "seen": pdf["seen"], "probability": p, "repeated_share": share})
-            yield out.iloc[close] if gate else out
+            elif len(ask):
+                share[ask] = repeated_share(Batch([pdf["body"].iloc[i] for i in ask], LETTERS, hasher))
+            verdict = np.where(by_score, sure & (b.size > 0), share >= REPETITIVE)
+            yield pd.DataFrame({"id": pdf["id"], "seen": pdf["seen"], "probability": p, "evidence": np.where(by_score, "probability", "share"), "repeated_share": pd.Series(share).astype("Float64").where(~np.isnan(share), None), "repetitive": verdict.astype(bool)})
 
     kinds = dict(df.dtypes)
     own = df.select(F.col(key).alias("id"), F.col(order).alias("seen"), F.col(text).alias("body"))
-    scored = latest(own.mapInPandas(score, f"id {kinds[key]}, seen {kinds[order]}, probability double, repeated_share double"), "id", "seen")
-    return scored.select(F.col("id").alias(key), "probability", "repeated_share", (F.col("repeated_share") >= REPETITIVE).alias("repetitive"))
+    scored = latest(own.mapInPandas(score, f"id {kinds[key]}, seen {kinds[order]}, probability double, evidence string, repeated_share double, repetitive boolean"), "id", "seen")
+    return scored.select(F.col("id").alias(key), "probability", "evidence", "repeated_share", "repetitive")

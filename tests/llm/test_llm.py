@@ -75,7 +75,7 @@ def operators(spark):
         "truncation": lambda d: truncation.truncation(d), "cut rates": lambda d: truncation.truncation_by_source(truncation.truncation(d)),
         "terms": lambda d: terms.tool_frequencies(d), "pairs": lambda d: pairs.broken_pairs(d),
         "neardup": lambda d: neardup.duplicate_pairs(*neardup.near_duplicates(d)), "groups": lambda d: neardup.groups(*neardup.near_duplicates(d)),
-        "repetition": lambda d: repetition.repetition(d), "gated repetition": lambda d: repetition.repetition(d, gate=repetition.GATE),
+        "repetition": lambda d: repetition.repetition(d), "repetition without shares": lambda d: repetition.repetition(d, shares=False),
     }, {
         "packing": lambda d: packing.pack(d, capacities), "packing report": lambda d: packing.packing_report(packing.pack(d, capacities), capacities),
         "mixing": lambda d: mixing.mix(d, targets), "mix report": lambda d: mixing.mix_report(mixing.mix(d, targets), targets),
@@ -372,8 +372,20 @@ def test_scorer_on_held_out_rows(spark):
     truth = held["repetitive"].to_numpy()
     assert truth.sum() == 120 and ((held["probability"] > 0.5).to_numpy() == truth).mean() > 0.98
     assert abs(held["probability"].mean() - truth.mean()) < 0.05
-    gated = repetition.repetition(df.where("sample_id >= 600"), scorer=scorer, gate=repetition.GATE).where("repetitive").count()
-    assert gated == 120
+    found = repetition.repetition(df.where("sample_id >= 600"), scorer=scorer, shares=False).cache()
+    assert found.where("repetitive").count() == 120 and found.count() == 600
+    assert found.where("repetitive and evidence = 'probability'").count() > 60 and found.where("evidence = 'probability' and repeated_share is not null").count() == 0
+    # Without a scorer that knows anything, the exact share decides every row.
+    blind = repetition.repetition(df.where("sample_id >= 600"), scorer=repetition.Scorer(), shares=False)
+    assert blind.where("repetitive").count() == 120 and blind.where("evidence <> 'share'").count() == 0
+
+
+def test_proof_never_contradicts_the_share():
+    rng = random.Random(3)
+    given = [" ".join(rng.choices([f"{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(rng.choice([3, 20, 60, 300]))], k=rng.randrange(0, 80))) for _ in range(400)]
+    b = shingles.Batch(given, shingles.LETTERS, shingles.WordHasher())
+    assert not (repetition.proven(b) & (repetition.repeated_share(b) >= repetition.REPETITIVE)).any()
+    assert repetition.proven(b).any()
 
 
 # 7

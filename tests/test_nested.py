@@ -6,7 +6,7 @@ import pytest
 
 from pyspark.sql import functions as F
 
-from loomline.operators.nested import argument_table, call_table, leaf_paths, nesting, parameter_table
+from loomline.operators.nested import BRACKETS, _is_deep, argument_table, call_table, leaf_paths, parameter_table
 
 SCHEMA = (
     "sample_id bigint, tool_calls array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>, tools array<string>, ingested_at timestamp,"
@@ -58,10 +58,11 @@ def test_repeated_keys_count_once(spark):
     assert leaves(frame(spark, (1, [call('{"a": 1, "a": {"b": 2}}')], None))) == {(1, "tool_calls", 0, "a.b")}
 
 
-def test_nesting(spark):
-    deep = "[" * 25 + "]" * 25
-    df = spark.createDataFrame([("1",), ('{"a": "}}{{[\\\\\\"["}',), ('{"a": [{}, [[]]], "b": {}}',), (deep,), ('{"a": ' + deep + "}",), (None,), ("[][[]]{}",)], "j string")
-    assert [r[0] for r in df.select(nesting(F.col("j"))).collect()] == [0, 1, 4, 25, 26, 0, 2]
+def test_depth_is_told_by_the_text(spark):
+    at, over = "[" * BRACKETS + "]" * BRACKETS, "[" * (BRACKETS + 1) + "]" * (BRACKETS + 1)
+    many = "[" + ", ".join(['{"a": "}}{{[\\\\\\"["}'] * 40) + "]"
+    df = spark.createDataFrame([("1",), (many,), (at,), (over,), ('{"a": [' + at + ", 1]}",), ("[][[]]{}" * 10,), (f'"{over}"' + "[]" * 20,)], "j string")
+    assert [r[0] for r in df.select(_is_deep(F.col("j"))).collect()] == [False, False, False, True, True, False, False]
 
 
 def test_redelivered_samples_count_once_and_null_keys_are_left_out(spark):
@@ -87,3 +88,42 @@ def test_every_node_has_its_parent(spark):
 def test_very_long_arguments(spark):
     big = json.dumps({"a": ["x" * 1000] * 2000})
     assert leaf_paths(frame(spark, (1, [call(big)], None))).count() == 2000
+
+
+def test_arrays_of_arrays_and_combined_schemas(spark):
+    z = {"type": "object", "properties": {"z": {"type": "string"}}}
+    deep = {"properties": {"a3": {"type": "array", "items": {"type": "array", "items": {"type": "array", "items": z}}}, "a5": {"items": {"items": {"items": {"items": {"items": z}}}}}}}
+    some = {"properties": {"any": {"anyOf": [{"type": "string"}, z, {"type": "array", "items": z}]}, "all": {"allOf": [{"oneOf": [z]}]}, "map": {"additionalProperties": z}, "ref": {"$ref": "#/$defs/z"}, "loop": {"$ref": "#/$defs/loop"}}, "$defs": {"z": z, "loop": {"properties": {"next": {"$ref": "#/$defs/loop"}}}}}
+    tools = [json.dumps({"parameters": deep}), json.dumps({"parameters": some}), json.dumps({"name": "n", "schema": z}), json.dumps({"toolSpec": {"inputSchema": {"json": z}}})]
+    got = leaves(frame(spark, (1, None, tools), (2, None, [json.dumps({"parameters": z})])))
+    want = {(0, "a3"), (0, "a3.z"), (0, "a5"), (0, "a5.z"), (2, "z"), (3, "z"), *((1, p) for p in ("any", "any.z", "all", "all.z", "map", "map.z", "ref", "ref.z", "loop", "loop.next"))}
+    assert got == {(1, "tools", *w) for w in want} | {(2, "tools", 0, "z")}
+    assert {(r["pos"], r["path"]) for r in parameter_table(frame(spark, (1, None, tools))).collect()} == want
+
+
+def test_walked_and_projected_rows_are_the_same(spark):
+    given = {"a": [1, 2.5, {"b": None, "c": "x", "d": [True, []]}], "e": {"f": {}, "g": "1"}, "n": -3, "": {"k": 0}}
+    rows = [(1, [call(json.dumps(given)), None, call(json.dumps(json.dumps(given))), call("[["), call(None), call('"w"')], None)]
+    got = sorted((r["pos"], r["path"], r["kind"], r["value"]) for r in argument_table(frame(spark, *rows)).collect())
+    deep = 1
+    for _ in range(20):
+        deep = [deep]
+    both = argument_table(frame(spark, (1, [*rows[0][1], call(json.dumps(deep))], None))).where("pos < 6").collect()
+    assert got == sorted((r["pos"], r["path"], r["kind"], r["value"]) for r in both) and len(got) > 20
+
+
+def test_one_very_deep_record_among_others(spark):
+    deep = 1
+    for _ in range(500):
+        deep = {"k": deep}
+    got = leaves(frame(spark, (1, [call(json.dumps(deep))], None), (2, [call('{"a": 1}')], None), (3, [call(json.dumps(json.dumps(deep)))], None)))
+    path = ".".join(["k"] * 500)
+    assert got == {(1, "tool_calls", 0, path), (2, "tool_calls", 0, "a"), (3, "tool_calls", 0, path)}
+
+
+def test_the_latest_delivery_counts(spark):
+    from datetime import datetime
+
+    rows = [(1, [call('{"old": 1}')], None, datetime(2025, 1, 1)), (1, [call('{"new": 1}')], None, datetime(2025, 1, 2)), (2, [call('{"b": 1}')], None, None)]
+    df = spark.createDataFrame([(*r, "x", 1, "y", "z") for r in rows], SCHEMA)
+    assert leaves(df) == {(1, "tool_calls", 0, "new"), (2, "tool_calls", 0, "b")}

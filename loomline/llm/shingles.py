@@ -16,6 +16,12 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+class _Hashes(dict):
+    def __missing__(self, word: str) -> int:
+        h = self[word] = xxhash.xxh64_intdigest(word)
+        return h
+
+
 class WordHasher:
     """64-bit hash of a word, remembered while the worker lives.
 
@@ -23,19 +29,12 @@ class WordHasher:
     """
 
     def __init__(self, room: int = 400_000) -> None:
-        self.room, self.known = room, {}
+        self.room, self.known = room, _Hashes()
 
     def __call__(self, words: Sequence[str]) -> np.ndarray:
-        known = self.known
-        if len(known) > self.room:
-            known.clear()
-        out = [known.get(w) for w in words]
-        if None in out:
-            of = xxhash.xxh64_intdigest
-            for i, h in enumerate(out):
-                if h is None:
-                    out[i] = known[words[i]] = of(words[i])
-        return np.array(out, dtype=np.uint64)
+        if len(self.known) > self.room:
+            self.known.clear()
+        return np.fromiter(map(self.known.__getitem__, words), np.uint64, len(words))
 
 
 def mix(x: np.ndarray) -> np.ndarray:

@@ -29,6 +29,7 @@ from itertools import islice
 
 import numpy as np
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -70,6 +71,7 @@ _CAMEL = re.compile(r"[a-z0-9][A-Z]")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _NAMES = re.compile(r"\s*(?:[-*+]\s+|[^\W\d_][\w ]{0,40}:\s*)?`?[A-Z][a-z0-9]+[A-Z]\w*`?(?:\s*,\s*`?[A-Z][a-z0-9]+[A-Z]\w*`?)*\s*")
 _END = frozenset(FINAL_MARKS)
+_H = xxhash.xxh64_intdigest
 
 
 def _norm(token: str) -> str:
@@ -86,6 +88,17 @@ def _is_word(token: str) -> bool:
     return token[0].isalnum() or token[0] == "_"
 
 
+class _Known(dict):
+    """Numbers by token; a new token is given the next one."""
+
+    def __init__(self, add: Callable[[str], int]) -> None:
+        self.add = add
+
+    def __missing__(self, token: str) -> int:
+        n = self[token] = self.add(token)
+        return n
+
+
 class _Lexicon:
     """Number, hashes, kind and name parts of each token, remembered up to a bounded number.
 
@@ -97,32 +110,38 @@ class _Lexicon:
         self._begin()
 
     def _begin(self) -> None:
-        self.known, self.hash, self.kind, self.parts = {"": 0}, [_H("\x04")], [0], {}
-        self.low, self.plain = [""], [0]
+        self.known, self.part_of = _Known(self._add), _Known(self._add_part)
+        self.hash, self.kind, self.low, self.plain = [], [], [], []
+        self.part_hash: list[int] = []
+        # The parts of all names, one after another, then pairs of neighbours; and of each name its number and how many parts it has.
+        self.parts: list[int] = []
+        self.names: tuple[list[int], list[int]] = ([], [])
         self.often = np.zeros(self.room, np.int64)
+        self.known[""]
 
     def numbers(self, tokens: list[str]) -> list[int]:
-        known = self.known
-        out = [known.get(t, -1) for t in tokens]
-        if -1 in out:
-            for i, n in enumerate(out):
-                if n < 0:
-                    out[i] = self._add(tokens[i])
-        return out
+        return list(map(self.known.__getitem__, tokens))
 
     def _add(self, token: str) -> int:
-        if token in self.known:
-            return self.known[token]
-        n = self.known[token] = len(self.hash)
+        n, low = len(self.hash), token.lower()
+        plain = _H(low)
         norm = _norm(token)
-        self.hash.append(_H(norm))
-        self.low.append(low := token.lower())
-        self.plain.append(_H(low))
-        self.kind.append(1 if _is_word(token) else 2 if token[0] in _END or token[0] == "\n" else 0)
+        self.hash.append(_H("\x04") if not token else plain if norm == low else _H(norm))
+        self.low.append(low)
+        self.plain.append(plain)
+        self.kind.append(0 if not token else 1 if _is_word(token) else 2 if token[0] in _END or token[0] == "\n" else 0)
         if norm == "\x01name":
-            self.parts[n] = _PART.findall(token)
+            if found := _PART.findall(token):
+                self.parts += map(self.part_of.__getitem__, ["\x02" + x for x in found])
+                self.parts += map(self.part_of.__getitem__, [f"\x03{x} {y}" for x, y in zip(found, found[1:])])  # noqa: B905
+                self.names[0].append(n)
+                self.names[1].append(len(found))
         return n
 
+    def _add_part(self, key: str) -> int:
+        self.part_hash.append(_H(key))
+        return len(self.part_hash) - 1
+
     def saw(self, numbers: np.ndarray) -> None:
         if len(self.hash) > len(self.often):
             self.often = np.concatenate([self.often, np.zeros(len(self.hash), np.int64)])
@@ -130,24 +149,20 @@ class _Lexicon:
 
     def name_parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key, places and ends of the parts of all names seen; what was seen is forgotten."""
-        total: dict[tuple[str, ...], list[int]] = {}
-        for n, p in self.parts.items():
-            if times := int(self.often[n]):
-                last = len(p) - 1
-                for j, x in enumerate(p):
-                    for part in ((x,), (p[j - 1], x)) if j else ((x,),):
-                        got = total.get(part)
-                        if got is None:
-                            got = total[part] = [0, 0]
-                        got[0] += times
-                        if j == last:
-                            got[1] += times
+        part, name, size = np.array(self.parts, np.int64), np.array(self.names[0], np.int64), np.array(self.names[1], np.int64)
+        begin = np.cumsum(2 * size - 1) - (2 * size - 1)
+        last = np.zeros(len(part), bool)
+        last[begin + size - 1] = last[begin + 2 * size - 2] = True
+        times = np.repeat(self.often[name], 2 * size - 1)
+        places = np.bincount(part, weights=times, minlength=len(self.part_hash))
+        ends = np.bincount(part, weights=times * last, minlength=len(self.part_hash))
+        seen = np.nonzero(places)[0]
+        key = np.array(self.part_hash, np.uint64)[seen]
         if len(self.hash) > self.room:
             self._begin()
         else:
             self.often[:] = 0
-        key = [_H("\x02" + p[0]) if len(p) == 1 else _H("\x03" + p[0] + " " + p[1]) for p in total]
-        return np.array(key, np.uint64), np.array([v[0] for v in total.values()]), np.array([v[1] for v in total.values()])
+        return key, places[seen], ends[seen]
 
 
 def _tally(key: np.ndarray, places: np.ndarray | None, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -253,12 +268,6 @@ def closing_keys(text: str) -> list[int]:
     return keys
 
 
-def _H(word: str) -> int:
-    import xxhash
-
-    return xxhash.xxh64_intdigest(word)
-
-
 def _context(h: np.ndarray) -> np.uint64:
     out = np.zeros(1, np.uint64)
     for x in h:

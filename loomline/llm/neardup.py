@@ -5,8 +5,8 @@
    per hash bucket; any common order is right). Two sets of similarity t share at least c words
    among the first ``m - ceil(2t/(1+t) m) + c`` of the smaller and the first ``n - ceil(t n) + c`` of the
    larger one. Words that few records have are keys by themselves; other words only in pairs, and pairs that many
-   records have (counted alike) only with a third word. So what a third of all records have is no join key, and
-   no key but one of three words has more than about ``ALONE`` records, however large the corpus.
+   smaller sets bring only with a third word. So what a third of all records have is no join key, and
+   no key but one of three words is brought by more than about ``ALONE`` smaller sets, however large the corpus.
 3. Bayesian pruning while the candidates are joined: MinHash values, one bit each, are compared in
    groups of 64. With a uniform prior, a pair whose posterior probability of reaching the threshold
    falls below ``TOLERANCE`` after a group is dropped.
@@ -29,11 +29,11 @@ from loomline.operators.deliveries import latest
 from loomline.plans.scratch import materialize
 
 SIMILARITY = 0.8
-#: Words in buckets with at most so many records are keys by themselves, pairs of words likewise.
+#: Words in buckets with at most so many records are keys by themselves; pairs that at most so many smaller sets bring get no third word.
 ALONE = 200
-#: Buckets of the rarity sketches of words and of pairs: a fixed 4 MB each however large the corpus.
+#: Buckets of the rarity sketch: a fixed 4 MB however large the corpus.
 SKETCH = 2**20
-#: Bits of the map of the keys of smaller sets: 8 MB, however large the corpus.
+#: Bits of the maps of hot pairs and of the keys of smaller sets: 8 MB each, however large the corpus.
 KEY_BITS = 2**26
 #: A candidate may be dropped when it reaches the threshold with less than this probability.
 TOLERANCE = 1e-6
@@ -186,20 +186,11 @@ class _Flat:
         return tuple(np.concatenate(p) if p else np.zeros(0, d) for p, d in ((first, np.int64), (third, np.int64), (keys, np.uint64)))  # type: ignore[return-value]
 
 
-def _pair_counts(threshold: float, alone: int):  # type: ignore[no-untyped-def]
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        counts = np.zeros(SKETCH, np.int64)
-        for pdf in batches:
-            counts += np.bincount(_bucket(_Flat(pdf, threshold, alone).pairs()[2]), minlength=SKETCH)
-        at = np.nonzero(counts)[0]
-        for i in range(0, len(at), 50_000):
-            yield pd.DataFrame({"bucket": at[i : i + 50_000], "n": counts[at[i : i + 50_000]]})
-
-    return run
-
+def _keys(threshold: float, most: int, hot: np.ndarray | None = None, wanted: np.ndarray | None = None):  # type: ignore[no-untyped-def]
+    """The keys a record brings as the smaller set of a pair, or with ``wanted``, a bitmap of those, all that may meet one.
 
-def _keys(pair_counts: np.ndarray, threshold: float, most: int, wanted: np.ndarray | None = None):  # type: ignore[no-untyped-def]
-    """The keys a record brings as the smaller set of a pair, or with ``wanted``, a bitmap of those, all that may meet one."""
+    Pairs of words in the bitmap ``hot`` are no keys, but in its place those with a third word are.
+    """
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
@@ -207,19 +198,18 @@ def _keys(pair_counts: np.ndarray, threshold: float, most: int, wanted: np.ndarr
             # What one record has can't join two.
             alone = np.nonzero((f.rank < f.reach[f.doc]) & (f.rare > 1) & (f.rare <= most))[0]
             x, y, key = f.pairs()
-            n = pair_counts[_bucket(key)]
-            few, many = (n > 1) & (n <= most), n > most
+            many = np.zeros(len(key), bool) if hot is None else among(key, hot)
             second, third, far = f.thirds(x[many], y[many], key[many])
-            last = np.concatenate([alone, y[few], third])
+            last = np.concatenate([alone, y[~many], third])
             doc = f.doc[last]
             inner = np.concatenate([
-                f.rank[alone] < f.near[f.doc[alone]], f.rank[y[few]] < f.near[f.doc[y[few]]],
+                f.rank[alone] < f.near[f.doc[alone]], f.rank[y[~many]] < f.near[f.doc[y[~many]]],
                 (f.rank[second] < f.near[f.doc[second]]) & (f.rank[third] < f.near3[f.doc[third]]),
             ])
-            keys = np.concatenate([mix(f.word[alone]), key[few], far])
+            keys = np.concatenate([mix(f.word[alone]), key[~many], far])
             kept = inner if wanted is None else among(keys, wanted)
             own = pdf.drop(columns=["words", "counts"]).iloc[doc[kept]].reset_index(drop=True)
-            yield own.assign(key=keys[kept].view(np.int64))
+            yield own.assign(key=keys[kept].view(np.int64), pair=(np.arange(len(keys)) >= len(alone))[kept])
 
     return run
 
@@ -262,11 +252,14 @@ def near_duplicates(df: DataFrame, key: str = "sample_id", texts: tuple[str, ...
     columns = ", ".join(f"s{k} bigint" for k in range(SIGNATURE_LONGS))
     prefixes = reps.mapInPandas(_prefixes(counts, threshold), f"id {kinds[key]}, size int, words array<bigint>, counts array<int>, {columns}")
     prefixes = materialize(prefixes, "neardup-prefixes")
-    pair_counts = _counts(prefixes.select("size", "words", "counts").mapInPandas(_pair_counts(threshold, alone), "bucket bigint, n bigint"))
-    shape = f"id {kinds[key]}, size int, {columns}, key bigint"
+    shape = f"id {kinds[key]}, size int, {columns}, key bigint, pair boolean"
     # The smaller set (of equal ones the smaller id) brings only its inner keys; of the other keys only those that meet one are written.
-    inner = materialize(prefixes.mapInPandas(_keys(pair_counts, threshold, alone), shape), "neardup-inner")
-    outer = materialize(prefixes.mapInPandas(_keys(pair_counts, threshold, alone, bitmap(inner.select("key"), KEY_BITS)), shape), "neardup-keys")
+    inner = materialize(prefixes.mapInPandas(_keys(threshold, alone), shape), "neardup-inner")
+    crowded = materialize(inner.where("pair").groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > alone).select("key"), "neardup-hot")
+    hot = None if crowded.isEmpty() else bitmap(crowded, KEY_BITS)
+    if hot is not None:
+        inner = materialize(prefixes.mapInPandas(_keys(threshold, alone, hot), shape), "neardup-inner")
+    outer = materialize(prefixes.mapInPandas(_keys(threshold, alone, hot, bitmap(inner.select("key"), KEY_BITS)), shape), "neardup-keys")
     a, b = inner.alias("a"), outer.alias("b")
     first = (F.col("a.size") < F.col("b.size")) | ((F.col("a.size") == F.col("b.size")) & (F.col("a.id") < F.col("b.id")))
     fits = F.col("a.size") >= F.ceil(F.lit(threshold) * F.col("b.size") - 1e-9)

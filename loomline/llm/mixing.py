@@ -71,3 +71,17 @@ def mix_report(mixed: DataFrame, targets: DataFrame, key: str = "doc_id") -> Dat
     all_tokens = F.sum("tokens").over(Window.partitionBy())
     out = targets.join(got, "source", "left").fillna(0, ["tokens", "rows", "records", "most_copies"])
     return out.select("source", "target_share", (F.col("tokens") / all_tokens).alias("actual_share"), "tokens", "rows", "records", "most_copies", "max_repeats")
+
+
+def mix_invariants(mixed: DataFrame, targets: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "text", source: str = "source", vocabulary: str = VOCABULARY) -> DataFrame:
+    """``source, share_met, limit_kept`` of each target: whether the source falls short of its budget by less than its longest record and never
+    passes it, and whether no record is repeated beyond the limit."""
+    sized = token_sizes(df.withColumn("__source", F.col(source)), key, text, "__source", vocabulary=vocabulary).withColumnRenamed("__source", "source")
+    sized = materialize(sized.where("n_tokens > 0 and source is not null"), "mixing-sizes")
+    plan = budgets(sized, targets).select("source", "budget", F.greatest(F.coalesce("max_repeats", F.lit(1)), F.lit(1)).alias("most"))
+    longest = sized.groupBy("source").agg(F.max("n_tokens").alias("longest"))
+    copies = mixed.groupBy("source", key).agg(F.count("*").alias("copies"), F.sum("n_tokens").alias("tokens"))
+    got = copies.groupBy("source").agg(F.max("copies").alias("copies"), F.sum("tokens").alias("tokens"))
+    both = targets.select("source").distinct().join(plan, "source", "left").join(longest, "source", "left").join(got, "source", "left").fillna(0, ["budget", "longest", "copies", "tokens"])
+    short = F.col("budget") - F.col("tokens")
+    return both.select("source", ((short >= 0) & ((short == 0) | (short < F.col("longest")))).alias("share_met"), (F.col("copies") <= F.coalesce("most", F.lit(0))).alias("limit_kept"))

@@ -335,4 +335,17 @@ def packing_report(packed: DataFrame, capacities: DataFrame) -> DataFrame:
     )
 
 
-__all__ = ["pack", "packing_report", "make_plan", "fitted", "fit", "best_fit", "knapsack", "edges_of"]
+def packing_invariants(packed: DataFrame, capacities: DataFrame, df: DataFrame, key: str = "doc_id", text: str = "text", vocabulary: str = VOCABULARY) -> DataFrame:
+    """``profile, n_texts, n_wrong_tokens, n_split_short, n_overfull`` of a packing of ``df`` with unique keys: texts placed, those whose pieces don't make up
+    the text token by token, those split although they'd fit, and sequences beyond the capacity."""
+    sizes = token_sizes(df, key, text, vocabulary=vocabulary).select(F.col("id").alias(key), F.col("n_tokens").alias("size"))
+    limits = F.broadcast(capacities.select("profile", F.col("capacity_tokens").cast("bigint").alias("capacity"), "separator_tokens"))
+    # Pieces that neither overlap nor leave a gap: their starts are the lengths before them.
+    pieces = packed.groupBy("profile", key).agg(F.count("*").alias("n"), F.sum("n_tokens").alias("tokens"), F.sum("token_start").alias("starts"), F.max("piece").alias("last")).join(sizes, key).join(limits, "profile")
+    right = (F.col("tokens") == F.col("size")) & (F.col("last") == F.col("n") - 1) & (F.col("starts") == F.col("capacity") * F.col("n") * (F.col("n") - 1) / 2)
+    texts = pieces.groupBy("profile").agg(F.count("*").alias("n_texts"), F.count_if(~right).alias("n_wrong_tokens"), F.count_if((F.col("n") > 1) & (F.col("size") <= F.col("capacity"))).alias("n_split_short"))
+    over = packing_report(packed, capacities).select("profile", F.col("overfull").alias("n_overfull"))
+    return texts.join(over, "profile").select("profile", "n_texts", "n_wrong_tokens", "n_split_short", "n_overfull")
+
+
+__all__ = ["pack", "packing_report", "packing_invariants", "make_plan", "fitted", "fit", "best_fit", "knapsack", "edges_of"]

@@ -60,6 +60,17 @@ def p7_report(spark: SparkSession, d: str) -> DataFrame:
     return packing.packing_report(packing.pack(documents(spark, d), capacities), capacities)
 
 
+def p7_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of a packing, whatever its sequences: all texts are in it, whole, none over its capacity, no short one split."""
+    return packing.packing_invariants(packing.pack(documents(spark, d), table(spark, d, "pack_capacities")), table(spark, d, "pack_capacities"), documents(spark, d))
+
+
+def p8_invariants(spark: SparkSession, d: str) -> DataFrame:
+    """What must hold of a mix, whatever its records: every budget is met but for less than one record, every repeat limit kept."""
+    targets = table(spark, d, "mix_targets")
+    return mixing.mix_invariants(mixing.mix(documents(spark, d), targets), targets, documents(spark, d))
+
+
 def p8_mix(spark: SparkSession, d: str) -> DataFrame:
     return mixing.mix(documents(spark, d), table(spark, d, "mix_targets"))
 
@@ -78,7 +89,7 @@ def p9_restored(spark: SparkSession, d: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    own = (p1_found, p1_cut_rates, p2_found, p2_frequencies, p3_found, p5_found, p5_groups, p6_found, p6_shares, p7_packing, p7_report, p8_mix, p8_shares, p9_found, p9_restored)
+    own = (p1_found, p1_cut_rates, p2_found, p2_frequencies, p3_found, p5_found, p5_groups, p6_found, p6_shares, p7_packing, p7_report, p7_invariants, p8_mix, p8_shares, p8_invariants, p9_found, p9_restored)
     return {f.__name__: f for f in own}
 
 
@@ -102,6 +113,8 @@ _SHARES = """one AS (SELECT sample_id, coalesce(regexp_extract_all(lower(output)
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "p7_invariants": "SELECT profile, (SELECT count(*) FROM documents WHERE text <> '') AS n_texts, 0::BIGINT AS n_wrong_tokens, 0::BIGINT AS n_split_short, 0::BIGINT AS n_overfull FROM pack_capacities",
+        "p8_invariants": "SELECT source, true AS share_met, true AS limit_kept FROM mix_targets",
         "p2_found": f"""WITH {_CALLS}, used AS (SELECT DISTINCT sample_id, unnest(names) AS tool_name FROM once),
             freq AS (SELECT tool_name, count(*) AS s FROM used GROUP BY tool_name)
             SELECT tool_name, CASE WHEN s < 5 THEN 'rare' ELSE 'common' END AS verdict FROM freq, total WHERE s < 5 OR s > 0.1 * n""",

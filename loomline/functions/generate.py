@@ -27,6 +27,55 @@ class GenerationMode(Enum):
     LLM_ASSISTED = "llm_assisted"
 
 
+class Client:
+    """What a model's client must do; this one answers offline, with the last message.
+
+    ``complete`` takes messages ``{role, content}`` and returns ``{content, tokens_used, finish_reason}``; put a
+    call to a server in its place. Failures are counted and raised.
+    """
+
+    def __init__(self, complete: Callable[[list[dict]], dict] | None = None) -> None:
+        self._complete = complete or self._echo
+        self._requests = self._failed = 0
+
+    @staticmethod
+    def _echo(messages: list[dict]) -> dict:
+        said = messages[-1]["content"] if messages else ""
+        return {"content": said, "tokens_used": sum(len(m["content"].split()) for m in messages), "finish_reason": "stop"}
+
+    def test_connection(self) -> bool:
+        """Whether a shortest request is answered; counts as a request."""
+        try:
+            return bool(self.chat_completion([{"role": "user", "content": "ping"}])["content"])
+        except Exception:  # noqa: BLE001 - whatever a client raises, there is no connection
+            return False
+
+    def chat_completion(self, messages: list[dict]) -> dict:
+        self._requests += 1
+        try:
+            return self._complete(messages)
+        except Exception:
+            self._failed += 1
+            raise
+
+    def get_stats(self) -> dict[str, float]:
+        """Requests so far; the success rate is in percent, 0 before the first one."""
+        good = self._requests - self._failed
+        return {"total_requests": self._requests, "successful_requests": good, "failed_requests": self._failed, "success_rate": 100.0 * good / self._requests if self._requests else 0.0}
+
+    def generator(self, system: str = "You answer questions about {component}.") -> Generator:
+        """This client as a generator of conversations; each task counts its own requests."""
+
+        def ask(record: dict) -> tuple[str, str] | None:
+            if not record.get("component") or not (record.get("content") or "").strip():
+                return None
+            question = f"{record.get('title') or ''}\n\n{record['content']}"
+            answer = self.chat_completion([{"role": "system", "content": system.replace("{component}", record["component"])}, {"role": "user", "content": question}])
+            return question, answer["content"]
+
+        return ask
+
+
 def prompt_messages(df: DataFrame, system: str = "You answer questions about {component}.") -> DataFrame:
     """``id, messages``: the chat messages ``{role, content}`` that ask a model about each document; null where component or content is missing."""
     usable = F.col("component").isNotNull() & (F.trim(F.coalesce("content", F.lit(""))) != "")

@@ -88,9 +88,9 @@ def fence_languages(df: DataFrame, text: str = "text") -> DataFrame:
 
 
 def tags(df: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """``key, tag``: the distinct tags of a page's trailing comment, bracketed or plain, on one line or several."""
-    comment = F.regexp_extract(unix_lines(F.col(text)), r"<!--\s*tags:\s*\[?([^\]]*?)\]?\s*(?:keywords:|-->)", 1)
-    parts = F.array_distinct(F.filter(F.transform(F.split(comment, r"[,\n]"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != ""))
+    """``key, tag``: the distinct tags of all tags comments of a page, bracketed or plain, on one line or several."""
+    comments = F.regexp_extract_all(unix_lines(F.col(text)), F.lit(r"<!--\s*tags:\s*\[?([^\]]*?)\]?\s*(?:keywords:|-->)"), F.lit(1))
+    parts = F.array_distinct(F.filter(F.transform(F.split(F.array_join(comments, "\n"), r"[,\n]"), lambda x: F.regexp_replace(x, r"^\s+|\s+$", "")), lambda x: x != ""))
     return df.where(F.col(text).isNotNull()).select(key, F.explode(parts).alias("tag"))
 
 

@@ -3,15 +3,20 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, Window
+import numpy as np
+import pandas as pd
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.functions.text import split_bucket, token_count
 from loomline.plans.scratch import materialize
 
 MIN_QUALITY, MAX_SIMILARITY, MAX_TOKENS, TRAIN_SHARE = 0.7, 0.9, 8192, 0.9
-SHINGLE = 8
+SHINGLE = 5
+#: Buckets of the rarity sketch: 4 MB, however many shingles there are.
+SKETCH = 2**20
 
 
 def quality_filter(df: DataFrame, score: str = "quality_score", least: float = MIN_QUALITY) -> DataFrame:
@@ -55,26 +60,48 @@ def reasons(df: DataFrame, key: str = "id", score: str = "quality_score", text:
     return df.select(key, F.concat_ws(",", *[F.when(c, F.lit(n)) for c, n in checks]).alias("reasons"))
 
 
+def _rarest(counts: np.ndarray, above: float):  # type: ignore[no-untyped-def]
+    """The rarest shingles of each text, as many as a similar text must share one of."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            size = pdf["g"].str.len().to_numpy(np.int64)
+            gram = np.concatenate([*pdf["g"], np.zeros(0, np.int64)]).astype(np.int64)
+            doc = np.repeat(np.arange(len(pdf)), size)
+            often = counts[gram & (SKETCH - 1)]
+            order = np.lexsort((gram, often, doc))
+            rank = np.arange(len(gram)) - np.repeat(np.cumsum(size) - size, size)
+            # A shingle in a bucket of one text can't join two.
+            kept = (rank < (size - np.ceil(above * size - 1e-9).astype(np.int64) + 1)[doc]) & (often[order] > 1)
+            at = doc[kept]
+            yield pd.DataFrame({"s": gram[order][kept], "id": pdf["id"].to_numpy()[at], "size": size[at]})
+
+    return run
+
+
 def similar_pairs(df: DataFrame, key: str = "doc_id", text: str = "text", above: float = MAX_SIMILARITY, shingle: int = SHINGLE) -> DataFrame:
     """``a, b, similarity`` of texts whose sets of ``shingle``-word runs have a Jaccard similarity above ``above``.
 
-    Equal texts meet only through the smallest key that has them. Shingles are ordered by their number of texts; a pair above the
-    threshold shares one of the rarest ``n - ceil(above n) + 1`` of each text, so common shingles are no join keys and the
-    join loses no pair.
+    A text with fewer words has one run, all its words; one without words has none. Equal texts meet only through the smallest key that
+    has them. Shingles are ordered by how many texts have one of their hash bucket; a pair above the threshold shares one of the rarest
+    ``n - ceil(above n) + 1`` of each text, so common shingles are no join keys and the join loses no pair.
     """
     reps = df.where(F.col(text).isNotNull()).groupBy(F.md5(text).alias("h")).agg(F.min(key).alias("id"))
     words = F.regexp_extract_all(F.lower(text), F.lit(r"\S+"), F.lit(0))
-    grams = F.when(F.size("w") >= shingle, F.transform(F.sequence(F.lit(1), F.size("w") - shingle + 1), lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, shingle), " "))))
+    runs = F.sequence(F.lit(1), F.greatest(F.size("w") - shingle + 1, F.lit(1)))
+    grams = F.when(F.size("w") > 0, F.transform(runs, lambda i: F.xxhash64(F.array_join(F.slice(F.col("w"), i, shingle), " "))))
     sets = df.join(reps, F.col(key) == F.col("id"), "left_semi").select(F.col(key).alias("id"), words.alias("w")).select("id", F.array_distinct(grams).alias("g"))
     # Written before any filter on it: one that is pushed down would split the words anew for every shingle.
     sets = materialize(sets, "similar-sets").where("g is not null")
-    often = sets.select(F.explode("g").alias("s")).groupBy("s").agg(F.count("*").alias("n")).where("n > 1")
-    flat = sets.select("id", F.size("g").alias("size"), F.explode("g").alias("s")).join(often, "s", "left")
-    rank = F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("n", F.lit(1)), "s"))
-    keyed = flat.withColumn("k", rank).where((F.col("k") <= F.col("size") - F.ceil(F.lit(above) * F.col("size") - 1e-9) + 1) & (F.col("n") > 1)).select("s", "id", "size")
+    got = sets.select(F.explode("g").alias("s")).groupBy(F.col("s").bitwiseAND(F.lit(SKETCH - 1)).alias("b")).agg(F.least(F.count("*"), F.lit(2**31 - 1)).alias("n")).toArrow()
+    counts = np.zeros(SKETCH, np.int32)
+    counts[got["b"].to_numpy()] = got["n"].to_numpy()
+    keyed = materialize(sets.mapInPandas(_rarest(counts, above), f"s bigint, id {dict(df.dtypes)[key]}, size bigint"), "similar-keys")
     a, b = keyed.alias("a"), keyed.alias("b")
     fits = (F.col("a.size") >= F.lit(above) * F.col("b.size")) & (F.col("b.size") >= F.lit(above) * F.col("a.size"))
     pairs = a.join(b, (F.col("a.s") == F.col("b.s")) & (F.col("a.id") < F.col("b.id")) & fits).select(F.col("a.id").alias("a"), F.col("b.id").alias("b")).distinct()
+    # Written, so that the planner knows their number: the sets of few texts are sent to them.
+    pairs = materialize(pairs, "similar-pairs")
     both = pairs.join(sets.select(F.col("id").alias("a"), F.col("g").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("g").alias("y")), "b")
     shared = F.size(F.array_intersect("x", "y"))
     return both.select("a", "b", (shared / (F.size("x") + F.size("y") - shared)).alias("similarity")).where(F.col("similarity") > above)

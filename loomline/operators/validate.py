@@ -61,3 +61,23 @@ def first_rows(df: DataFrame, rows: int, *order: str) -> DataFrame:
 
 def numbered(df: DataFrame, partition: str, order: str, name: str = "turn") -> DataFrame:
     return df.withColumn(name, F.row_number().over(Window.partitionBy(partition).orderBy(order)) - 1)
+
+
+def printed_means(stats: DataFrame, digits: int = 1) -> str:
+    """The means of :func:`dataset_stats` as a line for people."""
+    row = stats.first()
+    return f"samples: {row['total_samples']}, mean instruction length: {row['avg_instruction_length']:.{digits}f}, mean output length: {row['avg_output_length']:.{digits}f}"
+
+
+def validate_dataset(records: DataFrame, key: str = "place") -> dict[str, DataFrame]:
+    """All there is to say about a dataset of JSON objects: ``tool_usage, component_counts, validity, previews``, each a small table.
+
+    ``records`` has the objects as text in ``json`` and their order in ``key``. Objects are read whole; a text that is no object has no fields.
+    """
+    calls = "array<struct<id:string,type:string,function:struct<name:string,arguments:string>>>"
+    read = F.from_json("json", f"instruction string, input string, output string, tools array<string>, tool_calls {calls}")
+    samples = records.select(key, read.alias("r")).select(key, "r.*")
+    return {
+        "tool_usage": tool_usage(samples), "component_counts": component_counts(samples), "validity": validity_report(required_fields(records), key),
+        "previews": sample_previews(samples.withColumn("ingested_at", F.lit(None).cast("timestamp")), key),
+    }

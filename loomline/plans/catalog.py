@@ -68,7 +68,15 @@ def p4_calls(spark: SparkSession, d: str) -> DataFrame:
     return nested.call_table(samples(spark, d))
 
 
-@_query()
+_NODES = """replace(regexp_replace(regexp_replace(n.{c}, '^\\$\\.?', ''), '\\[(\\d+)\\]', '.\\1', 'g'), '"', '')"""
+
+
+@_query(
+    f"""WITH {_ARGS}, n AS (SELECT a.sample_id, a.pos, n.key, n.type AS kind, n.atom, ltrim({_NODES.format(c="fullkey")}, '.') AS path, ltrim({_NODES.format(c="path")}, '.') AS up, n.fullkey FROM a, json_tree(a.j) n)
+    SELECT sample_id, pos::INT AS pos, path, CASE WHEN fullkey <> '$' THEN up END AS parent_path, CASE WHEN fullkey NOT LIKE '%]' AND fullkey <> '$' THEN key END AS key_name,
+    CASE WHEN fullkey LIKE '%]' THEN key::INT END AS array_index, CASE kind WHEN 'OBJECT' THEN 'object' WHEN 'ARRAY' THEN 'array' ELSE 'scalar' END AS kind,
+    CASE WHEN kind NOT IN ('OBJECT', 'ARRAY', 'NULL') THEN atom ->> '$' END AS value FROM n"""
+)
 def p4_arguments(spark: SparkSession, d: str) -> DataFrame:
     return nested.argument_table(samples(spark, d))
 
@@ -320,22 +328,36 @@ def exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return quality.exact_duplicates(documents(spark, d))
 
 
-_GRAMS = """reps AS (SELECT min(doc_id) AS id, any_value(text) AS text FROM documents WHERE text IS NOT NULL GROUP BY md5(text)),
+_GRAMS = f"""{_ONCE}, said AS (SELECT sample_id, concat_ws(chr(10), instruction, output) AS text FROM once),
+    reps AS (SELECT min(sample_id) AS id, any_value(text) AS text FROM said GROUP BY md5(text)),
     w AS (SELECT id, regexp_extract_all(lower(text), '\\S+') AS w FROM reps),
-    g AS (SELECT DISTINCT id, unnest(list_transform(range(1, len(w) - 6), lambda i: array_to_string(w[i:i + 7], ' '))) AS s FROM w WHERE len(w) >= 8),
+    g AS (SELECT DISTINCT id, unnest(list_transform(range(1, greatest(len(w) - 3, 2)), lambda i: array_to_string(w[i:i + 4], ' '))) AS s FROM w WHERE len(w) > 0),
     size AS (SELECT id, count(*) AS n FROM g GROUP BY id),
     shared AS (SELECT a.id AS a, b.id AS b, count(*) AS n FROM g a JOIN g b ON a.s = b.s AND a.id < b.id GROUP BY a.id, b.id),
-    similar_pair AS (SELECT a, b, s.n / (x.n + y.n - s.n) AS similarity FROM shared s JOIN size x ON x.id = a JOIN size y ON y.id = b WHERE s.n / (x.n + y.n - s.n) > 0.9)"""
+    similar_pair AS (SELECT a, b, s.n / (x.n + y.n - s.n) AS similarity FROM shared s JOIN size x ON x.id = a JOIN size y ON y.id = b WHERE s.n / (x.n + y.n - s.n) > {{above}})"""
+
+
+def _said(spark: SparkSession, d: str) -> DataFrame:
+    """What each sample says, question and answer, once."""
+    said = samples(spark, d).select("sample_id", "ingested_at", F.concat_ws("\n", "instruction", "output").alias("text"))
+    return latest(said, "sample_id", "ingested_at")
 
 
-@_query(f"WITH {_GRAMS} SELECT a, b, similarity FROM similar_pair")
+@_query(f"WITH {_GRAMS.format(above=0.8)} SELECT a, b, similarity FROM similar_pair")
 def near_duplicate_pairs(spark: SparkSession, d: str) -> DataFrame:
-    return quality.similar_pairs(documents(spark, d))
+    return quality.similar_pairs(_said(spark, d), "sample_id", above=0.8)
 
 
-@_query(f"WITH {_GRAMS} SELECT id AS doc_id FROM reps WHERE id NOT IN (SELECT b FROM similar_pair) UNION ALL SELECT doc_id FROM documents WHERE text IS NULL")
+@_query(f"WITH {_GRAMS.format(above=0.9)} SELECT id AS sample_id FROM reps WHERE id NOT IN (SELECT b FROM similar_pair)")
 def near_duplicate_drop(spark: SparkSession, d: str) -> DataFrame:
-    return quality.without_similar(documents(spark, d))
+    return quality.without_similar(_said(spark, d), "sample_id")
+
+
+@_query("SELECT id, max(1.0 - quality_score) AS toxicity FROM source_documents WHERE 1.0 - quality_score <= 0.1 GROUP BY id")
+def safety_filter(spark: SparkSession, d: str) -> DataFrame:
+    """No table holds a toxicity; what a score lacks to 1 stands in for one."""
+    scored = table(spark, d, "source_documents").select("id", (F.lit(1.0) - F.col("quality_score")).alias("toxicity"))
+    return quality.safety_filter(scored)
 
 
 @_query("SELECT doc_id, CASE WHEN ('0x' || substr(md5(doc_id::VARCHAR), 1, 8))::BIGINT % 10000 < 9000 THEN 'train' ELSE 'test' END AS split FROM documents")
@@ -385,7 +407,13 @@ def page_metadata(spark: SparkSession, d: str) -> DataFrame:
     return pages.header(documents(spark, d))
 
 
-@_query()
+_WHEN = "coalesce(" + ", ".join(f"try_strptime(nullif(trim(ts), ''), '{f}')::TIMESTAMP" for f in ("%Y-%m-%dT%H:%M:%SZ", "%Y-%m-%d %H:%M:%S", "%Y/%m/%d %H:%M", "%d.%m.%Y %H:%M", "%Y-%m-%d")) + ")"
+
+
+@_query(
+    f"""SELECT trim(page_id) AS page_id, max(nullif(regexp_extract(lower(language), '^\\s*([a-z]{{2}})', 1), '')) AS language, max(regexp_replace(lower(nullif(trim(document_name), '')), '[\\s_]+', '-', 'g')) AS document_name,
+    max(try_cast(trim(page_number) AS INT)) AS page, max(nullif(trim(version), '')) AS version, max({_WHEN}) AS made_at FROM page_headers WHERE trim(page_id) <> '' GROUP BY 1"""
+)
 def header_rows(spark: SparkSession, d: str) -> DataFrame:
     return pages.normalised_headers(table(spark, d, "page_headers"))
 
@@ -421,7 +449,7 @@ def fence_languages(spark: SparkSession, d: str) -> DataFrame:
 
 
 @_query(
-    f"""SELECT DISTINCT doc_id, tag FROM (SELECT doc_id, trim(unnest(string_split_regex(regexp_extract({_UNIX}, '<!--\\s*tags:\\s*\\[?([^\\]]*?)\\]?\\s*(?:keywords:|-->)', 1), '[,\\n]'))) AS tag FROM documents) WHERE tag <> ''"""
+    f"""SELECT DISTINCT doc_id, tag FROM (SELECT doc_id, trim(unnest(string_split_regex(array_to_string(regexp_extract_all({_UNIX}, '<!--\\s*tags:\\s*\\[?([^\\]]*?)\\]?\\s*(?:keywords:|-->)', 1), chr(10)), '[,\\n]'))) AS tag FROM documents) WHERE tag <> ''"""
 )
 def page_tags(spark: SparkSession, d: str) -> DataFrame:
     return pages.tags(documents(spark, d))

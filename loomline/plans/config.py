@@ -15,6 +15,7 @@ LOG_LEVELS = ("DEBUG", "INFO", "WARNING", "ERROR", "CRITICAL")
 class BatchConfig:
     """Batching, concurrency, back-pressure, degradation, timeouts and retries. :meth:`validate` isn't called by itself."""
 
+    # The settings' names and defaults.
     batch_size: int = 32
     min_batch_size: int = 16
     max_batch_size: int = 100
@@ -76,17 +77,22 @@ class PipelineConfig:
     log_level: str = "INFO"
     log_file: str = "dataset_generation.log"
     steps: list[str] = field(default_factory=lambda: list(STEPS))
+    #: A folder ``<section>/page_<digits>.json``: only pages with such a sidecar are taken; and a Parquet table ``vec_id, embedding``.
+    sidecar_path: str | None = None
+    vectors_path: str | None = None
+    top_k: int = 5
+    batch: BatchConfig = field(default_factory=BatchConfig)
     #: Settings this engine has no use for (services it doesn't call) are kept as they are.
     other: dict[str, Any] = field(default_factory=dict)
 
     def problems(self) -> list[str]:
-        out = [f"{n} must be positive" for n in ("target_count", "max_seq_length", "sample_size") if getattr(self, n) < 1]
+        out = [f"{n} must be positive" for n in ("target_count", "max_seq_length", "sample_size", "top_k") if getattr(self, n) < 1]
         out += [f"{n} must lie between 0 and 1" for n in ("train_test_split", "min_quality_score", "max_similarity_threshold", "safety_threshold") if not 0.0 <= getattr(self, n) <= 1.0]
         out += [f"format {f!r} is not supported" for f in self.formats if str(f).lower() not in FORMATS]
         out += [f"step {s!r} doesn't exist" for s in self.steps if s not in STEPS]
         if str(self.log_level).upper() not in LOG_LEVELS:
             out.append(f"log level {self.log_level!r} doesn't exist")
-        return out
+        return out + self.batch.problems()
 
 
 def _scalar(text: str) -> Any:
@@ -133,8 +139,9 @@ def read_flat_yaml(text: str) -> dict[str, Any]:
 
 def load_config(path: str) -> PipelineConfig:
     got = read_flat_yaml(Path(path).read_text(encoding="utf-8"))
-    known = {f.name for f in fields(PipelineConfig)} - {"other"}
-    return PipelineConfig(**{k: v for k, v in got.items() if k in known}, other={k: v for k, v in got.items() if k not in known})
+    known, batch = {f.name for f in fields(PipelineConfig)} - {"other", "batch"}, {f.name for f in fields(BatchConfig)}
+    other = {k: v for k, v in got.items() if k not in known | batch}
+    return PipelineConfig(**{k: v for k, v in got.items() if k in known}, batch=BatchConfig(**{k: v for k, v in got.items() if k in batch}), other=other)
 
 
 def validate_config_file(path: str) -> list[str]:
@@ -150,7 +157,7 @@ def validate_config_file(path: str) -> list[str]:
 def create_default_config(path: str) -> None:
     lines = []
     for k, v in asdict(PipelineConfig()).items():
-        if k == "other":
+        if k in ("other", "batch") or v is None:
             continue
         shown = "[" + ", ".join(f'"{x}"' for x in v) + "]" if isinstance(v, list) else f'"{v}"' if isinstance(v, str) else str(v).lower() if isinstance(v, bool) else str(v)
         lines.append(f"{k}: {shown}")

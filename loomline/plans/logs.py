@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+import os
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -11,10 +12,17 @@ NAME = "loomline"
 
 
 def create_logger(name: str = NAME, log_level: str = "INFO", log_file: str | None = None) -> logging.Logger:
+    """The logger of this name; it writes to ``log_file`` and to no file of an earlier run."""
     logger = logging.getLogger(name)
     logger.setLevel(log_level.upper())
+    for h in [h for h in logger.handlers if isinstance(h, logging.FileHandler)]:
+        if not log_file or h.baseFilename != os.path.abspath(log_file):
+            logger.removeHandler(h)
+            h.close()
     if log_file and not any(isinstance(h, logging.FileHandler) for h in logger.handlers):
-        logger.addHandler(logging.FileHandler(log_file, encoding="utf-8"))
+        handler = logging.FileHandler(log_file, encoding="utf-8")
+        handler.setFormatter(logging.Formatter("%(asctime)s %(levelname)s %(name)s: %(message)s"))
+        logger.addHandler(handler)
     return logger
 
 

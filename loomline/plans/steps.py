@@ -1,7 +1,8 @@
 """The pipeline as an ordered registry of lazy steps.
 
 A step takes the run's tables by name and returns those it adds. Nothing runs before a sink or an action asks for it,
-but for the comparison of similar documents, which writes a table.
+but for the comparison of similar documents and the kept conversations, which are written, so that no layout makes them anew.
+Batch settings reach the generator (tasks, retries) and the sinks (time limits).
 """
 
 from __future__ import annotations
@@ -9,15 +10,16 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable
 from dataclasses import dataclass, field
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomline.functions import generate
 from loomline.functions.text import corrected, token_count
-from loomline.operators import formats, pages, quality, validate
+from loomline.operators import formats, pages, quality, validate, vectors
 from loomline.plans.config import STEPS, PipelineConfig
+from loomline.plans.logs import Metrics
+from loomline.plans.scratch import materialize
+from loomline.plans.timeouts import within
 from loomline.sources import files
 
 log = logging.getLogger("loomline")
@@ -30,13 +32,17 @@ class Run:
     tables: dict[str, DataFrame] = field(default_factory=dict)
     #: Only these sections' folders are listed; all if there are none.
     sections: list[str] | None = None
+    #: Asks a model for each document; without one the built-in template makes the conversations.
+    generator: generate.Generator | None = None
 
 
 def _pages(run: Run) -> dict[str, DataFrame]:
     """Pages with their headers; the path says section and number."""
     scanned = files.page_scan(run.spark, run.config.md_staging_path, run.sections)
-    if run.config.md_output_path and any(Path(run.config.md_output_path).glob("*/page_*.md")):
+    if run.config.md_output_path and files.exists(run.spark, f"{run.config.md_output_path}/*/page_*.md"):
         scanned = scanned.unionByName(files.page_scan(run.spark, run.config.md_output_path, run.sections))
+    if run.config.sidecar_path:
+        scanned = files.with_sidecar(scanned, files.sidecar_scan(run.spark, run.config.sidecar_path, run.sections))
     if run.config.test_mode:
         scanned = scanned.orderBy("section", "page").limit(run.config.sample_size)
     text = corrected(F.col("text")) if run.config.enable_auto_correction else F.col("text")
@@ -46,12 +52,17 @@ def _pages(run: Run) -> dict[str, DataFrame]:
 
 
 def _documents(run: Run) -> dict[str, DataFrame]:
-    """Source documents: the pages' titles and bodies without header comment. Pages have no vectors, so the step searches none."""
+    """Source documents: the pages' titles and bodies without header comment; ``neighbours`` of the query vectors, if there is a table of vectors."""
     body = F.trim(F.regexp_replace("text", r"<!--[\s\S]*?--[>}]", ""))
     title = F.regexp_extract("text", r"(?m)^#\s+(.+)$", 1)
     filled = body.rlike(r"\S").cast("double")
     made = run.tables["pages"].select(F.concat_ws("/", "section", "page").alias("id"), F.col("section").alias("component"), title.alias("title"), body.alias("content"), filled.alias("quality_score"))
-    return {"documents": made.where(token_count(F.col("content")) <= run.config.max_seq_length)}
+    out = {"documents": made.where(token_count(F.col("content")) <= run.config.max_seq_length)}
+    if run.config.vectors_path:
+        out["neighbours"] = vectors.top_k(run.spark.read.parquet(run.config.vectors_path), run.config.top_k)
+    else:
+        log.warning("no vectors_path is set: no vectors are searched")
+    return out
 
 
 def _kept(run: Run) -> DataFrame:
@@ -67,11 +78,14 @@ def _kept(run: Run) -> DataFrame:
 
 
 def _conversations(run: Run) -> dict[str, DataFrame]:
-    return {"conversations": generate.template_conversations(run.tables["documents"])}
+    b = run.config.batch
+    mode = generate.GenerationMode.LLM_ASSISTED if run.generator else generate.GenerationMode.TEMPLATE
+    return {"conversations": generate.conversations(run.tables["documents"], mode, run.generator, concurrent=b.max_concurrent, retries=b.max_retries, delay=b.retry_delay, backoff=b.retry_backoff_factor)}
 
 
 def _dataset(run: Run) -> dict[str, DataFrame]:
-    made = run.tables["conversations"].where("conversations is not null").join(_kept(run), "id", "left_semi").orderBy("id").limit(run.config.target_count)
+    scored = run.tables["conversations"].where("conversations is not null").join(_kept(run), "id", "left_semi").join(run.tables["documents"].select("id", "quality_score"), "id")
+    made = materialize(quality.capped(scored, run.config.target_count).drop("quality_score"), "pipeline-kept")
     split = quality.split(made, "id", run.config.train_test_split)
     return {name: formats.formatter(name)(made).join(split, "id") for name in run.config.formats}
 
@@ -84,9 +98,9 @@ def _quality(run: Run) -> dict[str, DataFrame]:
 REGISTRY: dict[str, Callable[[Run], dict[str, DataFrame]]] = dict(zip(STEPS, (_pages, _documents, _conversations, _dataset, _quality), strict=True))
 
 
-def run_steps(spark: SparkSession, config: PipelineConfig, sections: list[str] | None = None) -> Run:
+def run_steps(spark: SparkSession, config: PipelineConfig, sections: list[str] | None = None, generator: generate.Generator | None = None) -> Run:
     """The tables of the configured steps, in their order; a step needs those before it."""
-    run = Run(spark, config, sections=sections)
+    run = Run(spark, config, sections=sections, generator=generator)
     for name in config.steps:
         if name not in REGISTRY:
             raise ValueError(f"step {name!r} doesn't exist")
@@ -96,13 +110,19 @@ def run_steps(spark: SparkSession, config: PipelineConfig, sections: list[str] |
 
 
 def write_outputs(run: Run) -> list[str]:
-    """Write each layout as JSON Lines, a folder a split; returns the folders."""
+    """Write each layout as JSON Lines, a folder a split; returns the folders. A layout that takes longer than the batch timeout is an error."""
     out = []
     for name in run.config.formats:
         if name in run.tables:
-            path = f"{run.config.output_directory}/{name}"
-            files.write_json_lines(run.tables[name], path, "split")
+            path, metrics = f"{run.config.output_directory}/{name}", Metrics(name)
+            watched = metrics.watch(run.tables[name])
+            within(run.spark, run.config.batch.batch_timeout, lambda watched=watched, path=path: files.write_json_lines(watched, path, "split"))
             out.append(path)
+            log.info("layout %s: %s rows written, %s of %s layouts done", name, metrics.get()["rows"], len(out), len(run.config.formats))
+    if "neighbours" in run.tables:
+        path = f"{run.config.output_directory}/neighbours"
+        files.write_json_lines(run.tables["neighbours"], path)
+        out.append(path)
     if "alpaca" in run.tables and run.sections is None:
         # Only a run over all sections writes statistics.
         stats = validate.dataset_stats(run.tables["alpaca"].withColumn("section", F.substring_index("id", "/", 1)), "section")

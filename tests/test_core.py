@@ -17,7 +17,7 @@ from loomline.functions.text import corrected, preview, token_count
 from loomline.operators import formats, monitor, quality, validate, vectors
 from loomline.operators.deliveries import latest
 from loomline.operators.ranks import running_number
-from loomline.plans import config, logs, timeouts
+from loomline.plans import config, logs, scratch, timeouts
 from loomline.plans.steps import run_steps
 from loomline.sources import files
 
@@ -99,13 +99,15 @@ def test_similar_pairs_against_brute_force(spark):
         texts += [" ".join(edited), " ".join(words), " ".join(words[:60])]
     texts += [None, "", "short text", "short text"]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
-    grams = lambda t: {tuple(t.split()[i : i + 8]) for i in range(len(t.split()) - 7)}
+    texts += ["two words", "two  words", "Two words"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    grams = lambda t: {tuple(t.lower().split()[i : i + 5]) for i in range(max(1, len(t.split()) - 4))} if t.split() else set()
     first = {t: i for i, t in reversed(list(enumerate(texts)))}
     reps = [i for t, i in first.items() if t and grams(t)]
     want = {(a, b) for a in reps for b in reps if a < b and len(grams(texts[a]) & grams(texts[b])) > 0.8 * len(grams(texts[a]) | grams(texts[b]))}
     assert {(r["a"], r["b"]) for r in quality.similar_pairs(df, above=0.8).collect()} == want and want
     kept = {r["doc_id"] for r in quality.without_similar(df, above=0.8).collect()}
-    assert kept == {i for t, i in first.items() if t is not None and i not in {b for _, b in want}} | {len(texts) - 4}
+    assert kept == {i for t, i in first.items() if t is not None and i not in {b for _, b in want}} | {len(texts) - 7}
     assert quality.similar_pairs(df.limit(0)).count() == 0
 
 
@@ -214,6 +216,74 @@ def test_thresholds_decide_what_is_written(spark, tmp_path):
     assert json.loads((tmp_path / "out/funnel.json").read_text())["n_unlike"] == 2
 
 
+def test_batch_settings_vectors_sidecars_and_scores_reach_the_run(spark, tmp_path):
+    root = tmp_path / "pages"
+    root.mkdir()
+    _pages(root)
+    side = tmp_path / "side/grid"
+    side.mkdir(parents=True)
+    (side / "page_003.json").write_text("{}")
+    spark.createDataFrame([(0, [1.0, 0.0]), (1, [1.0, 0.1]), (2, [0.0, 1.0])], "vec_id bigint, embedding array<float>").write.parquet(str(tmp_path / "vectors"))
+    settings = tmp_path / "c.yaml"
+    settings.write_text(
+        f"md_staging_path: {root}\nmd_output_path: {tmp_path}/none\noutput_directory: {tmp_path}/out\nformats: [alpaca]\nlog_file: {tmp_path}/run.log\nsidecar_path: {tmp_path}/side\n"
+        f"vectors_path: {tmp_path}/vectors\ntop_k: 1\nmax_concurrent: 2\nmax_retries: 1\nretry_delay: 0.0\nbatch_timeout: 120.0\n"
+    )
+    cfg = config.load_config(str(settings))
+    assert (cfg.batch.max_concurrent, cfg.batch.max_retries, cfg.batch.batch_timeout, cfg.problems()) == (2, 1, 120.0, [])
+    run = run_steps(spark, cfg, generator=generate.Client().generator())
+    assert [(r["section"], r["page"]) for r in run.tables["pages"].collect()] == [("grid", 3)]
+    assert run.tables["conversations"].first()["conversations"][1]["sender"] == "gpt" and run.tables["alpaca"].count() == 1
+    assert [(r["query_id"], r["vec_id"]) for r in run.tables["neighbours"].collect()] == [(0, 1)]
+    assert main(["generate", "--config", str(settings)]) == 0
+    assert "1 rows written" in (tmp_path / "run.log").read_text() and spark.read.json(f"{tmp_path}/out/neighbours").count() == 1
+    settings.write_text("batch_size: 1\n")
+    assert main(["validate-config", "--config", str(settings)]) == 1
+
+
+def test_client_counts_its_requests():
+    def down(messages):
+        raise OSError("no server")
+
+    client, broken = generate.Client(), generate.Client(down)
+    assert client.test_connection() and client.chat_completion([{"role": "user", "content": "two words"}]) == {"content": "two words", "tokens_used": 2, "finish_reason": "stop"}
+    assert not broken.test_connection()
+    assert client.get_stats() == {"total_requests": 2, "successful_requests": 2, "failed_requests": 0, "success_rate": 100.0}
+    assert broken.get_stats() == {"total_requests": 1, "successful_requests": 0, "failed_requests": 1, "success_rate": 0.0} and generate.Client().get_stats()["success_rate"] == 0.0
+
+
+def test_whole_file_validation(spark, tmp_path, capsys):
+    path = tmp_path / "d.json"
+    assert files.validate_file(spark, str(path)) == (False, {})
+    rows = [{"instruction": "i", "input": None, "output": "a Grid", "tools": ["{}"], "tool_calls": [{"function": {"name": "f"}}]}, {"instruction": "i", "output": "Basic Grid Configuration"}]
+    path.write_text(json.dumps(rows))
+    sound, found = files.validate_file(spark, str(path))
+    assert sound and [tuple(r) for r in found["tool_usage"].collect()] == [("f", 1)]
+    assert tuple(found["validity"].first()) == (1, 10, 2) and found["component_counts"].first()["n_grid"] == 2 and found["previews"].count() == 2
+    path.write_text(json.dumps(rows)[:-5])
+    assert files.validate_file(spark, str(path))[0] is False
+    # A fault far from the start is found as well.
+    path.write_text("[" + ", ".join([json.dumps(rows[0])] * 3000) + ', {"instruction": ]')
+    assert files.read_dataset(spark, str(path)) is None
+    stats = validate.dataset_stats(spark.createDataFrame([("ab", "c", "s")], "instruction string, output string, section string"), "section")
+    assert validate.printed_means(stats) == "samples: 1, mean instruction length: 2.0, mean output length: 1.0"
+
+
+def test_a_cluster_without_shared_folder_is_an_error():
+    class Fake:
+        class sparkContext:  # noqa: N801
+            master = "spark://host:7077"
+
+            @staticmethod
+            def getConf():  # noqa: N802
+                return {}
+
+        conf = {}
+
+    with pytest.raises(RuntimeError):
+        scratch.scratch_dir(Fake)
+
+
 def test_dataset_files(spark, tmp_path):
     path = tmp_path / "d.json"
     assert files.read_dataset(spark, str(path)) is None

@@ -71,6 +71,7 @@ _CAMEL = re.compile(r"[a-z0-9][A-Z]")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 _NAMES = re.compile(r"\s*(?:[-*+]\s+|[^\W\d_][\w ]{0,40}:\s*)?`?[A-Z][a-z0-9]+[A-Z]\w*`?(?:\s*,\s*`?[A-Z][a-z0-9]+[A-Z]\w*`?)*\s*")
 _END = frozenset(FINAL_MARKS)
+_STOPS = frozenset(".!?。！？｡")
 _H = xxhash.xxh64_intdigest
 
 
@@ -210,9 +211,14 @@ def _last_words(text: str, n: int) -> list[str]:
 
 def structure(text: str | None, instruction: str | None = None) -> int:
     """WHOLE, CUT or OPEN, as far as the text's own structure tells."""
-    if text is None or is_empty(text):
+    if text is None:
         return WHOLE
     bare = text.rstrip()
+    # Most texts end in a final mark and have neither blocks nor table rows at their end: nothing below says otherwise of them.
+    if bare[-1:] in _STOPS and "```" not in text and "~~~" not in text and bare[-2:-1] not in _STOPS and _last_line(bare).lstrip()[:1] not in ("|", "<"):
+        return WHOLE
+    if is_empty(text):
+        return WHOLE
     if ("```" in text or "~~~" in text) and (len(_FENCE.findall(text)) % 2 or bare.count("```") % 2):
         return CUT
     if bare.endswith("```"):

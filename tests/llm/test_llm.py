@@ -236,6 +236,15 @@ def test_defects(prompt, response, want):
     assert pairs.defect(prompt, response) == want
 
 
+def test_languages_without_function_words_are_other(spark):
+    english = [" ".join(random.Random(i).sample(SENTENCES, 3)) for i in range(200)]
+    rows = [(i, f"How do I use the panel number {i} of the grid with a filter?", t) for i, t in enumerate(english)]
+    foreign = {1000: "Mřížka zobrazuje všechny řádky tabulky, pokud uživatel nezmění nastavení stránky nebo neodstraní sloupec.", 1001: "A táblázat minden sorát megjeleníti, kivéve ha a felhasználó megváltoztatja az oldal beállításait.", 1002: "Bảng hiển thị tất cả các hàng trừ khi người dùng thay đổi cài đặt của trang hoặc xóa một cột."}
+    rows += [(k, "How do I use the panel of the grid with a filter?", t) for k, t in foreign.items()] + [(2000, "How do I use the panel of the grid with a filter?", "Open windows list; items reorder; totals follow group rows; sizes round up.")]
+    got = {r["sample_id"]: r["defect"] for r in pairs.broken_pairs(frame(spark, *rows)).collect()}
+    assert {k for k, d in got.items() if d == "other_language"} == set(foreign)
+
+
 def test_refusals_are_aligned_by_token():
     for response in ("I'm sory, but I cant help with the grid.", "I am really not able to answer that.", "Lo siento, no puedo respondr a eso."):
         assert pairs.defect("How do I sort the grid by two columns?", response) == "refusal", response

@@ -44,7 +44,7 @@ WHOLE, CUT, OPEN = 0, 1, 2
 SHINGLE = 5
 SIMILARITY = 0.8
 #: Bands of MinHash values over a stretch: a pair of the wanted similarity shares one with probability 0.998.
-BANDS, ROWS = 12, 4
+BANDS, ROWS = 9, 3
 #: Words before the last one that must be equal in both texts.
 SEAM = 3
 #: Bits of the map of wanted bands: 8 MB, however large the corpus.

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from loomline.operators.ranks import running_number
+from loomline.operators.ranks import percentiles, running_number
 
 
 def batches(df: DataFrame, size: int = 32, key: str = "doc_id") -> DataFrame:
@@ -44,8 +44,9 @@ def throughput(df: DataFrame, width: str = "1 hour", time: str = "ts", group: st
 
 def value_percentiles(df: DataFrame, width: str = "1 day", time: str = "ts", value: str = "value") -> DataFrame:
     """``started, n_events, p50, p95`` of a measured value in tumbling windows."""
-    out = df.groupBy(F.window(F.col(time), width).alias("w")).agg(F.count("*").alias("n_events"), F.percentile(value, 0.5).alias("p50"), F.percentile(value, 0.95).alias("p95"))
-    return out.select(F.col("w.start").alias("started"), "n_events", "p50", "p95")
+    own = df.select(F.window(F.col(time), width)["start"].alias("started"), F.col(value).alias("value"))
+    counted = own.groupBy("started").agg(F.count("*").alias("n_events"))
+    return counted.join(percentiles(own, "value", {"p50": 0.5, "p95": 0.95}, "started"), "started").select("started", "n_events", "p50", "p95")
 
 
 def sessions(df: DataFrame, gap_s: int = 1800, time: str = "ts", user: str = "user_id") -> DataFrame:

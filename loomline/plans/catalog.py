@@ -11,6 +11,7 @@ from loomline.functions import generate
 from loomline.functions.text import FENCE_LANGUAGES, corrected, token_count
 from loomline.operators import formats, monitor, nested, pages, quality, validate, vectors
 from loomline.operators.deliveries import latest
+from loomline.operators.ranks import percentiles
 from loomline.sources.tables import documents, samples, table
 from loomline.streaming.monitor import streamed_throughput
 
@@ -248,7 +249,10 @@ def text_stats(spark: SparkSession, d: str) -> DataFrame:
 
 @_query("SELECT lang, count(*) AS n, quantile_cont(n_chars, 0.5) AS p50, quantile_cont(n_chars, 0.95) AS p95, max(n_chars) AS longest FROM documents GROUP BY lang")
 def length_percentiles(spark: SparkSession, d: str) -> DataFrame:
-    return documents(spark, d).groupBy("lang").agg(F.count("*").alias("n"), F.percentile("n_chars", 0.5).alias("p50"), F.percentile("n_chars", 0.95).alias("p95"), F.max("n_chars").alias("longest"))
+    own = documents(spark, d).select("lang", "n_chars")
+    counted = own.groupBy("lang").agg(F.count("*").alias("n"), F.max("n_chars").alias("longest")).alias("c")
+    found = percentiles(own, "n_chars", {"p50": 0.5, "p95": 0.95}, "lang").alias("p")
+    return counted.join(found, F.col("c.lang").eqNullSafe(F.col("p.lang"))).select("c.lang", "n", "p50", "p95", "longest")
 
 
 @_query("SELECT source, lang, count(*) AS n_documents, sum(n_chars)::BIGINT AS n_chars, (grouping(source) * 2 + grouping(lang))::BIGINT AS grouped FROM documents GROUP BY ROLLUP (source, lang)")

@@ -241,6 +241,18 @@ def test_batch_settings_vectors_sidecars_and_scores_reach_the_run(spark, tmp_pat
     assert main(["validate-config", "--config", str(settings)]) == 1
 
 
+def test_percentiles_of_large_and_small_groups(spark, monkeypatch):
+    from loomline.operators import ranks
+
+    monkeypatch.setattr(ranks, "WHOLE", 1000)
+    rng = random.Random(1)
+    rows = [("big", round(rng.gauss(0, 1), 3)) for _ in range(40_000)] + [("tied", 7.0)] * 5000 + [("tied", float(i)) for i in range(2000)] + [("small", float(i)) for i in (5, 1, 9, 2)] + [("one", 3.0), ("none", None), (None, 1.0), (None, 2.0)]
+    df = spark.createDataFrame(rows, "g string, x double")
+    got = {r["g"]: (r["p50"], r["p95"], r["p1"]) for r in ranks.percentiles(df, "x", {"p50": 0.5, "p95": 0.95, "p1": 1.0}, "g").collect()}
+    want = {r["g"]: (r["p50"], r["p95"], r["p1"]) for r in df.groupBy("g").agg(F.percentile("x", 0.5).alias("p50"), F.percentile("x", 0.95).alias("p95"), F.percentile("x", 1.0).alias("p1")).collect()}
+    assert set(got) == set(want) and all(a == b or abs(a - b) < 1e-9 for k in want for a, b in zip(got[k], want[k], strict=True))
+
+
 def test_client_counts_its_requests():
     def down(messages):
         raise OSError("no server")

@@ -46,3 +46,16 @@ def health(spark: SparkSession) -> dict[str, str]:
         return {"status": "success" if spark.range(1).count() == 1 else "failed"}
     except Exception as e:  # noqa: BLE001 - a broken session may raise anything
         return {"status": "failed", "reason": str(e)[:200]}
+
+
+def resources(spark: SparkSession) -> dict[str, float]:
+    """Executors (the driver's own counts as one), their storage memory in all and what of it is free, and the driver's peak memory, in bytes."""
+    import resource
+
+    status = spark.sparkContext._jsc.sc().getExecutorMemoryStatus().values().iterator()
+    each = []
+    while status.hasNext():
+        pair = status.next()
+        each.append((pair._1(), pair._2()))
+    peak = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss * 1024
+    return {"executors": len(each), "memory": sum(a for a, _ in each), "free": sum(b for _, b in each), "driver_peak": peak}

@@ -90,5 +90,5 @@ def write_stats(stats: DataFrame, path: str) -> None:
 
 
 def compact_pages(pages: DataFrame, path: str) -> None:
-    """Many small pages as Parquet, a folder a section, so that later scans read only the sections they want."""
-    pages.repartition("section").write.mode("overwrite").partitionBy("section").parquet(path)
+    """Many small pages as Parquet, a folder a section, so that later scans read only the sections they want. A section is spread over several tasks, however large."""
+    pages.repartition(F.col("section"), F.pmod(F.xxhash64("path"), F.lit(16))).write.mode("overwrite").partitionBy("section").parquet(path)

@@ -253,6 +253,11 @@ def test_percentiles_of_large_and_small_groups(spark, monkeypatch):
     assert set(got) == set(want) and all(a == b or abs(a - b) < 1e-9 for k in want for a, b in zip(got[k], want[k], strict=True))
 
 
+def test_resources(spark):
+    got = logs.resources(spark)
+    assert got["executors"] == 1 and 0 < got["free"] <= got["memory"] and got["driver_peak"] > 0
+
+
 def test_client_counts_its_requests():
     def down(messages):
         raise OSError("no server")

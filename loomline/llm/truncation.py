@@ -15,7 +15,9 @@ evidence comes in this order:
 2. *Structure*: an open code fence, a table row without its closing bar, an empty list item, an open
    bracket or a trailing comma can't end a text.
 3. *Closing-word terminality*: how often the closing words (up to three, names and numbers generalised)
-   end a sentence within the whole corpus. Words never seen before the end of a text are fragments.
+   end a sentence within the whole corpus. Words never seen before the end of a text are fragments. A text's own
+   open end is no evidence, with dots after it or without: else the fragments that cuts leave before dots would count as
+   ends, more of them the larger the corpus. Dots end a text where the words before the last one mostly lead to it and dots.
 
 The contexts and seams that any open text asks for are marked in a bitmap of fixed size, so that the pass over
 the corpus counts only what may be asked for; what the bitmap lets pass without need is left by the joins.
@@ -65,7 +67,8 @@ _DOTS = re.compile(r"(?:\.{3,}|…)\Z")
 MOST_WORDS = 8
 _MARKUP = re.compile(r"```[\w#+.-]*|</?\w+[^<>]*>")
 _FENCE = re.compile(r"^[ \t]*(```+|~~~+)", re.M)
-_CODE = re.compile(r"```.*?(?:```|\Z)", re.S)
+#: A fence that names its language opens a block: it doesn't close one that was cut open.
+_CODE = re.compile(r"```.*?(?:```(?!(?<=\n```)[\w#+.-]+[ \t]*(?:\n|\Z))|\Z)", re.S)
 _TOKEN = re.compile(r"[぀-ヿ一-鿿]|\w+|[.!?…。！？｡]+|\n+|[^\s\w]")
 _CAMEL = re.compile(r"[a-z0-9][A-Z]")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
@@ -73,6 +76,7 @@ _NAMES = re.compile(r"\s*(?:[-*+]\s+|[^\W\d_][\w ]{0,40}:\s*)?`?[A-Z][a-z0-9]+[A
 _END = frozenset(FINAL_MARKS)
 _STOPS = frozenset(".!?。！？｡")
 _H = xxhash.xxh64_intdigest
+_DOT = np.uint64(_H("\x05"))
 
 
 def _norm(token: str) -> str:
@@ -255,7 +259,7 @@ def structure(text: str | None, instruction: str | None = None) -> int:
 
 
 def closing_keys(text: str) -> list[int]:
-    """Hashes of the closing contexts: of three, two and one words; for a name also its last parts."""
+    """Hashes of the closing contexts: of three, two and one words; for a name also its last parts; before dots those of dotted ends."""
     tokens = _TOKEN.findall(_prose(text))
     while tokens and not _is_word(tokens[-1]):
         tokens.pop()
@@ -271,9 +275,30 @@ def closing_keys(text: str) -> list[int]:
     parts = _PART.findall(tokens[-1]) if norms[-1] == "\x01name" else []
     keys.append(int(_H("\x02" + parts[-1])) if parts else 0)
     keys.append(int(_H("\x03" + parts[-2] + " " + parts[-1])) if len(parts) > 1 else 0)
+    # Dots at the end of the text: how often the same words end in dots, and how often the words before the last one stand at all.
+    dotted = _DOTS.search(text.rstrip()) is not None
+    for k in (3, 2):
+        keys += (int(_dotted(_context(one[-k:])[None])[0]), int(_context(one[-k:-1]))) if dotted and len(one) >= k else (0, 0)
     return keys
 
 
+def _dotted(contexts: np.ndarray) -> np.ndarray:
+    """Hashes of the contexts that end a text before dots."""
+    return mix(contexts ^ _DOT)
+
+
+def _open_end(tokens: list[str]) -> int:
+    """The place of a last word that only dots for what is left out follow; -1 if there is none."""
+    if not tokens or not _DOTS.fullmatch(tokens[-1]):
+        return -1
+    for i in range(len(tokens) - 2, -1, -1):
+        if _is_word(tokens[i]):
+            return i
+        if tokens[i][0] in _END:
+            return -1
+    return -1
+
+
 def _context(h: np.ndarray) -> np.uint64:
     out = np.zeros(1, np.uint64)
     for x in h:
@@ -422,8 +447,12 @@ def _pass(wanted: np.ndarray, banded: np.ndarray):  # type: ignore[no-untyped-de
         for pdf in chunks(batches, "body"):
             numbers: list[int] = []
             last: list[int] = []
+            dotted: list[int] = []
             for text in pdf["body"]:
-                numbers += lexicon.numbers(_TOKEN.findall(_prose(text).rstrip()))
+                tokens = _TOKEN.findall(_prose(text).rstrip())
+                if (open_end := _open_end(tokens)) >= 0:
+                    dotted.append(len(numbers) + open_end)
+                numbers += lexicon.numbers(tokens)
                 last.append(len(numbers) - 1)
                 numbers += (0, 0, 0)  # no context reaches over two texts
             at = np.array(numbers)
@@ -433,7 +462,7 @@ def _pass(wanted: np.ndarray, banded: np.ndarray):  # type: ignore[no-untyped-de
             if len(seams):
                 yield seams.assign(n=None, n_ends=None)
             used = kind == 1
-            used[np.array(last)] = False  # an open end is no evidence
+            used[np.array(last)] = used[dotted] = False  # an open end is no evidence, with dots or without
             end = np.zeros(len(at), bool)
             end[:-1] = used[:-1] & (kind[1:] == 2)
             c = np.zeros(len(h), np.uint64)
@@ -441,6 +470,9 @@ def _pass(wanted: np.ndarray, banded: np.ndarray):  # type: ignore[no-untyped-de
                 m = len(h) - k + 1
                 c = mix(c[:m] ^ h[k - 1 :])
                 add(c[used[k - 1 :]], None, end[k - 1 :][used[k - 1 :]])
+                if k > 1 and dotted:
+                    ended = _dotted(c[np.array([i for i in dotted if i >= k - 1], np.int64) - k + 1])
+                    add(ended, None, np.zeros(len(ended), bool))
             lexicon.saw(at[used])
             if len(lexicon.hash) > lexicon.room:
                 add(*lexicon.name_parts())
@@ -548,7 +580,7 @@ def truncation(
     counts = passed.where("partner is null").groupBy("key").agg(F.sum("n").alias("places"), F.sum("n_ends").alias("ends"))
     asks = scan.where(F.col("status") == OPEN).select("row", F.posexplode("closing").alias("k", "key")).where(F.col("key") != 0)
     got = asks.join(counts, "key", "left").withColumns({"places": F.coalesce("places", F.lit(0)), "ends": F.coalesce("ends", F.lit(0))})
-    found = got.groupBy("row").agg(*[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(5) for c in ("places", "ends")])
+    found = got.groupBy("row").agg(*[F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}") for k in range(9) for c in ("places", "ends")])
 
     def of(k: int, least: int):  # type: ignore[no-untyped-def]
         return F.when(F.col(f"places{k}") >= least, F.col(f"ends{k}") / F.col(f"places{k}"))
@@ -556,7 +588,9 @@ def truncation(
     # The name's own parts say whether the last word is whole; the words before it whether it may end.
     context = F.when(F.col("places2").isNull(), F.lit(1.0)).otherwise(F.coalesce(of(0, LEAST_SEEN), of(1, LEAST_SEEN), of(2, LEAST_SEEN), F.lit(0.0)))
     whole_name = F.when(F.col("places3").isNull(), F.lit(1.0)).otherwise(F.coalesce(of(4, LEAST_SEEN), of(3, LEAST_SEEN), F.lit(0.0)))
-    scores = found.select("row", F.least(context, whole_name).alias("terminality"))
+    # Dots may end a text where the words before the last one mostly lead to it and the dots.
+    left_out = F.coalesce(*[F.when(F.col(f"places{k + 1}") >= LEAST_SEEN, F.col(f"places{k}") / F.col(f"places{k + 1}")) for k in (5, 7)], F.lit(0.0))
+    scores = found.select("row", F.greatest(F.least(context, whole_name), left_out).alias("terminality"))
 
     # A copy that ends its sentence here doesn't close an open fence or bracket.
     settled = (F.col("aligned") == CUT) | (F.col("aligned").isNotNull() & (F.col("status") == OPEN))

@@ -183,6 +183,22 @@ def test_others_of_a_bucket_follow_where_the_first_is_too_unlike(spark):
     assert got[1] == (True, "alignment")
 
 
+def test_cuts_with_dots_are_no_evidence_of_an_end(spark):
+    whole = corpus(200)
+    rows = [(i, "How?", t) for i, t in enumerate(whole)]
+    # The same fragment before dots again and again, as in any large table, and the same cut without dots.
+    rows += [(1000 + i, "How?", f"{t} Users may reord...") for i, t in enumerate(whole[:12])] + [(1100 + i, "How?", f"{t} Users may reord") for i, t in enumerate(whole[12:24])]
+    rows += [(1200 + i, "How?", f"{t} To finish, open the menu {i} and choose Browse…") for i, t in enumerate(whole[24:44])]
+    got = {r["sample_id"] for r in truncation.truncation(frame(spark, *rows)).where("truncated").collect()}
+    assert got == {*range(1000, 1012), *range(1100, 1112)}
+
+
+def test_a_block_cut_open_is_not_closed_by_the_next_one():
+    text = "Set it.\n```cs\nvar book = new X(\nSet it.\n```cs\nvar book = new X(book);\n```\nDone now"
+    assert truncation._prose_words(text) == ["set", "it", "done", "now"]
+    assert truncation._prose_words("a\n```cs\nvar x;\n```\nb\n```\ny\n```\nc") == ["a", "b", "c"]
+
+
 def test_emptiness_knows_no_length():
     for text in ("```csharp\n" * 9, "<p></p>" * 40, "```\n```\n" * 30):
         assert truncation.is_empty(text) and pairs.defect("How do I sort the grid?", text) == "empty" and truncation.structure(text) == truncation.WHOLE

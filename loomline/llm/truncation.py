@@ -55,6 +55,8 @@ BAND_BITS = 2**26
 LEAST_SEEN = 5
 #: A context that ends a sentence in a smaller share of its places is no end.
 LEAST_TERMINAL = 0.08
+#: Dots are an end where at least this share of the places of the words before lead to the last word and dots.
+LEAST_DOTTED = 0.5
 
 # Marks that end a sentence, and what may close after them.
 FINAL_MARKS = ".!?…。！？｡"
@@ -590,6 +592,7 @@ def truncation(
     whole_name = F.when(F.col("places3").isNull(), F.lit(1.0)).otherwise(F.coalesce(of(4, LEAST_SEEN), of(3, LEAST_SEEN), F.lit(0.0)))
     # Dots may end a text where the words before the last one mostly lead to it and the dots.
     left_out = F.coalesce(*[F.when(F.col(f"places{k + 1}") >= LEAST_SEEN, F.col(f"places{k}") / F.col(f"places{k + 1}")) for k in (5, 7)], F.lit(0.0))
+    left_out = F.when(left_out >= LEAST_DOTTED, left_out).otherwise(0.0)
     scores = found.select("row", F.greatest(F.least(context, whole_name), left_out).alias("terminality"))
 
     # A copy that ends its sentence here doesn't close an open fence or bracket.

@@ -261,6 +261,14 @@ def test_languages_without_function_words_are_other(spark):
     assert {k for k, d in got.items() if d == "other_language"} == set(foreign)
 
 
+def test_pairs_cut_before_dots_stay_truncated_however_many_they_are(spark):
+    whole = corpus(120)
+    rows = [(i, "How do I use the panel of the grid with a filter?", t) for i, t in enumerate(whole)]
+    rows += [(1000 + i, r[1], f"{r[2]} Users may reord{'...' if i % 2 else ''}") for i, r in enumerate(rows[:24])]
+    got = {r["sample_id"]: r["defect"] for r in pairs.broken_pairs(frame(spark, *rows)).collect()}
+    assert got == {1000 + i: "truncated" for i in range(24)}
+
+
 def test_refusals_are_aligned_by_token():
     for response in ("I'm sory, but I cant help with the grid.", "I am really not able to answer that.", "Lo siento, no puedo respondr a eso."):
         assert pairs.defect("How do I sort the grid by two columns?", response) == "refusal", response

@@ -11,7 +11,7 @@ impossibility is kept.
 
 The language of prose is told by script and by function words, with names, numbers and code left out. Prose that
 these don't tell is held against profiles of letter trigrams, one for each language the corpus' own prompts and responses are written in, trained
-on a bounded sample of them: text that is less likely under each profile than almost all text of its language is in an ``other`` one.
+on all of them: text that is less likely under each profile than almost all text of its language is in an ``other`` one.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.shingles import mix
+from loomline.llm.shingles import chunks, mix
 from loomline.llm.truncation import is_empty, truncation
 from loomline.plans.scratch import materialize
 
@@ -36,8 +36,8 @@ ALIGNED = 0.8
 #: Words shorter than this must be spelt as in the template.
 SPELT = 4
 LEAST_WORDS = 4
-#: Texts to train and to calibrate the profiles on; the only use of a sample.
-PROFILE_ROWS = 8000
+#: Width of the steps in which scores are counted, in nats a trigram.
+STEP = 1e-4
 #: Hash buckets of trigrams; languages with fewer texts to train on get no profile.
 PROFILE, LEAST_TEXTS = 2**13, 40
 #: Words and letter trigrams that tell enough to hold a text against the profiles.
@@ -348,7 +348,11 @@ def _prose(text: str) -> str:
 
 def _trigrams(prose: str) -> np.ndarray:
     """Hash buckets of the letter trigrams of the distinct words, each with a blank before and after it."""
-    codes = np.frombuffer(f" {' '.join(dict.fromkeys(_WORD.findall(prose)))} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    return _word_trigrams(" ".join(dict.fromkeys(_WORD.findall(prose))))
+
+
+def _word_trigrams(words: str) -> np.ndarray:
+    codes = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
     if len(codes) < 3:
         return np.zeros(0, np.int64)
     return (mix(codes[:-2] * np.uint64(0x10001) ^ (codes[1:-1] << np.uint64(21)) ^ (codes[2:] << np.uint64(42))) % np.uint64(PROFILE)).astype(np.int64)
@@ -374,30 +378,51 @@ class Profiles:
         return all(self.score(k, grams) < least - MARGIN for k, least in self.least.items())
 
 
-def train_profiles(df: DataFrame, prompt: str, response: str, rows: int = PROFILE_ROWS) -> Profiles:
-    """Profiles of the languages in Latin letters of at most ``rows`` prompts and responses, those with the smallest hashes; half trains, half calibrates.
+def _said(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Language and distinct prose words of each text in a language of Latin letters."""
+    for pdf in chunks(batches, "body"):
+        out = [(h, k, " ".join(dict.fromkeys(_WORD.findall(_prose(text))))) for h, text in zip(pdf["h"], pdf["body"], strict=True) if (k := language(text)) in _SETS]
+        yield pd.DataFrame(out, columns=["h", "lang", "words"]).astype({"h": "int64", "lang": "object", "words": "object"})
+
+
+def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Trigrams by language; bucket -1 counts the texts."""
+    total: dict[str, np.ndarray] = {}
+    texts: Counter[str] = Counter()
+    for pdf in batches:
+        for k, words in pdf.groupby("lang")["words"]:
+            total[k] = total.get(k, 0) + np.bincount(np.concatenate([_word_trigrams(w) for w in words]), minlength=PROFILE)
+            texts[k] += len(words)
+    for k, c in total.items():
+        at = np.nonzero(c)[0]
+        yield pd.DataFrame({"lang": k, "bucket": [-1, *at], "n": [texts[k], *c[at]]})
+
+
+def _rate(counts: dict[str, np.ndarray]):  # type: ignore[no-untyped-def]
+    """How many texts have which score, in steps of ``STEP``, under the profile that all other texts make."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        steps: Counter[tuple[str, int]] = Counter()
+        sums = {k: c.sum() for k, c in counts.items()}
+        for pdf in batches:
+            for k, words in zip(pdf["lang"], pdf["words"], strict=True):
+                if k in counts and len(grams := _word_trigrams(words)) >= TELLING_GRAMS:
+                    own, times = np.unique(grams, return_counts=True)
+                    score = float(times @ np.log(counts[k][own] - times + 0.5)) / len(grams) - np.log(sums[k] - len(grams) + 0.5 * PROFILE)
+                    steps[k, int(np.floor(score / STEP))] += 1
+        yield pd.DataFrame([(k, at, n) for (k, at), n in steps.items()], columns=["lang", "step", "n"]).astype({"lang": "object", "step": "int32", "n": "int64"})
+
+    return run
+
+
+def train_profiles(df: DataFrame, prompt: str, response: str) -> Profiles:
+    """Profiles of the languages in Latin letters of all prompts and responses, each distinct text once; each is held against what the others make.
 
-    Counts (languages x buckets) and one limit a language reach the driver, no texts.
+    Counts (languages x buckets) and histograms of scores in fixed steps reach the driver, no texts.
     """
     own = df.select(F.explode(F.array(prompt, response)).alias("body")).where(F.length("body") > 0).withColumn("h", F.xxhash64("body"))
-    share = min(1.0, rows / max(1, df.count()))
-    cut = min(int(-(2**63) + share * (2**64 - 1)), 2**63 - 1)
-    picked = own.where(F.col("h") <= F.lit(cut)).distinct().orderBy("h", "body").limit(rows)
-    picked = materialize(picked, "pairs-profiled").repartition(df.sparkSession.sparkContext.defaultParallelism)
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total: dict[str, np.ndarray] = {}
-        texts: Counter[str] = Counter()
-        for pdf in batches:
-            for text in pdf["body"]:
-                if (k := language(text)) in _SETS:
-                    total[k] = total.get(k, 0) + np.bincount(_trigrams(_prose(text)), minlength=PROFILE)
-                    texts[k] += 1
-        for k, c in total.items():
-            at = np.nonzero(c)[0]
-            yield pd.DataFrame({"lang": k, "bucket": [-1, *at], "n": [texts[k], *c[at]]})
-
-    got = picked.where("h % 2 = 0").mapInPandas(count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    said = materialize(own.mapInPandas(_said, "h bigint, lang string, words string").distinct().select("lang", "words"), "pairs-said")
+    got = said.mapInPandas(_count, "lang string, bucket int, n bigint").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     counts = {}
     for k, own_counts in got.groupby("lang"):
         if own_counts.loc[own_counts["bucket"] < 0, "n"].sum() >= LEAST_TEXTS:
@@ -405,17 +430,11 @@ def train_profiles(df: DataFrame, prompt: str, response: str, rows: int = PROFIL
             inside = own_counts[own_counts["bucket"] >= 0]
             counts[k][inside["bucket"]] = inside["n"]
     made = Profiles(counts)
-
-    def rate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = []
-            for text in pdf["body"]:
-                if (k := language(text)) in made.log and len(grams := _trigrams(_prose(text))) >= TELLING_GRAMS:
-                    out.append((k, made.score(k, grams)))
-            yield pd.DataFrame(out, columns=["lang", "score"]).astype({"lang": "object", "score": "float64"})
-
-    limits = picked.where("h % 2 <> 0").mapInPandas(rate, "lang string, score double").groupBy("lang").agg(F.percentile("score", FOREIGN).alias("least"), F.count("*").alias("n"))
-    made.least = {r["lang"]: r["least"] for r in limits.collect() if r["n"] >= LEAST_TEXTS}
+    rated = said.mapInPandas(_rate(counts), "lang string, step int, n bigint").groupBy("lang", "step").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    for k, steps in rated.sort_values("step").groupby("lang"):
+        upto = steps["n"].cumsum()
+        if upto.iloc[-1] >= LEAST_TEXTS:
+            made.least[k] = float(steps["step"][upto > FOREIGN * (upto.iloc[-1] - 1)].iloc[0]) * STEP
     return made
 
 

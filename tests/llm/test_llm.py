@@ -269,6 +269,14 @@ def test_pairs_cut_before_dots_stay_truncated_however_many_they_are(spark):
     assert got == {1000 + i: "truncated" for i in range(24)}
 
 
+def test_profiles_count_every_text_once(spark):
+    rows = [(i, f"How do I use the panel number {chr(97 + i % 26)}{chr(97 + i // 26 % 26)}{chr(97 + i // 676)} of the grid with a filter?", "The rows of the grid are sorted by the first column when it is loaded.") for i in range(9000)]
+    made = pairs.train_profiles(frame(spark, *rows, *rows[:50]), "instruction", "output")
+    want = sum(len(pairs._trigrams(pairs._prose(t))) for t in {x for r in rows for x in r[1:]})
+    counts = np.bincount(np.concatenate([pairs._trigrams(pairs._prose(t)) for t in {x for r in rows for x in r[1:]}]), minlength=pairs.PROFILE)
+    assert np.allclose(made.log["en"], np.log((counts + 0.5) / (want + 0.5 * pairs.PROFILE)), atol=1e-4)
+
+
 def test_refusals_are_aligned_by_token():
     for response in ("I'm sory, but I cant help with the grid.", "I am really not able to answer that.", "Lo siento, no puedo respondr a eso."):
         assert pairs.defect("How do I sort the grid by two columns?", response) == "refusal", response

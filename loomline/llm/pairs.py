@@ -18,15 +18,16 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
+from typing import Any
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from loomline.llm.shingles import chunks, mix
-from loomline.llm.truncation import is_empty, truncation
+from loomline.llm.shingles import LETTERS, chunks, mix, splitter, words_of
+from loomline.llm.truncation import MOST_WORDS, is_empty, truncation
 from loomline.plans.scratch import materialize
 
 DEFECTS = ("empty", "copied_question", "refusal", "other_language", "truncated")
@@ -42,6 +43,8 @@ STEP = 1e-4
 PROFILE, LEAST_TEXTS = 2**13, 40
 #: Words and letter trigrams that tell enough to hold a text against the profiles.
 TELLING_WORDS, TELLING_GRAMS = 8, 40
+#: Signs of texts whose trigrams are made at once, and texts whose own trigrams are counted at once, so that the arrays stay in a core's cache.
+GRAMS_AT_ONCE, TEXTS_AT_ONCE = 200_000, 32
 #: Share of a language's own texts that its profile takes for foreign, and how much less likely still a text must be (in nats a trigram).
 FOREIGN, MARGIN = 0.005, 1.0
 
@@ -100,7 +103,7 @@ FUNCTION_WORDS = {
     "id": "dan yang di untuk dengan dari pada ini itu tidak adalah ke atau setiap sebelum setelah saat".split(),
 }
 _SETS = {k: frozenset(v) for k, v in FUNCTION_WORDS.items()}
-_SPEAKS = {w: tuple(k for k, s in _SETS.items() if w in s) for v in FUNCTION_WORDS.values() for w in v}
+_SPEAKS: dict[str, tuple[str, ...]] = {w: tuple(k for k, s in _SETS.items() if w in s) for v in FUNCTION_WORDS.values() for w in v}
 # Names of languages as prompts ask for them.
 LANGUAGE_NAMES = {
     "en": ("english", "englisch", "anglais", "inglés", "영어"), "de": ("german", "deutsch", "allemand", "alemán", "독일어"), "fr": ("french", "französisch", "français", "francés", "프랑스어"),
@@ -117,23 +120,27 @@ _ASKS = [
 ]
 _CODE = re.compile(r"```.*?(?:```|\Z)|`[^`\n]*`", re.S)
 _NAME = re.compile(r"\b\w*[a-z0-9][A-Z]\w*\b|\b\w*[\d_]\w*\b")
-_WORD = re.compile(r"[^\W\d_]+")
 _TOKENS = re.compile(r"[^\W_]+")
-_WIDE = {k: re.compile(f"[{v}]") for k, v in (("ko", "\uac00-\ud7a3\u1100-\u11ff"), ("ja", "\u3040-\u30ff"), ("zh", "\u4e00-\u9fff"), ("ru", "\u0400-\u04ff"))}
-_LETTER = re.compile(r"[^\W\d_]")
-_ENDS = re.compile(r"(?<=[.!?。！？])\s+|\n+|\Z")
+_WIDE = {k: re.compile(f"[{v}]+") for k, v in (("ko", "\uac00-\ud7a3\u1100-\u11ff"), ("ja", "\u3040-\u30ff"), ("zh", "\u4e00-\u9fff"), ("ru", "\u0400-\u04ff"))}
+_ANY_WIDE = re.compile("[\u0400-\u04ff\u1100-\u11ff\u3040-\u30ff\u4e00-\u9fff\uac00-\ud7a3]")
+#: The end of a line, or a final mark before a blank, with the blanks after it.
+_ENDS = re.compile(r"[.!?。！？\n](?:(?<=\n)|(?=\s))\s*|\Z")
+_letters = splitter(LETTERS)
+_whole_words = splitter(re.compile(r"\w+"), lower=False)
 
 
 _NOTHING: frozenset[str] = frozenset()
 
 
-class _Near(dict):
-    """What is near each token, found once."""
+class _Found(dict):
+    """What is found for each token, found once; past ``room`` tokens it starts anew."""
 
-    def __init__(self, find: Callable[[str], frozenset[str]]) -> None:
-        self.find = find
+    def __init__(self, find: Callable[[str], Any], room: int = 200_000) -> None:
+        self.find, self.room = find, room
 
-    def __missing__(self, token: str) -> frozenset[str]:
+    def __missing__(self, token: str) -> Any:
+        if len(self) > self.room:
+            self.clear()
         got = self[token] = self.find(token)
         return got
 
@@ -145,6 +152,8 @@ class Templates:
         self.items = [self._parse(t) for t in (*refusals, *around)]
         self.declining = len(refusals)
         self.words = [frozenset(w for w, _ in items if w) for items in self.items]
+        # Without these, no alignment costs less than a template has tokens.
+        self.must = [frozenset(w for w in words if len(w) >= SPELT or w in NEGATIONS) for words in self.words]
         self.by_anchor: dict[str, list[int]] = {}
         for k, words in enumerate(self.words):
             for w in sorted(words, key=lambda w: (-len(w), w))[:2]:
@@ -156,8 +165,9 @@ class Templates:
                 for x in (w, *_one_less(w)):
                     self.shorter.setdefault(x, set()).add(w)
         self.all = frozenset().union(*self.words)
+        self.longest = max(map(len, self.all))
         self.stems = tuple(w for items in self.items for w, kind in items if kind)
-        self.known = _Near(self._near)
+        self.known = _Found(self._near)
 
     @staticmethod
     def _parse(t: str) -> list[tuple[str, str]]:
@@ -176,20 +186,20 @@ class Templates:
     def _near(self, token: str) -> frozenset[str]:
         """The template words that ``token`` is, or is but for one letter."""
         found = {token} & self.all
-        if len(token) >= SPELT:
+        if SPELT <= len(token) <= self.longest + 1:
             found |= {w for x in (token, *_one_less(token)) for w in self.shorter.get(x, ()) if _one_apart(token, w)}
-        return frozenset(found | {w for w in self.stems if token.startswith(w) or token.endswith(w)})
+        if token.startswith(self.stems) or token.endswith(self.stems):
+            found |= {w for w in self.stems if token.startswith(w) or token.endswith(w)}
+        return frozenset(found) if found else _NOTHING
 
     def scores(self, tokens: list[str]) -> tuple[float, float]:
         """The best score of an alignment of the whole sentence with a refusal, and with what goes with one."""
-        if len(self.known) > 200_000:
-            self.known.clear()
         near = list(map(self.known.__getitem__, tokens))
         have = _NOTHING.union(*near)
         best = [0.0, 0.0]
         for k in dict.fromkeys(k for w in have for k in self.by_anchor.get(w, ())):
             words = self.words[k]
-            if best[kind := k >= self.declining] < 1 and len(words & have) >= ALIGNED * len(words) - 1:
+            if best[kind := k >= self.declining] < 1 and self.must[k] <= have and len(words & have) >= ALIGNED * len(words) - 1:
                 best[kind] = max(best[kind], 1 - _cost(self.items[k], tokens, near) / len(words))
         return best[0], best[1]
 
@@ -239,7 +249,7 @@ _TEMPLATES = Templates([t for ts in REFUSALS.values() for t in ts], list(AROUND_
 
 
 def _tokens(text: str) -> list[str]:
-    return _TOKENS.findall(text.lower())
+    return words_of(text)
 
 
 def _common_subsequence(a: list[str], b: list[str]) -> int:
@@ -311,26 +321,22 @@ def language(text: str, tokens: list[str] | None = None) -> str | None:
     ``tokens`` are the text's words and numbers, for a caller that has them; they serve for texts without code and tables.
     """
     plain = tokens is not None and "`" not in text and "|" not in text
-    prose = _CODE.sub(" ", text) if "`" in text else text
-    if "|" in prose:
-        prose = "\n".join(x for x in prose.split("\n") if not x.lstrip().startswith("|"))
-    if not prose.isascii():
-        wide = {k: len(p.findall(prose)) * (1 if k == "ru" else 2) for k, p in _WIDE.items()}
-        if any(wide.values()):
-            # Names are spelt in Latin letters in every language.
-            others = len(_LETTER.findall(_NAME.sub(" ", prose))) - sum(v // (1 if k == "ru" else 2) for k, v in wide.items())
-            if sum(wide.values()) > others:
-                if wide["ja"] > 0.1 * (wide["zh"] + wide["ja"]) and wide["ja"] > wide["ko"]:
-                    return "ja"
-                return max(sorted(wide), key=lambda k: wide[k])
-    words = tokens if plain else _WORD.findall(prose.lower())
+    prose = _uncoded(text)
+    if not prose.isascii() and _ANY_WIDE.search(prose):
+        wide = {k: sum(map(len, p.findall(prose))) * (1 if k == "ru" else 2) for k, p in _WIDE.items()}
+        # Names are spelt in Latin letters in every language.
+        others = sum(len(w) for w in _whole_words(prose) if _PLAIN[w]) - sum(v // (1 if k == "ru" else 2) for k, v in wide.items())
+        if sum(wide.values()) > others:
+            if wide["ja"] > 0.1 * (wide["zh"] + wide["ja"]) and wide["ja"] > wide["ko"]:
+                return "ja"
+            return max(sorted(wide), key=lambda k: wide[k])
+    words = tokens if plain else _letters(prose)
     if len(words) < LEAST_WORDS:
         return None
     score = dict.fromkeys(_SETS, 0)
-    times = Counter(words)
-    for w in times.keys() & _SPEAKS.keys():
-        for k in _SPEAKS[w]:
-            score[k] += times[w]
+    for spoken in filter(None, map(_SPEAKS.get, words)):
+        for k in spoken:
+            score[k] += 1
     best = max(score, key=score.__getitem__)
     most = score[best]
     if most < max(2, 0.08 * len(words)) or list(score.values()).count(most) > 1:
@@ -338,24 +344,45 @@ def language(text: str, tokens: list[str] | None = None) -> str | None:
     return best
 
 
+def _uncoded(text: str) -> str:
+    """The text without code and tables."""
+    prose = _CODE.sub(" ", text) if "`" in text else text
+    return "\n".join(x for x in prose.split("\n") if not x.lstrip().startswith("|")) if "|" in prose else prose
+
+
 def _prose(text: str) -> str:
     """The text in lower case without code, tables, names and numbers."""
-    prose = _CODE.sub(" ", text) if "`" in text else text
-    if "|" in prose:
-        prose = "\n".join(x for x in prose.split("\n") if not x.lstrip().startswith("|"))
-    return _NAME.sub(" ", prose).lower()
+    return _NAME.sub(" ", _uncoded(text)).lower()
+
+
+#: In lower case the words that aren't names; nothing for those that are.
+_PLAIN = _Found(lambda word: "" if _NAME.fullmatch(word) else word.lower())
+
+
+def _distinct_words(text: str) -> str:
+    """The distinct words of :func:`_prose` in their order, with blanks between them."""
+    text = _uncoded(text)
+    if "\u03a3" in text or "\u0130" in text:  # one has a lower case by what is around it, the other one of two signs
+        return " ".join(dict.fromkeys(LETTERS.findall(_NAME.sub(" ", text).lower())))
+    words = dict.fromkeys(map(_PLAIN.__getitem__, _whole_words(text)))
+    words.pop("", None)
+    return " ".join(words)
 
 
 def _trigrams(prose: str) -> np.ndarray:
     """Hash buckets of the letter trigrams of the distinct words, each with a blank before and after it."""
-    return _word_trigrams(" ".join(dict.fromkeys(_WORD.findall(prose))))
+    return _word_trigrams([" ".join(dict.fromkeys(LETTERS.findall(prose)))])[0]
 
 
-def _word_trigrams(words: str) -> np.ndarray:
-    codes = np.frombuffer(f" {words} ".encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    if len(codes) < 3:
-        return np.zeros(0, np.int64)
-    return (mix(codes[:-2] * np.uint64(0x10001) ^ (codes[1:-1] << np.uint64(21)) ^ (codes[2:] << np.uint64(42))) % np.uint64(PROFILE)).astype(np.int64)
+def _word_trigrams(texts: Sequence[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Hash buckets of the letter trigrams of all texts, one after another, and the number of the text that each is of."""
+    # No trigram reaches over the line's end between two texts.
+    codes = np.frombuffer(f" {' \n '.join(texts)} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    ends = codes == 10
+    own = np.nonzero(~(ends[:-2] | ends[1:-1] | ends[2:]))[0]
+    signs = codes.astype(np.uint64)
+    grams = mix(signs[own] * np.uint64(0x10001) ^ (signs[own + 1] << np.uint64(21)) ^ (signs[own + 2] << np.uint64(42))) % np.uint64(PROFILE)
+    return grams.astype(np.int64), np.cumsum(ends)[own]
 
 
 class Profiles:
@@ -373,7 +400,7 @@ class Profiles:
         if not self.least:
             return False
         prose = _prose(text)
-        if len(_WORD.findall(prose)) < TELLING_WORDS or len(grams := _trigrams(prose)) < TELLING_GRAMS:
+        if len(LETTERS.findall(prose)) < TELLING_WORDS or len(grams := _trigrams(prose)) < TELLING_GRAMS:
             return False
         return all(self.score(k, grams) < least - MARGIN for k, least in self.least.items())
 
@@ -381,7 +408,7 @@ class Profiles:
 def _said(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Language and distinct prose words of each text in a language of Latin letters."""
     for pdf in chunks(batches, "body"):
-        out = [(h, k, " ".join(dict.fromkeys(_WORD.findall(_prose(text))))) for h, text in zip(pdf["h"], pdf["body"], strict=True) if (k := language(text)) in _SETS]
+        out = [(h, k, _distinct_words(text)) for h, text in zip(pdf["h"], pdf["body"], strict=True) if (k := language(text)) in _SETS]
         yield pd.DataFrame(out, columns=["h", "lang", "words"]).astype({"h": "int64", "lang": "object", "words": "object"})
 
 
@@ -389,27 +416,39 @@ def _count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Trigrams by language; bucket -1 counts the texts."""
     total: dict[str, np.ndarray] = {}
     texts: Counter[str] = Counter()
-    for pdf in batches:
+    for pdf in chunks(batches, "words", chars=GRAMS_AT_ONCE):
         for k, words in pdf.groupby("lang")["words"]:
-            total[k] = total.get(k, 0) + np.bincount(np.concatenate([_word_trigrams(w) for w in words]), minlength=PROFILE)
+            total[k] = total.get(k, 0) + np.bincount(_word_trigrams(words.tolist())[0], minlength=PROFILE)
             texts[k] += len(words)
     for k, c in total.items():
         at = np.nonzero(c)[0]
         yield pd.DataFrame({"lang": k, "bucket": [-1, *at], "n": [texts[k], *c[at]]})
 
 
+def _scores(counts: np.ndarray, texts: Sequence[str]) -> np.ndarray:
+    """Of each text with enough trigrams: its score under the profile that all others make."""
+    grams, text = _word_trigrams(texts)
+    size = np.bincount(text, minlength=len(texts))
+    # How often each trigram stands in its own text, for few texts at a time: the counts of a text are as many as buckets.
+    times = np.empty(len(grams), np.int64)
+    for first in range(0, len(texts), TEXTS_AT_ONCE):
+        own = slice(*np.searchsorted(text, [first, first + TEXTS_AT_ONCE]))
+        at = (text[own] - first) * PROFILE + grams[own]
+        times[own] = np.bincount(at, minlength=1)[at]
+    sums = np.bincount(text, weights=np.log(counts[grams] - times + 0.5), minlength=len(texts))
+    tell = np.nonzero(size >= TELLING_GRAMS)[0]
+    return sums[tell] / size[tell] - np.log(counts.sum() - size[tell] + 0.5 * PROFILE)
+
+
 def _rate(counts: dict[str, np.ndarray]):  # type: ignore[no-untyped-def]
     """How many texts have which score, in steps of ``STEP``, under the profile that all other texts make."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         steps: Counter[tuple[str, int]] = Counter()
-        sums = {k: c.sum() for k, c in counts.items()}
-        for pdf in batches:
-            for k, words in zip(pdf["lang"], pdf["words"], strict=True):
-                if k in counts and len(grams := _word_trigrams(words)) >= TELLING_GRAMS:
-                    own, times = np.unique(grams, return_counts=True)
-                    score = float(times @ np.log(counts[k][own] - times + 0.5)) / len(grams) - np.log(sums[k] - len(grams) + 0.5 * PROFILE)
-                    steps[k, int(np.floor(score / STEP))] += 1
+        for pdf in chunks(batches, "words", chars=GRAMS_AT_ONCE):
+            for k, words in pdf.groupby("lang")["words"]:
+                if k in counts:
+                    steps.update((k, at) for at in np.floor(_scores(counts[k], words.tolist()) / STEP).astype(int).tolist())
         yield pd.DataFrame([(k, at, n) for (k, at), n in steps.items()], columns=["lang", "step", "n"]).astype({"lang": "object", "step": "int32", "n": "int64"})
 
     return run
@@ -477,7 +516,8 @@ def is_other_language(prompt: str | None, response: str, asked: list[str], own:
 def defect(prompt: str | None, response: str | None, own: list[str] | None = None, profiles: Profiles | None = None) -> str | None:
     """The pair's own defect, without truncation; ``own`` are the response's words in lower case."""
     own = _tokens(response or "") if own is None else own
-    if is_empty(response):
+    # Many words without markup are no stand-in.
+    if (len(own) <= MOST_WORDS or "<" in response or "```" in response) and is_empty(response):
         return "empty"
     asked = _tokens(prompt or "")
     if is_copy(asked, own):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pandas as pd
@@ -11,9 +11,29 @@ import xxhash
 
 LETTERS_DIGITS = re.compile(r"[^\W_]+")
 LETTERS = re.compile(r"[^\W\d_]+")
+#: Word signs that Latin-1 doesn't have.
+_BEYOND = re.compile(r"[^\W\x00-\xff]")
 
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 _A, _B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+_INTS, _FULL = (int(_MIX), int(_A), int(_B)), 2**64 - 1
+
+
+def splitter(pattern: re.Pattern, lower: bool = True) -> Callable[[str], list[str]]:
+    """All that ``pattern``, a run of one kind of word signs, finds in a text (in lower case), by a table where Latin-1 has all word signs of the text."""
+    table = bytes(ord(c.lower() if lower else c) if pattern.fullmatch(c) else 32 for c in map(chr, range(256)))
+
+    def split(text: str) -> list[str]:
+        if not text.isascii() and _BEYOND.search(text):
+            return pattern.findall(text.lower() if lower else text)
+        # Other signs that Latin-1 doesn't have become question marks, which are no word signs either.
+        return text.encode("latin-1", "replace").translate(table).decode("latin-1").split()
+
+    return split
+
+
+#: The words and numbers of a text in lower case.
+words_of = splitter(LETTERS_DIGITS)
 
 
 class _Hashes(dict):
@@ -45,6 +65,15 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mix_one(x: int) -> int:
+    """The same scrambling of one value."""
+    add, a, b = _INTS
+    x = (x + add) & _FULL
+    x = ((x ^ (x >> 30)) * a) & _FULL
+    x = ((x ^ (x >> 27)) * b) & _FULL
+    return x ^ (x >> 31)
+
+
 def chunks(batches: Iterator[pd.DataFrame], column: str, rows: int = 2000, chars: int = 4_000_000) -> Iterator[pd.DataFrame]:
     """The same rows in smaller frames, so that the arrays made of a frame stay small."""
     for pdf in batches:

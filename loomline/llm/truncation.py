@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomline.llm.bitmap import among, bitmap
-from loomline.llm.shingles import LETTERS_DIGITS, WordHasher, chunks, mix
+from loomline.llm.shingles import LETTERS_DIGITS, WordHasher, chunks, mix, mix_one, words_of
 from loomline.operators.deliveries import latest
 from loomline.plans.scratch import materialize
 
@@ -74,11 +74,13 @@ _CODE = re.compile(r"```.*?(?:```(?!(?<=\n```)[\w#+.-]+[ \t]*(?:\n|\Z))|\Z)", re
 _TOKEN = re.compile(r"[぀-ヿ一-鿿]|\w+|[.!?…。！？｡]+|\n+|[^\s\w]")
 _CAMEL = re.compile(r"[a-z0-9][A-Z]")
 _PART = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
+_PARTS = re.compile(rf"{_PART.pattern}|\n")
 _NAMES = re.compile(r"\s*(?:[-*+]\s+|[^\W\d_][\w ]{0,40}:\s*)?`?[A-Z][a-z0-9]+[A-Z]\w*`?(?:\s*,\s*`?[A-Z][a-z0-9]+[A-Z]\w*`?)*\s*")
 _END = frozenset(FINAL_MARKS)
 _STOPS = frozenset(".!?。！？｡")
 _H = xxhash.xxh64_intdigest
 _DOT = np.uint64(_H("\x05"))
+_KINDS = {x: _H(x) for x in ("\x01number", "\x01name")}
 
 
 def _norm(token: str) -> str:
@@ -117,12 +119,10 @@ class _Lexicon:
         self._begin()
 
     def _begin(self) -> None:
-        self.known, self.part_of = _Known(self._add), _Known(self._add_part)
+        self.known = _Known(self._add)
         self.hash, self.kind, self.low, self.plain = [], [], [], []
-        self.part_hash: list[int] = []
-        # The parts of all names, one after another, then pairs of neighbours; and of each name its number and how many parts it has.
-        self.parts: list[int] = []
-        self.names: tuple[list[int], list[int]] = ([], [])
+        # Names and their numbers; their parts are told for all of them at once.
+        self.names: tuple[list[str], list[int]] = ([], [])
         self.often = np.zeros(self.room, np.int64)
         self.known[""]
 
@@ -133,22 +133,15 @@ class _Lexicon:
         n, low = len(self.hash), token.lower()
         plain = _H(low)
         norm = _norm(token)
-        self.hash.append(_H("\x04") if not token else plain if norm == low else _H(norm))
+        self.hash.append(_H("\x04") if not token else plain if norm == low else _KINDS[norm])
         self.low.append(low)
         self.plain.append(plain)
         self.kind.append(0 if not token else 1 if _is_word(token) else 2 if token[0] in _END or token[0] == "\n" else 0)
         if norm == "\x01name":
-            if found := _PART.findall(token):
-                self.parts += map(self.part_of.__getitem__, ["\x02" + x for x in found])
-                self.parts += map(self.part_of.__getitem__, [f"\x03{x} {y}" for x, y in zip(found, found[1:])])  # noqa: B905
-                self.names[0].append(n)
-                self.names[1].append(len(found))
+            self.names[0].append(token)
+            self.names[1].append(n)
         return n
 
-    def _add_part(self, key: str) -> int:
-        self.part_hash.append(_H(key))
-        return len(self.part_hash) - 1
-
     def saw(self, numbers: np.ndarray) -> None:
         if len(self.hash) > len(self.often):
             self.often = np.concatenate([self.often, np.zeros(len(self.hash), np.int64)])
@@ -156,15 +149,23 @@ class _Lexicon:
 
     def name_parts(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Key, places and ends of the parts of all names seen; what was seen is forgotten."""
-        part, name, size = np.array(self.parts, np.int64), np.array(self.names[0], np.int64), np.array(self.names[1], np.int64)
-        begin = np.cumsum(2 * size - 1) - (2 * size - 1)
-        last = np.zeros(len(part), bool)
-        last[begin + size - 1] = last[begin + 2 * size - 2] = True
-        times = np.repeat(self.often[name], 2 * size - 1)
-        places = np.bincount(part, weights=times, minlength=len(self.part_hash))
-        ends = np.bincount(part, weights=times * last, minlength=len(self.part_hash))
+        parts: list[str] = []
+        known = _Known(lambda part: parts.append(part) or len(parts) - 1)
+        known["\n"]  # 0: the end of a name
+        part = np.array(list(map(known.__getitem__, _PARTS.findall("".join(f"{name}\n" for name in self.names[0])))), np.int64)
+        end = np.append(part == 0, [True, True])
+        times = self.often[np.array(self.names[1], np.int64)[(np.cumsum(end) - end)[: len(part)]]]
+        one = np.nonzero(~end[:-2])[0]
+        two = one[~end[one + 1]]
+        # Few pairs of neighbours are distinct.
+        code, pairs = pd.factorize(part[two] * len(parts) + part[two + 1])
+        part_hash = [_H("\x02" + x) for x in parts] + [_H(f"\x03{parts[i]} {parts[j]}") for i, j in zip(*(x.tolist() for x in np.divmod(pairs, len(parts))), strict=True)]
+        at = np.concatenate([part[one], code + len(parts)])
+        weights = np.concatenate([times[one], times[two]])
+        places = np.bincount(at, weights=weights, minlength=len(part_hash))
+        ends = np.bincount(at, weights=weights * np.concatenate([end[one + 1], end[two + 2]]), minlength=len(part_hash))
         seen = np.nonzero(places)[0]
-        key = np.array(self.part_hash, np.uint64)[seen]
+        key = np.array(part_hash, np.uint64)[seen]
         if len(self.hash) > self.room:
             self._begin()
         else:
@@ -268,19 +269,19 @@ def closing_keys(text: str) -> list[int]:
     if not tokens:
         return []
     norms = [_norm(t) for t in tokens[-3:]]
-    one = np.array([_H(x) for x in norms], np.uint64)
-    keys = [int(_context(one[-k:])) if len(one) >= k else 0 for k in (3, 2, 1)]
+    one = [_H(x) for x in norms]
+    keys = [_context(one[-k:]) if len(one) >= k else 0 for k in (3, 2, 1)]
     line = _last_line(text.rstrip())
     said = re.split(r"(?<=[.!?:])\s+", text.strip())
     if _NAMES.fullmatch(line) or (len(said) == 2 and _NAMES.fullmatch(said[1])):
         keys = [0, 0, 0]  # a list of names may end after any of them, and a name alone may be an answer
     parts = _PART.findall(tokens[-1]) if norms[-1] == "\x01name" else []
-    keys.append(int(_H("\x02" + parts[-1])) if parts else 0)
-    keys.append(int(_H("\x03" + parts[-2] + " " + parts[-1])) if len(parts) > 1 else 0)
+    keys.append(_H("\x02" + parts[-1]) if parts else 0)
+    keys.append(_H("\x03" + parts[-2] + " " + parts[-1]) if len(parts) > 1 else 0)
     # Dots at the end of the text: how often the same words end in dots, and how often the words before the last one stand at all.
     dotted = _DOTS.search(text.rstrip()) is not None
     for k in (3, 2):
-        keys += (int(_dotted(_context(one[-k:])[None])[0]), int(_context(one[-k:-1]))) if dotted and len(one) >= k else (0, 0)
+        keys += (mix_one(_context(one[-k:]) ^ int(_DOT)), _context(one[-k:-1])) if dotted and len(one) >= k else (0, 0)
     return keys
 
 
@@ -301,11 +302,11 @@ def _open_end(tokens: list[str]) -> int:
     return -1
 
 
-def _context(h: np.ndarray) -> np.uint64:
-    out = np.zeros(1, np.uint64)
-    for x in h:
-        out = mix(out ^ np.array([x], np.uint64))
-    return out[0]
+def _context(hashes: list[int]) -> int:
+    out = 0
+    for x in hashes:
+        out = mix_one(out ^ x)
+    return out
 
 
 def _signed(x: np.ndarray) -> np.ndarray:
@@ -325,19 +326,17 @@ def _stretch_bands(grams: np.ndarray, begins: np.ndarray, ends: np.ndarray, seam
     fresh[1:] = begins[1:] != begins[:-1]
     spans = np.stack([np.where(fresh, begins, np.concatenate([[0], ends[:-1]])), ends], axis=1).ravel()
     padded = np.append(grams, np.uint64(0))
-    low = np.empty((n, BANDS * ROWS), np.uint64)
+    # The least up to each stretch of a text: above 48 bits of each value the texts count down, so that one running minimum begins anew at each of them (at most 2,000 at once).
+    left = (np.cumsum(fresh[::-1])[::-1] - fresh).astype(np.uint64) << np.uint64(48)
+    low = np.empty((BANDS * ROWS, n), np.uint64)
     for k in range(BANDS * ROWS):
-        low[:, k] = np.minimum.reduceat((padded ^ _SALT[k]) * _ODD[k], spans)[::2]
-    # The least up to each stretch of a text: running minima by doubled steps.
-    turn = np.arange(n) - np.maximum.accumulate(np.where(fresh, np.arange(n), 0))
-    step = 1
-    while len(at := np.nonzero(turn >= step)[0]):
-        low[at] = np.minimum(low[at], low[at - step])
-        step *= 2
-    low = low.reshape(n, BANDS, ROWS)
+        least = np.minimum.reduceat((padded ^ _SALT[k]) * _ODD[k], spans)[::2] >> np.uint64(16)
+        np.minimum.accumulate(left | least, out=low[k])
+    low &= np.uint64(2**48 - 1)
+    low = low.reshape(BANDS, ROWS, n)
     key = np.broadcast_to(seams[:, None], (n, BANDS)).copy()
     for k in range(ROWS):
-        key = mix(key ^ low[:, :, k])
+        key = mix(key ^ low[:, k].T)
     return mix(key ^ _BAND[None, :])
 
 
@@ -363,8 +362,8 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
             texts = pdf["body"].tolist()
             asked = pdf["asked"].tolist()
             status = [structure(t, a) for t, a in zip(texts, asked, strict=True)]
-            words = [LETTERS_DIGITS.findall(t.lower()) if t and label else [] for t in texts]
-            closing = [[int(np.uint64(k).view(np.int64)) for k in closing_keys(t)] if s == OPEN else [] for t, s in zip(texts, status, strict=True)]
+            words = [words_of(t) if t and label else [] for t in texts]
+            closing = [[k - 2**64 if k >= 2**63 else k for k in closing_keys(t)] if s == OPEN else [] for t, s in zip(texts, status, strict=True)]
             seam, last, keys = [[] for _ in texts], [None] * len(texts), [[] for _ in texts]
             asking, grams, ties = [], [], []
             for i, text in enumerate(texts):

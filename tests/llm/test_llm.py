@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -277,6 +278,47 @@ def test_profiles_count_every_text_once(spark):
     assert np.allclose(made.log["en"], np.log((counts + 0.5) / (want + 0.5 * pairs.PROFILE)), atol=1e-4)
 
 
+ODD = ["", " ", "naïve Ärger 2²½ µ ÿß", "a–b “c” …d_e 3x", "ΑΣ'Α ΟΔΟΣ İstanbul Ⅷ", "한국어 SfGrid.AllowSort を x\x85y\xa0z", "Kelvin K ſ ﬁ", "the `code` | a | b\n| row | x |\nHTMLText a1 _b fooBar Foo"]
+
+
+def test_words_by_table_are_those_of_the_patterns():
+    for text in ODD:
+        assert shingles.words_of(text) == shingles.LETTERS_DIGITS.findall(text.lower())
+        assert pairs._letters(text) == shingles.LETTERS.findall(text.lower())
+        assert pairs._whole_words(text) == re.findall(r"\w+", text)
+        assert pairs._distinct_words(text) == " ".join(dict.fromkeys(shingles.LETTERS.findall(pairs._prose(text))))
+
+
+def test_scores_of_many_texts_at_once():
+    """Trigrams and scores of texts one after another are those of each text alone, without its own trigrams in the profile."""
+    rng = np.random.default_rng(7)
+    texts = ["", "a", *("".join(rng.choice(list("abcde é한")) for _ in range(int(rng.integers(1, 400)))) for _ in range(100))]
+    alone = [pairs._word_trigrams([t])[0] for t in texts]
+    grams, owner = pairs._word_trigrams(texts)
+    assert [grams[owner == k].tolist() for k in range(len(texts))] == [g.tolist() for g in alone]
+    counts = np.bincount(grams, minlength=pairs.PROFILE).astype(float)
+    want = []
+    for g in alone:
+        if len(g) >= pairs.TELLING_GRAMS:
+            others = counts - np.bincount(g, minlength=pairs.PROFILE)
+            want.append(np.log((others[g] + 0.5) / (others.sum() + 0.5 * pairs.PROFILE)).mean())
+    assert np.allclose(pairs._scores(counts, texts), want, atol=1e-9) and len(want) > 50
+
+
+def test_parts_of_all_names_at_once():
+    lexicon = truncation._Lexicon()
+    seen = ["fooBar", "fooBar", "word", "_", "é_é", "HTMLFooBar2", "barFoo", "Foo_Bar"]
+    lexicon.saw(np.array(lexicon.numbers(seen)))
+    want = {}
+    for name in (x for x in seen if truncation._norm(x) == "\x01name"):
+        parts = truncation._PART.findall(name)
+        for sign, own in (("\x02", parts), ("\x03", [f"{x} {y}" for x, y in itertools.pairwise(parts)])):
+            for k, part in enumerate(own):
+                n, ends = want.get(key := truncation._H(sign + part), (0, 0))
+                want[key] = n + 1, ends + (k == len(own) - 1)
+    assert {int(k): (n, e) for k, n, e in zip(*lexicon.name_parts(), strict=True)} == want
+
+
 def test_refusals_are_aligned_by_token():
     for response in ("I'm sory, but I cant help with the grid.", "I am really not able to answer that.", "Lo siento, no puedo respondr a eso."):
         assert pairs.defect("How do I sort the grid by two columns?", response) == "refusal", response

@@ -295,7 +295,7 @@ def refusal_score(response: str) -> float:
     for m in _ENDS.finditer(text):
         part = text[begin : m.start()]
         first, begin = begin == 0, m.end()
-        tokens = _TOKENS.findall(part)
+        tokens = words_of(part)
         if not tokens:
             continue
         declines, goes = _TEMPLATES.scores(tokens)

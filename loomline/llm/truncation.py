@@ -26,6 +26,7 @@ the corpus counts only what may be asked for; what the bitmap lets pass without
 from __future__ import annotations
 
 import re
+from array import array
 from collections.abc import Callable, Iterator
 from itertools import islice
 
@@ -109,7 +110,7 @@ class _Known(dict):
 
 
 class _Lexicon:
-    """Number, hashes, kind and name parts of each token, remembered up to a bounded number.
+    """Number, hashes, kind, first letter and name parts of each token, remembered up to a bounded number.
 
     Kinds: 0 a mark, 1 a word, 2 the end of a sentence or line. Token 0 stands between two texts.
     """
@@ -120,7 +121,8 @@ class _Lexicon:
 
     def _begin(self) -> None:
         self.known = _Known(self._add)
-        self.hash, self.kind, self.low, self.plain = [], [], [], []
+        self.hash, self.plain, self.kind, self.first = array("Q"), array("Q"), array("b"), array("I")
+        self.low: list[str] = []
         # Names and their numbers; their parts are told for all of them at once.
         self.names: tuple[list[str], list[int]] = ([], [])
         self.often = np.zeros(self.room, np.int64)
@@ -136,6 +138,7 @@ class _Lexicon:
         self.hash.append(_H("\x04") if not token else plain if norm == low else _KINDS[norm])
         self.low.append(low)
         self.plain.append(plain)
+        self.first.append(ord(low[0]) if low else 0)
         self.kind.append(0 if not token else 1 if _is_word(token) else 2 if token[0] in _END or token[0] == "\n" else 0)
         if norm == "\x01name":
             self.names[0].append(token)
@@ -186,7 +189,7 @@ def _prose(text: str) -> str:
 
 def _prose_words(text: str) -> list[str]:
     """The words of the prose in lower case: what is aligned."""
-    return [t.lower() for t in _TOKEN.findall(_prose(text)) if _is_word(t)]
+    return [t.lower() for t in _TOKEN.findall(_prose(text)) if t[0].isalnum() or t[0] == "_"]
 
 
 def _last_line(text: str) -> str:
@@ -340,9 +343,9 @@ def _stretch_bands(grams: np.ndarray, begins: np.ndarray, ends: np.ndarray, seam
     return mix(key ^ _BAND[None, :])
 
 
-def _tied(seams: np.ndarray, nexts: list[str]) -> np.ndarray:
+def _tied(seams: np.ndarray, firsts: np.ndarray) -> np.ndarray:
     """The seams with the first letter of the word that comes after."""
-    return mix(seams ^ np.array([ord(w[0]) for w in nexts], np.uint64))
+    return mix(seams ^ firsts.astype(np.uint64))
 
 
 def _grams(h: np.ndarray, n: int) -> np.ndarray:
@@ -362,7 +365,6 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
             texts = pdf["body"].tolist()
             asked = pdf["asked"].tolist()
             status = [structure(t, a) for t, a in zip(texts, asked, strict=True)]
-            words = [words_of(t) if t and label else [] for t in texts]
             closing = [[k - 2**64 if k >= 2**63 else k for k in closing_keys(t)] if s == OPEN else [] for t, s in zip(texts, status, strict=True)]
             seam, last, keys = [[] for _ in texts], [None] * len(texts), [[] for _ in texts]
             asking, grams, ties = [], [], []
@@ -371,7 +373,7 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
                 if len(own) > SHINGLE:
                     h = hasher(own[:-1])
                     tie = _grams(h[-SEAM:], SEAM)
-                    seam[i], last[i] = _signed(np.concatenate([tie, _tied(tie, own[-1:])])).tolist(), own[-1]
+                    seam[i], last[i] = _signed(np.concatenate([tie, _tied(tie, np.array([ord(own[-1][0])]))])).tolist(), own[-1]
                     asking.append(i)
                     grams.append(_grams(h, SHINGLE))
                     ties.append(tie)
@@ -380,7 +382,7 @@ def _scan(label: Label | None):  # type: ignore[no-untyped-def]
                 banded = _stretch_bands(np.concatenate(grams), ends - [len(g) for g in grams], ends, np.concatenate(ties))
                 for i, own in zip(asking, _signed(banded).tolist(), strict=True):
                     keys[i] = own
-            said = [label(*x) for x in zip(asked, texts, words, strict=True)] if label else [None] * len(pdf)
+            said = [label(a, t, words_of(t) if t else []) for a, t in zip(asked, texts, strict=True)] if label else [None] * len(pdf)
             yield pd.DataFrame({
                 "row": pdf["row"], "text": pdf["text"], "status": np.array(status, np.int32), "closing": closing,
                 "seam": seam, "last": pd.Series(last, dtype="object"), "bands": keys, "label": pd.Series(said, dtype="object"),
@@ -403,7 +405,7 @@ def _places(at: np.ndarray, kind: np.ndarray, doc: np.ndarray, lexicon: _Lexicon
     seams = _grams(h, SEAM)[:-1] if len(h) > SEAM else np.zeros(0, np.uint64)
     grams = _grams(h, SHINGLE)
     place = np.nonzero((owner[SEAM:] == owner[: len(seams)]) & (np.arange(len(seams)) + SEAM - begin[: len(seams)] >= SHINGLE) & among(seams, wanted))[0]
-    place = place[among(_tied(seams[place], [lexicon.low[n] for n in at[token[place + SEAM]]]), wanted)]
+    place = place[among(_tied(seams[place], np.array(lexicon.first)[at[token[place + SEAM]]]), wanted)]
     key, partner, after, ends = [], [], [], []
     keys = _stretch_bands(grams, begin[place], place + SEAM - SHINGLE + 1, seams[place]) if len(place) else np.zeros((0, BANDS), np.uint64)
     asked = among(keys, banded)
